@@ -7,13 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumry.llm import minhash, suffix
+from vellumry.llm import bpe, minhash, packing, suffix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    return bpe.digests(_table(spark, sf_dir, "documents"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into sequences of 2048 ids."""
+    return packing.pack(spark, _table(spark, sf_dir, "documents"), capacity=2048, end_id=1)
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents: 85 % of five-word shingles."""
     return minhash.near_duplicates(spark, _table(spark, sf_dir, "documents"), percent=85)
@@ -26,7 +36,7 @@ def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op7_minhash, op8_suffix]
+    own = [op5_bpe, op6_packing, op7_minhash, op8_suffix]
     return {f.__name__: f for f in own}
 
 

@@ -114,32 +114,37 @@ def _run_batch(name: np.ndarray, body: np.ndarray, doc: np.ndarray, place: np.nd
     return pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=["name", "body", "doc_id", "place"])
 
 
+def _combined(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """The runs of parts; of equal ones only the first keeps its name. The others are known as repeats and go anywhere."""
+    name, body, doc, lo, hi, at = (np.concatenate(x) for x in zip(*parts))
+    step = np.diff(doc)
+    ordered = not ((step < 0) | ((step == 0) & (np.diff(lo) < 0))).any()
+    order = np.arange(len(doc)) if ordered else np.lexsort((lo, doc))
+    order = order[np.argsort((name ^ (body * U64(0x9E3779B97F4A7C15)))[order], kind="stable")]
+    name, body, doc, lo, hi, at = (x[order] for x in (name, body, doc, lo, hi, at))
+    seen = np.zeros(len(doc), bool)
+    seen[1:] = (name[1:] == name[:-1]) & (body[1:] == body[:-1]) & ((doc[1:] != doc[:-1]) | (lo[1:] != lo[:-1]))
+    place = _place(lo, hi, at, seen)
+    name = np.where(seen, mix64(doc.view(U64) ^ mix64(place.view(U64))), name)
+    return _run_batch(name, body, doc, place)
+
+
 def _runs(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, ...]] = []
         held = 0
-
-        def combined() -> pa.RecordBatch:
-            gram, body, doc, lo, hi, at = (np.concatenate(x) for x in zip(*parts))
-            order = np.lexsort((lo, doc)) if (np.diff(doc) < 0).any() else np.arange(len(doc))
-            order = order[np.argsort((gram ^ (body * U64(0x9E3779B97F4A7C15)))[order], kind="stable")]
-            gram, body, doc, lo, hi, at = (x[order] for x in (gram, body, doc, lo, hi, at))
-            seen = np.zeros(len(doc), bool)
-            seen[1:] = (gram[1:] == gram[:-1]) & (body[1:] == body[:-1]) & ((doc[1:] != doc[:-1]) | (lo[1:] != lo[:-1]))
-            return _run_batch(gram, body, doc, _place(lo, hi, at, seen))
-
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, j, buf, off in chunks(batch.column(1)):
-                gram, body, row, lo, hi, at = text_runs(buf, off, length)
+                name, body, row, lo, hi, at = text_runs(buf, off, length)
                 if len(row):
-                    parts.append((gram, body, ids[i:j][row].astype(np.int64), lo, hi, at))
+                    parts.append((name, body, ids[i:j][row].astype(np.int64), lo, hi, at))
                     held += len(row)
                 if held >= COMBINE:
-                    yield combined()
+                    yield _combined(parts)
                     parts, held = [], 0
         if parts:
-            yield combined()
+            yield _combined(parts)
 
     return run
 
@@ -148,6 +153,8 @@ def _slices(length: int, width: int):
     """Open runs cut into slices of up to width starts; of width 1, name and body are the halves of the one string."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, ...]] = []
+        held = 0
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for i, j, buf, off in chunks(batch.column(1)):
@@ -171,7 +178,13 @@ def _slices(length: int, width: int):
                     core = a - k * width
                     name = h.of(core, core - width + 1 + length) ^ mix64(k.astype(U64))
                     body = h.of(lo, hi + length) ^ mix64((a - lo).astype(U64))
-                yield _run_batch(name, body, ids[i:j][row].astype(np.int64), _place(lo - off[row], hi - off[row], a - lo, 0))
+                parts.append((name, body, ids[i:j][row].astype(np.int64), lo - off[row], hi - off[row], a - lo))
+                held += len(row)
+                if held >= COMBINE:
+                    yield _combined(parts)
+                    parts, held = [], 0
+        if parts:
+            yield _combined(parts)
 
     return run
 
