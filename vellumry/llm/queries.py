@@ -7,13 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumry.llm import bpe, minhash, packing, suffix
+from vellumry.llm import bpe, bytecnn, capfilter, htmlcut, langid, minhash, packing, rpforest, suffix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_rpforest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return rpforest.nearest(spark, vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+def op3_htmlcut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return htmlcut.main_text(_table(spark, sf_dir, "pages"))
+
+
+def _fold(n: int, doc_id: str = "doc_id") -> F.Column:
+    return F.crc32(F.col(doc_id).cast("string")) % n
+
+
+def op4_bytecnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from four fifths of the labels."""
+    docs = _table(spark, sf_dir, "documents")
+    model = bytecnn.train(docs, _table(spark, sf_dir, "labels").where(_fold(5) != 0))
+    scores = bytecnn.score(docs, model)
+    return scores.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     return bpe.digests(_table(spark, sf_dir, "documents"))
@@ -35,8 +58,20 @@ def op8_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(spark, docs, length=100, mode="digest")
 
 
+def op9_capfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.95 and more between all vectors."""
+    return capfilter.near_duplicates(spark, _table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from two thirds of them."""
+    docs = _table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.train(docs.where(_fold(3) != 1)))
+    return found.select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op5_bpe, op6_packing, op7_minhash, op8_suffix]
+    own = [op1_rpforest, op3_htmlcut, op4_bytecnn, op5_bpe, op6_packing, op7_minhash, op8_suffix, op9_capfilter, op10_langid]
     return {f.__name__: f for f in own}
 
 
