@@ -6,8 +6,10 @@ cost ``2 m`` products. A vector belongs to every filter whose direction it excee
 the threshold on, listed from the two sorted halves without trying all pairs. The
 threshold is the quantile of a random direction that puts ``lists`` filters on a
 vector whatever the data; ``m`` grows with the number of vectors, so that filters
-hold about ``per_filter`` unclustered ones. Vectors at cosine 0.95 share about two
-thirds of their filters, so a pair is missed with a chance far below one in a million.
+hold about ``per_filter`` unclustered ones. Lists vary in length with the short codes
+(a hundredth of the vectors have two filters or fewer of 32), so ``codes`` independent
+codes are used: a pair at 0.95 that one code misses with a chance of about 0.02 is
+missed by all of four with one of about one in a million.
 
 Equal vectors are one class before any filter. A filter's members are cut into
 blocks; of each block pair only link counts and component labels of its members
@@ -37,7 +39,7 @@ BLOCK = 512
 
 
 class ProductCode:
-    def __init__(self, dim: int, m: int, lists: float, seed: int = 17):
+    def __init__(self, dim: int, m: int, lists: float, seed: int):
         r = np.random.default_rng(seed)
         self.turn = np.linalg.qr(r.normal(size=(dim, dim)))[0]
         self.half = max(1, dim // 2)
@@ -72,12 +74,14 @@ def _units(col: pa.Array, dim: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _into_filters(code: ProductCode, dim: int):
+def _into_filters(codes: list[ProductCode], dim: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            lists = code.filters(_units(b.column(2), dim))
+            unit = _units(b.column(2), dim)
+            each = [[x + k * c.m * c.m for x in c.filters(unit)] for k, c in enumerate(codes)]
+            lists = [np.concatenate(x) for x in zip(*each)]
             n = [len(x) for x in lists]
             row = pa.array(np.repeat(np.arange(b.num_rows), n))
             own = pa.array([x for x in lists], pa.list_(pa.int64()))
@@ -140,7 +144,7 @@ def _link(threshold: float, dim: int):
     return run
 
 
-def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float = 0.95, lists: float = 32, per_filter: int = 256) -> DataFrame:
+def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float = 0.95, codes: int = 4, lists: float = 24, per_filter: int = 256) -> DataFrame:
     """vectors (vec_id long, embedding array<float>) -> (vec_id, n_links, component_id, kept), one row per row."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("v"))
     good = rows.where(usable(F.col("v")) & F.col("vec_id").isNotNull())
@@ -150,7 +154,8 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
     if not shape.n:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     dim = shape.dim
-    code = ProductCode(dim, max(16, int(np.ceil(np.sqrt(shape.n * lists / per_filter)))), lists)
+    m = max(16, int(np.ceil(np.sqrt(shape.n * lists / per_filter))))
+    code = [ProductCode(dim, m, lists, seed=17 + k) for k in range(codes)]
     listed = classes.where(F.size("v") == dim).select("id", "n", "v").mapInArrow(
         _into_filters(code, dim), "bin long, id long, n long, v array<float>, own array<long>"
     )

@@ -37,7 +37,7 @@ from vellumry.llm.components import connected_components
 from vellumry.llm.shingles import shingle_sets
 from vellumry.llm.storage import materialize
 
-ROWS, BANDS = 6, 21
+ROWS, BANDS = 6, 26
 BINS = ROWS * BANDS
 _SEEDS = mix64(np.arange(1, 2 * BINS + 1, dtype=U64) * U64(0x2545F4914F6CDD1D))
 _UNSET = U64(0xFFFFFFFFFFFFFFFF)

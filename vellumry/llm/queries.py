@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumry.llm import bpe, bytecnn, capfilter, htmlcut, langid, minhash, packing, rpforest, suffix
+from vellumry.llm import bpe, bytecnn, capfilter, htmlcut, langid, minhash, packing, rpforest, suffix, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,14 @@ def op1_rpforest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rpforest.nearest(spark, vectors, vectors.where("vec_id % 100 = 0"), k=10)
 
 
+def op2_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lists that each page's URL is on at its fetch time."""
+    fetched = F.timestamp_seconds(F.lit(1704067200) + (F.col("page_id") * 7919 % 365) * 86400)
+    captures = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), "url", fetched.alias("fetched"))
+    found = urlfilter.on_lists(captures, urlfilter.demo_entries(captures))
+    return found.select(F.col("id").alias("page_id"), "url", F.date_format("fetched", "yyyy-MM-dd").alias("fetched"), "n_lists", "lists")
+
+
 def op3_htmlcut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return htmlcut.main_text(_table(spark, sf_dir, "pages"))
@@ -70,10 +78,20 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """corpus_pipeline.run: the five stages over documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_rpforest, op3_htmlcut, op4_bytecnn, op5_bpe, op6_packing, op7_minhash, op8_suffix, op9_capfilter, op10_langid]
+    own = [
+        op1_rpforest, op2_urlfilter, op3_htmlcut, op4_bytecnn, op5_bpe, op6_packing,
+        op7_minhash, op8_suffix, op9_capfilter, op10_langid, pipeline,
+    ]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_urlfilter": urlfilter.ORACLE}
