@@ -114,7 +114,7 @@ WITH cap AS (
          list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS segs
   FROM pages),
 keyed AS (
-  SELECT page_id, fetched, 'host' AS kind, array_to_string(list_slice(string_split(host, '.'), i, NULL), '.') AS key
+  SELECT page_id, fetched, 'host' AS kind, array_to_string(string_split(host, '.')[i:], '.') AS key
   FROM (SELECT page_id, fetched, host, unnest(range(1, len(string_split(host, '.')) + 1)) AS i FROM cap WHERE host IS NOT NULL)
   UNION ALL
   SELECT page_id, fetched, 'prefix', host || '/' || array_to_string(list_slice(segs, 1, i), '/')
@@ -122,7 +122,7 @@ keyed AS (
 keys AS (
   SELECT 'malware' AS list, 'host' AS kind, host AS key FROM cap WHERE host IS NOT NULL
   UNION SELECT 'phish', 'prefix', host || '/' || segs[1] FROM cap WHERE host IS NOT NULL AND len(segs) > 0
-  UNION SELECT 'tracker', 'host', array_to_string(list_slice(string_split(host, '.'), -2, NULL), '.') FROM cap WHERE len(string_split(host, '.')) >= 2),
+  UNION SELECT 'tracker', 'host', array_to_string(string_split(host, '.')[-2:], '.') FROM cap WHERE len(string_split(host, '.')) >= 2),
 digits AS (
   SELECT list, kind, key, instr('0123456789abcdef', substr(md5(key), 1, 1)) - 1 AS d1, instr('0123456789abcdef', substr(md5(key), 2, 1)) - 1 AS d2,
          instr('0123456789abcdef', substr(md5(key), 3, 1)) - 1 AS d3, instr('0123456789abcdef', substr(md5(key), 4, 1)) - 1 AS d4,
