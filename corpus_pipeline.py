@@ -17,24 +17,21 @@ from vellumry.llm.storage import materialize
 QUALITY = 0.3
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    return docs.join(kept.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the byte network, fitted on all labels, doesn't reject."""
     model = bytecnn.train(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
-    return _only(docs, bytecnn.score(docs, model).where(F.col("score") >= QUALITY))
+    return bytecnn.keep(docs, model, QUALITY)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the model knows with enough confidence."""
-    return _only(docs, langid.predict(docs, langid.train(docs)).where("accepted"))
+    return langid.keep(docs, langid.train(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of smallest id, of each group of near duplicates."""
-    return _only(docs, minhash.near_duplicates(spark, docs, percent=80).where("kept"))
+    gone = minhash.near_duplicates(spark, docs, percent=80).where("NOT kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,11 +34,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Runs kept by each worker, and the longest kept.
-CACHE_RUNS, CACHE_LENGTH = 400_000, 64
+#: Runs and words kept by each worker, and the longest kept.
+CACHE_RUNS, CACHE_WORDS, CACHE_LENGTH = 800_000, 800_000, 64
+#: A plain run: ASCII letters, then marks that start no contraction.
+_PLAIN = re.compile(r"([a-z]+)([^a-z0-9'\x00-\x20\x7f<]+)?")
 _FINAL = 0x10000  # added to the code of a word's last byte
-_ODD_SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
-_SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
+_ODD_SPACE = re.compile("[\x1c-\x1f]")
+_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
 def _byte_letters() -> list[str]:
@@ -48,6 +50,22 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+class _Table(dict):
+    """Results by text; made on a miss, and all dropped when the table is full."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self._make, self._most = make, most
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self._make(text)
+        if len(text) <= CACHE_LENGTH:
+            if len(self) >= self._most:
+                self.clear()
+            self[text] = ids
+        return ids
+
+
 class Encoder:
     """Encoder and decoder of one tokenizer file with word ends."""
 
@@ -79,19 +97,20 @@ class Encoder:
             self._pair[rank[a], rank[b]] = k
         text = [symbols(t) for t in self._rank_token]
         self._len = [len(t) for t in text]
-        self._id = np.array([vocab[t] for t in self._rank_token], "<u4")
+        self._id = [np.array([vocab[t]], "<u4").tobytes() for t in self._rank_token]
         self._find = ahocorasick.Automaton()
         for k, t in enumerate(text):
             self._find.add_word(t, k)
         self._find.make_automaton()
         of = {t: k for k, t in enumerate(text)}
         self._shorter = [next((of[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in of), -1) for t in text]
-        self._fits = lru_cache(1 << 20)(self._compatible)
+        self._fits = lru_cache(1 << 19)(self._compatible)
         self._special = {x["content"]: np.array([x["id"]], "<u4").tobytes() for x in spec["added_tokens"]}
         self._special_re = re.compile("(" + "|".join(map(re.escape, self._special)) + ")") if self._special else None
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self._words = regex.compile(pattern)
-        self._runs: dict[str, bytes] = {}
+        self._runs = _Table(self._run, CACHE_RUNS)
+        self._known = _Table(self._word_ids, CACHE_WORDS)
         # decoding: the library joins the tokens' own strings with spaces, as this file has no decoder
         names = {i: t for t, i in vocab.items()} | {x["id"]: x["content"] for x in spec["added_tokens"]}
         pieces = [(names.get(i, "") + " ").encode() for i in range(max(names) + 1)]
@@ -122,39 +141,46 @@ class Encoder:
     def word(self, letters: str) -> list[int]:
         """Ranks of the tokens of one word of byte letters, the last one marked."""
         n = len(letters)
-        longest = [-1] * n
-        size = self._len
-        for at, k in self._find.iter(letters):
-            i = at + 1 - size[k]
-            if longest[i] < 0 or size[longest[i]] < size[k]:
-                longest[i] = k
-        if size[longest[0]] == n:
-            # a whole word that is a token: right if its own merges give it, which holds for every merged token
-            return [longest[0]]
+        longest, size, fits = [-1] * n, self._len, self._fits
+        for at, k in self._find.iter(letters):  # by end: the last one from a place is the longest
+            longest[at + 1 - size[k]] = k
+        token = longest[0]
+        if size[token] == n:  # a merged token is what its own letters merge to
+            return [token]
         out: list[int] = []
-        bad = bytearray(n + 1)
-        pos, token = 0, longest[0]
-        while pos < n:
+        bad: set[int] = set()
+        pos, last = 0, -1
+        while True:
             while token >= 0:
                 stop = pos + size[token]
-                if not bad[stop] and (not out or self._fits(out[-1], token)):
+                if (last < 0 or fits(last, token)) and stop not in bad:
                     break
                 token = self._shorter[token]
             if token >= 0:
                 out.append(token)
-                pos = stop
-                token = longest[pos] if pos < n else -1
+                if stop == n:
+                    return out
+                pos, last, token = stop, token, longest[stop]
             else:
                 if not out:
                     raise ValueError("no encoding")
-                bad[pos] = 1
+                bad.add(pos)
                 token = out.pop()
                 pos -= size[token]
+                last = out[-1] if out else -1
                 token = self._shorter[token]
-        return out
+
+    def _word_ids(self, word: str) -> bytes:
+        letters = word if word.isascii() and word.isprintable() else "".join(map(self._inner.__getitem__, word.encode()))
+        letters = letters[:-1] + chr(ord(letters[-1]) + _FINAL)
+        return b"".join(map(self._id.__getitem__, self.word(letters)))
 
     def _run(self, run: str) -> bytes:
         """Ids of a run without white space."""
+        if run.isascii():
+            plain = _PLAIN.fullmatch(run.lower())
+            if plain:
+                return self._known[plain[1]] + self._known[plain[2]] if plain[2] else self._known[plain[1]]
         parts = self._special_re.split(run) if self._special_re and "<|" in run else [run]
         out = []
         for part in parts:
@@ -162,30 +188,15 @@ class Encoder:
                 out.append(self._special[part])
                 continue
             part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
-            for word in self._words.findall(part):
-                letters = "".join(map(self._inner.__getitem__, word.encode()))
-                letters = letters[:-1] + chr(ord(letters[-1]) + _FINAL)
-                out.append(self._id[self.word(letters)].tobytes())
+            out.extend(map(self._known.__getitem__, self._words.findall(part)))
         return b"".join(out)
 
-    def _miss(self, run: str) -> bytes:
-        ids = self._run(run)
-        if len(run) <= CACHE_LENGTH:
-            if len(self._runs) >= CACHE_RUNS:
-                self._runs.clear()
-            self._runs[run] = ids
-        return ids
-
     def encode(self, text: str | None) -> bytes:
         """The ids of a whole text as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
         runs = _SPACE.split(text) if _ODD_SPACE.search(text) else text.split()
-        known, miss = self._runs, self._miss
-        try:
-            return b"".join([known[r] for r in runs])
-        except KeyError:
-            return b"".join([known[r] if r in known else miss(r) for r in runs])
+        return b"".join(map(self._runs.__getitem__, runs))
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 of the decoded text."""

@@ -179,20 +179,43 @@ class ByteCNN:
 
 
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = 2400, max_bytes: int = 10_000_000) -> ByteCNN:
-    """Fit on labelled rows: docs (doc_id, text), labels (doc_id, quality in 0/1)."""
-    known = labels.where("quality IN (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("y"))
-    rows = docs.select("doc_id", "text").join(known, "doc_id").withColumn("k", F.xxhash64("doc_id"))
-    short = rows.where(F.octet_length(F.coalesce("text", F.lit(""))) <= max_bytes // 20)
-    picked = short.orderBy("k", "doc_id").limit(max_docs).select(F.coalesce("text", F.lit("")).alias("text"), "y").collect()
+    """Fit on labelled rows: docs (doc_id, text), labels (doc_id, quality in 0/1).
+
+    Labels are sampled first, by a hash threshold that gives at most about 1.5
+    max_docs of them; only these few rows are sent to the documents' scan.
+    """
+    known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
+    n = known.count()
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    share = min(1.0, 1.5 * max_docs / max(1, n))
+    rows = known.where(spot < int(share * (1 << 40))).limit(3 * max_docs).collect()
+    label = {r.doc_id: r.quality for r in sorted(rows, key=lambda r: r.quality)}
+    spark = docs.sparkSession
+    ids = spark.createDataFrame([(k,) for k in label], "doc_id long")
+    texts_of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    short = texts_of.where(F.octet_length("text") <= max_bytes // 20)
+    found = short.join(F.broadcast(ids), "doc_id").withColumn("k", spot).limit(3 * max_docs).collect()
     texts, ys, held = [], [], 0
-    for r in picked:
+    for r in sorted(found, key=lambda r: (r.k, r.doc_id, r.text)):
         t = r.text.encode()
-        if held + len(t) <= max_bytes:
-            texts.append(t), ys.append(r.y)
+        if held + len(t) <= max_bytes and len(texts) < max_docs:
+            texts.append(t), ys.append(label[r.doc_id])
             held += len(t)
     return ByteCNN().fit(texts, np.array(ys))
 
 
+def keep(docs: DataFrame, model: ByteCNN, least: float) -> DataFrame:
+    """The rows of docs whose text scores at least ``least``, all columns; nothing is shuffled."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            p = [model.scores(buf, off) for _, _, buf, off in chunks(b.column(at))]
+            yield b.filter(pa.array(np.concatenate(p) >= least)) if p else b
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _score(model: ByteCNN):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -137,7 +137,8 @@ def train(docs: DataFrame, max_docs: int = 3000, max_bytes: int = 8_000_000) ->
     u = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.5 * max_docs / len(counts) / n))])
     few = rows.where(F.octet_length("text") <= max_bytes // 20).where(u < F.element_at(share, F.col("lang")))
-    picked = few.withColumn("k", F.xxhash64("doc_id")).orderBy("k", "doc_id").limit(max_docs).collect()
+    picked = few.withColumn("k", F.xxhash64("doc_id")).limit(3 * max_docs).collect()
+    picked = sorted(picked, key=lambda r: (r.k, r.doc_id, r.text))[:max_docs]
     names = sorted(counts)
     texts, y, held = [], [], 0
     for r in picked:
@@ -156,21 +157,39 @@ def _has_letter(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     return has
 
 
+def _judge(model: LanguageModel, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in names or their number for und, score, accepted) of each text."""
+    n = len(off) - 1
+    if not model.names:
+        return np.zeros(n, np.int64), np.zeros(n), np.zeros(n, bool)
+    p = model.probabilities(model.logits(buf, off))
+    at, score = p.argmax(axis=1), p.max(axis=1)
+    none = ~_has_letter(buf, off)
+    at[none], score[none] = len(model.names), 0.0
+    return at, score, ~none & (score >= model.least)
+
+
+def keep(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """The accepted rows of docs, all columns; nothing is shuffled."""
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = [_judge(model, buf, off)[2] for _, _, buf, off in chunks(b.column(place))]
+            yield b.filter(pa.array(np.concatenate(ok))) if ok else b
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def _predict(model: LanguageModel):
     names = np.array([*model.names, "und"], dtype=object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, buf, off in chunks(b.column(1)):
-                if len(model.names):
-                    p = model.probabilities(model.logits(buf, off))
-                    at, score = p.argmax(axis=1), p.max(axis=1)
-                    none = ~_has_letter(buf, off)
-                else:
-                    at, score, none = np.zeros(j - i, np.int64), np.zeros(j - i), np.ones(j - i, bool)
-                at[none], score[none] = len(model.names), 0.0
+                at, score, accepted = _judge(model, buf, off)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i), pa.array(names[at].tolist(), pa.string()), pa.array(score), pa.array(~none & (score >= model.least))],
+                    [b.column(0).slice(i, j - i), pa.array(names[at].tolist(), pa.string()), pa.array(score), pa.array(accepted)],
                     names=["doc_id", "lang_pred", "score", "accepted"],
                 )
 
