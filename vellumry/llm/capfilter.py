@@ -36,6 +36,8 @@ from vellumry.llm.rpforest import usable
 from vellumry.llm.storage import materialize
 
 BLOCK = 512
+#: Steps of a filter score.
+GRID = 1e9
 
 
 class ProductCode:
@@ -44,6 +46,7 @@ class ProductCode:
         self.turn = np.linalg.qr(r.normal(size=(dim, dim)))[0]
         self.half = max(1, dim // 2)
         self.m = m
+        self.least = min(m, max(1, int(lists)))
 
         def code(d: int) -> np.ndarray:
             c = r.normal(size=(m, d))
@@ -56,13 +59,17 @@ class ProductCode:
 
     def filters(self, unit: np.ndarray) -> list[np.ndarray]:
         """Sorted filters of each unit vector: all pairs of codewords that it exceeds the threshold on."""
-        x = unit @ self.turn
-        a, b = x[:, : self.half] @ self.first.T, x[:, self.half :] @ self.second.T
+        # integers from sums in a fixed order: alike wherever and with whatever rows a vector is listed again
+        x = np.einsum("ij,jk->ik", unit, self.turn)
+        a = np.rint(np.einsum("ij,kj->ik", x[:, : self.half], self.first) * GRID).astype(np.int64)
+        b = np.rint(np.einsum("ij,kj->ik", x[:, self.half :], self.second) * GRID).astype(np.int64)
         out = []
         for p, q in zip(a, b):
-            i = np.flatnonzero(p + q.max() >= self.threshold)
+            best = (np.sort(p)[-self.least :, None] + np.sort(q)[-self.least :]).ravel()
+            t = min(int(self.threshold * GRID), np.partition(best, -self.least)[-self.least])
+            i = np.flatnonzero(p + q.max() >= t)
             order = np.argsort(-q)
-            n = np.searchsorted(-q[order], p[i] - self.threshold, "right")
+            n = np.searchsorted(-q[order], p[i] - t, "right")
             row = np.repeat(i, n)
             col = order[np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)]
             out.append(np.sort(row * self.m + col))
@@ -74,19 +81,19 @@ def _units(col: pa.Array, dim: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _lists(codes: list[ProductCode], unit: np.ndarray) -> list[np.ndarray]:
+    """Sorted filters of each unit vector over all codes."""
+    each = [[x + k * c.m * c.m for x in c.filters(unit)] for k, c in enumerate(codes)]
+    return [np.concatenate(x) for x in zip(*each)]
+
+
 def _into_filters(codes: list[ProductCode], dim: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            unit = _units(b.column(2), dim)
-            each = [[x + k * c.m * c.m for x in c.filters(unit)] for k, c in enumerate(codes)]
-            lists = [np.concatenate(x) for x in zip(*each)]
-            n = [len(x) for x in lists]
-            row = pa.array(np.repeat(np.arange(b.num_rows), n))
-            own = pa.array([x for x in lists], pa.list_(pa.int64()))
-            cols = [pa.array(np.concatenate(lists)), *(c.take(row) for c in (*b.columns, own))]
-            yield pa.RecordBatch.from_arrays(cols, names=["bin", "id", "n", "v", "own"])
+            if b.num_rows:
+                lists = _lists(codes, _units(b.column(1), dim))
+                row = pa.array(np.repeat(np.arange(b.num_rows), [len(x) for x in lists]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists)), b.column(0).take(row)], names=["bin", "id"])
 
     return run
 
@@ -101,7 +108,7 @@ def _member(lists: list[np.ndarray], among: np.ndarray) -> np.ndarray:
     return out
 
 
-def _link(threshold: float, dim: int):
+def _link(codes: list[ProductCode], threshold: float, dim: int):
     """(id, links, label) of the members of each block pair that have a link in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +118,8 @@ def _link(threshold: float, dim: int):
                 x, y = (b.column(k)[at].values for k in (3, 4))
                 ids = [np.asarray(z.field("id")) for z in (x, y)]
                 n = [np.asarray(z.field("n")) for z in (x, y)]
-                near = _units(x.field("v"), dim) @ _units(y.field("v"), dim).T >= threshold
+                unit = [_units(z.field("v"), dim) for z in (x, y)]
+                near = unit[0] @ unit[1].T >= threshold
                 if i == j:
                     near &= ids[0][:, None] != ids[1]
                 if not near.any():
@@ -119,7 +127,7 @@ def _link(threshold: float, dim: int):
                 keep = [np.flatnonzero(near.any(axis=1 - s)) for s in (0, 1)]
                 near = near[np.ix_(*keep)]
                 ids, n = [a[k] for a, k in zip(ids, keep)], [a[k] for a, k in zip(n, keep)]
-                own = [[np.asarray(z.field("own")[int(r)].values) for r in k] for z, k in zip((x, y), keep)]
+                own = [_lists(codes, u[k]) for u, k in zip(unit, keep)]
                 early = [[o[: np.searchsorted(o, bin_)] for o in side] for side in own]
                 among = np.intersect1d(*(np.unique(np.concatenate(e)) for e in early))
                 if len(among):
@@ -144,7 +152,7 @@ def _link(threshold: float, dim: int):
     return run
 
 
-def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float = 0.95, codes: int = 4, lists: float = 24, per_filter: int = 256) -> DataFrame:
+def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float = 0.95, codes: int = 2, lists: float = 12, per_filter: int = 256) -> DataFrame:
     """vectors (vec_id long, embedding array<float>) -> (vec_id, n_links, component_id, kept), one row per row."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("v"))
     good = rows.where(usable(F.col("v")) & F.col("vec_id").isNotNull())
@@ -156,16 +164,23 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
     dim = shape.dim
     m = max(16, int(np.ceil(np.sqrt(shape.n * lists / per_filter))))
     code = [ProductCode(dim, m, lists, seed=17 + k) for k in range(codes)]
-    listed = classes.where(F.size("v") == dim).select("id", "n", "v").mapInArrow(
-        _into_filters(code, dim), "bin long, id long, n long, v array<float>, own array<long>"
-    )
+    unique = classes.where(F.size("v") == dim)
+    listed = unique.select("id", "v").mapInArrow(_into_filters(code, dim), "bin long, id long")
     listed = materialize(spark, listed, "cap-filters")
     size = listed.groupBy("bin").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    dealt = listed.join(size, "bin").withColumn("i", F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / BLOCK)))
-    blocks = dealt.groupBy("bin", "i").agg(F.collect_list(F.struct("id", "n", "v", "own")).alias("x"))
-    blocks = materialize(spark, blocks, "cap-blocks")
-    other = blocks.select("bin", F.col("i").alias("j"), F.col("x").alias("y"))
-    met = blocks.join(other, "bin").where("i <= j").select("bin", "i", "j", "x", "y").mapInArrow(_link(threshold, dim), "id long, links long, label long")
+    size = size.select("bin", F.ceil(F.col("members") / BLOCK).alias("parts"))
+    dealt = listed.join(size, "bin").withColumn("i", F.pmod(F.xxhash64("id"), "parts"))
+    dealt = materialize(spark, dealt, "cap-dealt").join(unique, "id")
+
+    def blocks(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("bin", "i").agg(F.collect_list(F.struct("id", "n", "v")).alias("x"))
+
+    # nearly all filters are one block; only larger ones are written and joined
+    single = blocks(dealt.where("parts = 1")).select("bin", "i", F.col("i").alias("j"), "x", F.col("x").alias("y"))
+    large = materialize(spark, blocks(dealt.where("parts > 1")), "cap-blocks")
+    other = large.select("bin", F.col("i").alias("j"), F.col("x").alias("y"))
+    pairs = single.unionByName(large.join(other, "bin").where("i <= j").select("bin", "i", "j", "x", "y"))
+    met = pairs.mapInArrow(_link(code, threshold, dim), "id long, links long, label long")
     met = materialize(spark, met, "cap-links")
     count = met.groupBy("id").agg(F.sum("links").alias("links"))
     parts = connected_components(spark, met.select(F.col("id").alias("a"), F.col("label").alias("b")).distinct())
