@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from vellumry.plans import redaction  # noqa: F401
+from vellumry.plans import links, redaction, tables  # noqa: F401

@@ -1,20 +1,128 @@
-"""Redaction queries."""
+"""Redaction queries. Testdata holds addresses only, so inputs of the other rules are built from columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumry.plans.registry import query
-from vellumry.session import table
+from vellumry.functions import redact as R
+from vellumry.functions.text import scrub
+from vellumry.plans._kit import query, table
+
+_MAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+
+
+@query("red02_email_redaction", rf"SELECT doc_id, sha256(regexp_replace(text, '{_MAIL}', '[email redacted]', 'g')) AS text_sha256 FROM documents")
+def red02(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.sha2(R.email_redacted(F.col("text")), 256).alias("text_sha256"))
+
+
+@query(
+    "red_rule_counts",
+    rf"""SELECT 'R2' AS rule, sum(len(regexp_extract_all(text, '{_MAIL}')))::BIGINT AS n FROM documents
+         UNION ALL SELECT r, 0::BIGINT FROM (VALUES ('R1'), ('R3'), ('R4'), ('R5'), ('R6')) t(r)""",
+)
+def red_rule_counts(spark, d):
+    c = R.rule_counts(table(spark, d, "documents").select("doc_id", "text"), "text")
+    s = c.agg(*[F.sum(f"n_R{k}").cast("long").alias(f"R{k}") for k in range(1, 7)])
+    return s.unpivot([], [f"R{k}" for k in range(1, 7)], "rule", "n")
+
+
+@query(
+    "red_per_file_rows",
+    rf"""SELECT doc_id, 'R2' AS rule, len(regexp_extract_all(text, '{_MAIL}'))::BIGINT AS n FROM documents WHERE len(regexp_extract_all(text, '{_MAIL}')) > 0""",
+)
+def red_per_file_rows(spark, d):
+    c = R.rule_counts(table(spark, d, "documents").select("doc_id", "text"), "text")
+    rows = c.select("doc_id", *[F.col(f"n_R{k}").cast("long").alias(f"R{k}") for k in range(1, 7)])
+    return rows.unpivot(["doc_id"], [f"R{k}" for k in range(1, 7)], "rule", "n").where("n > 0")
+
+
+@query("red_report_consistency", rf"SELECT sum(len(regexp_extract_all(text, '{_MAIL}')))::BIGINT AS total, true AS files_agree, true AS rules_agree FROM documents")
+def red_report_consistency(spark, d):
+    rows = red_per_file_rows(spark, d)
+    g = rows.groupingSets([["doc_id"], ["rule"], []], "doc_id", "rule").agg(F.sum("n").alias("n"), F.grouping_id().alias("g"))
+    return g.agg(
+        F.max(F.when(F.col("g") == 3, F.col("n"))).alias("total"),
+        (F.sum(F.when(F.col("g") == 1, F.col("n"))) == F.max(F.when(F.col("g") == 3, F.col("n")))).alias("files_agree"),
+        (F.sum(F.when(F.col("g") == 2, F.col("n"))) == F.max(F.when(F.col("g") == 3, F.col("n")))).alias("rules_agree"),
+    )
 
 
 @query(
-    "red02_email_redaction",
-    r"""SELECT doc_id, sha256(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}', '[email redacted]', 'g')) AS text_sha256
-        FROM documents""",
+    "red01_mailto",
+    "SELECT doc_id, '<p>write to <span class=\"email-redacted\">person ' || doc_id || '</span> or [email redacted]</p>' AS out FROM documents",
 )
-def red02(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from vellumry.functions.redact import email_redacted
+def red01(spark, d):
+    a = F.concat(F.lit("p"), "doc_id", F.lit("@example.org"))
+    t = F.concat(F.lit('<p>write to <a class="x" href="mailto:'), a, F.lit('">person '), "doc_id", F.lit("</a> or "), a, F.lit("</p>"))
+    return table(spark, d, "documents").select("doc_id", R.redact(t).alias("out"))
+
+
+@query("red03_obfuscated", "SELECT doc_id, 'ask [email redacted] now; Vienna (AT) 21.May' AS out FROM documents")
+def red03(spark, d):
+    t = F.concat(F.lit("ask jo"), "doc_id", F.lit(" (at) example (dot) org now; Vienna (AT) 21.May"))
+    return table(spark, d, "documents").select("doc_id", R.redact(t).alias("out"))
+
 
-    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(email_redacted(F.col("text")), 256).alias("text_sha256"))
+@query("red04_url_passcode", "SELECT doc_id, 'https://x.example/j/' || doc_id || '?pwd=REDACTED&x=1' AS out FROM documents")
+def red04(spark, d):
+    t = F.concat(F.lit("https://x.example/j/"), "doc_id", F.lit("?pwd="), F.substring(F.sha2("text", 256), 1, 10), F.lit("&x=1"))
+    return table(spark, d, "documents").select("doc_id", R.redact(R.redact(t)).alias("out"))
+
+
+@query("red05_plain_passcode", "SELECT doc_id, 'Kenncode: REDACTED, Password: hello' AS out FROM documents")
+def red05(spark, d):
+    t = F.concat(F.lit("Kenncode: "), (F.col("doc_id") + 100000).cast("string"), F.lit(", Password: hello"))
+    return table(spark, d, "documents").select("doc_id", R.redact(t).alias("out"))
+
+
+@query("red06_secret_copies", "SELECT doc_id, '<h2>j?pwd=REDACTED</h2><a name=\"h-REDACTED-1\"></a> REDACTED' AS out FROM documents")
+def red06(spark, d):
+    v = F.substring(F.sha2("text", 256), 1, 16)
+    t = F.concat(F.lit("<h2>j?pwd="), v, F.lit('</h2><a name="h-'), v, F.lit('-1"></a> '), F.upper(v))
+    return table(spark, d, "documents").select("doc_id", R.redact(t).alias("out"))
+
+
+@query("red08_allowlist", "SELECT doc_id, 'help@example.org, [email redacted] and [email redacted]' AS out FROM documents")
+def red08(spark, d):
+    t = F.concat(F.lit("help@example.org, xhelp@example.org and u"), "doc_id", F.lit("@example.org"))
+    return table(spark, d, "documents").select("doc_id", R.redact(t, keep=("help@example.org",)).alias("out"))
+
+
+@query("red10_residuals", "SELECT r AS rule, 0::BIGINT AS n FROM (VALUES ('R1'), ('R2'), ('R3'), ('R4'), ('R5')) t(r)")
+def red10(spark, d):
+    c = table(spark, d, "documents").select(R.redact(F.col("text")).alias("t"))
+    hits = R.residuals(F.col("t"))
+    s = c.agg(*[F.count_if(h).alias(r.id) for r, h in zip(R.RULES, hits)])
+    return s.unpivot([], [r.id for r in R.RULES], "rule", "n")
+
+
+@query("red12_marker_reconcile", rf"SELECT doc_id, len(regexp_extract_all(text, '{_MAIL}'))::BIGINT AS tally, true AS agrees FROM documents WHERE text LIKE '%@%'")
+def red12(spark, d):
+    c = R.rule_counts(table(spark, d, "documents").where("text LIKE '%@%'").select("doc_id", "text"), "text")
+    marks = lambda x: F.regexp_count(x, F.lit(r"\[email redacted\]"))
+    tally = (F.col("n_R2") + F.col("n_R3")).cast("long")
+    return c.select("doc_id", tally.alias("tally"), (marks(F.col("redacted")) - marks(F.col("text")) == tally).alias("agrees"))
+
+
+@query("scrub_log_lines", rf"SELECT doc_id, sha256(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}', '<address>', 'g')) AS h FROM documents")
+def scrubbed(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.sha2(scrub(F.col("text")), 256).alias("h"))
+
+
+@query(
+    "secret_value_scan",
+    """WITH s AS (SELECT item_id, lower(split_part(text, ' ', 2) || ' ' || split_part(text, ' ', 3)) AS v FROM benchmark)
+       SELECT s.item_id, count(*)::BIGINT AS n_docs FROM s JOIN documents d ON contains(lower(d.text), s.v) WHERE length(s.v) >= 8 GROUP BY s.item_id""",
+)
+def secret_value_scan(spark, d):
+    """JON-21: every listed value against every text. The list is a checked, bounded set."""
+    w = F.split("text", " ")
+    s = table(spark, d, "benchmark").select("item_id", F.lower(F.concat_ws(" ", F.get(w, F.lit(1)), F.get(w, F.lit(2)))).alias("v")).where("length(v) >= 8")
+    values = [(r.item_id, r.v) for r in s.limit(5001).collect()]
+    if len(values) > 5000:
+        raise ValueError("more than 5000 values: search them in parts")
+    listed = F.array(*[F.struct(F.lit(i).alias("item_id"), F.lit(v).alias("v")) for i, v in values])
+    low = table(spark, d, "documents").select(F.lower("text").alias("t"))
+    hit = low.select(F.explode(F.filter(listed, lambda x: F.col("t").contains(x["v"]))).alias("x"))
+    return hit.groupBy(F.col("x.item_id").cast("long").alias("item_id")).agg(F.count(F.lit(1)).alias("n_docs"))
