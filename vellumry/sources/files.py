@@ -5,20 +5,30 @@ from __future__ import annotations
 import gzip
 import io
 import json
+import re
 import zipfile
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-POST = T.StructType.fromDDL(
+_KINDS = {"long": T.LongType(), "string": T.StringType(), "boolean": T.BooleanType(), "strings": T.ArrayType(T.StringType()), "longs": T.ArrayType(T.LongType())}
+
+
+def fields(text: str) -> T.StructType:
+    """A schema from 'name kind' pairs; no session is needed."""
+    return T.StructType([T.StructField(n, _KINDS[k]) for n, k in (x.split() for x in text.split(","))])
+
+
+POST = fields(
     "id long, post_number long, post_type long, topic_id long, created_at string, username string, name string, "
     "reply_to_post_number long, cooked string, hidden boolean, user_deleted boolean, deleted_at string"
 )
-TOPIC = T.StructType.fromDDL("id long, slug string, title string, category_id long, created_at string, last_posted_at string, pinned boolean, closed boolean, archived boolean, tags array<string>").add(
-    "post_stream", T.StructType().add("stream", T.ArrayType(T.LongType())).add("posts", T.ArrayType(POST))
-)
+TOPIC = fields("id long, slug string, title string, category_id long, created_at string, last_posted_at string, pinned boolean, closed boolean, archived boolean, tags strings")
+TOPIC = T.StructType([*TOPIC.fields, T.StructField("post_stream", T.StructType([T.StructField("stream", _KINDS["longs"]), T.StructField("posts", T.ArrayType(POST))]))])
+_LISTED = fields("id long, category_id long, posts_count long")
+LISTING = T.StructType([T.StructField("topic_list", T.StructType([T.StructField("topics", T.ArrayType(_LISTED))]))])
 
 
 def json_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -50,8 +60,7 @@ def renderable(posts: DataFrame) -> DataFrame:
 
 def listing_complete(spark: SparkSession, folder: str) -> DataFrame:
     """(category_id, pages, complete): a full enumeration of category/{id}-p{N}.json ends with an empty page."""
-    schema = T.StructType.fromDDL("topic_list struct<topics: array<struct<id: long, category_id: long, posts_count: long>>>")
-    d = json_documents(spark, f"{folder.rstrip('/')}/category/*.json", schema)
+    d = json_documents(spark, f"{folder.rstrip('/')}/category/*.json", LISTING)
     d = d.select(F.regexp_extract("file", r"^([0-9]+)-p([0-9]+)\.json$", 1).cast("long").alias("category_id"), F.regexp_extract("file", r"-p([0-9]+)\.json$", 1).cast("long").alias("page"), F.size("topic_list.topics").alias("n"))
     return d.groupBy("category_id").agg(F.count(F.lit(1)).alias("pages"), (F.max_by("n", "page") == 0).alias("complete"))
 
@@ -73,36 +82,43 @@ def kind_by_magic(content):
     return F.when(head.contains("255044462D"), "pdf").when(F.startswith(head, F.lit("504B0304")), "zip").when(F.startswith(head, F.lit("1F8B")), "gzip").otherwise("other")
 
 
-@F.pandas_udf("string")
-def gzip_json(content: pd.Series) -> pd.Series:
+def _gzip_json(b: bytes | None) -> str | None:
+    try:
+        text = gzip.decompress(b).decode()
+        at = text.index("{")
+        json.loads(text[at:])
+        return text[at:]
+    except Exception:
+        return None
+
+
+def _docx_text(b: bytes | None) -> str | None:
+    try:
+        with zipfile.ZipFile(io.BytesIO(b)) as z:
+            parts = [z.read(n).decode("utf-8", "replace") for n in z.namelist() if re.fullmatch(r"word/[^/]+\.xml", n)]
+    except Exception:
+        return None
+    return "\n".join(re.sub(r"<[^>]*>", "", re.sub(r"</w:p>", "\n", p)) for p in parts) if parts else None
+
+
+def gzip_json(content: Column) -> Column:
     """JSON text of gzip content, a leading magic word skipped; null if it is neither."""
 
-    def one(b: bytes | None) -> str | None:
-        try:
-            text = gzip.decompress(b).decode()
-            at = text.index("{")
-            json.loads(text[at:])
-            return text[at:]
-        except Exception:
-            return None
+    @F.pandas_udf("string")
+    def run(c: pd.Series) -> pd.Series:
+        return c.map(_gzip_json)
 
-    return content.map(one)
+    return run(content)
 
 
-@F.pandas_udf("string")
-def docx_text(content: pd.Series) -> pd.Series:
-    """XML text of the word/ parts of a zip document; null for other content."""
-    import re
+def docx_text(content: Column) -> Column:
+    """Text of the word/ parts of a zip document; null for other content."""
 
-    def one(b: bytes | None) -> str | None:
-        try:
-            with zipfile.ZipFile(io.BytesIO(b)) as z:
-                parts = [z.read(n).decode("utf-8", "replace") for n in z.namelist() if re.fullmatch(r"word/[^/]+\.xml", n)]
-        except Exception:
-            return None
-        return "\n".join(re.sub(r"<[^>]*>", "", re.sub(r"</w:p>", "\n", p)) for p in parts) if parts else None
+    @F.pandas_udf("string")
+    def run(c: pd.Series) -> pd.Series:
+        return c.map(_docx_text)
 
-    return content.map(one)
+    return run(content)
 
 
 def sitemap(spark: SparkSession, path: str) -> DataFrame:
