@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from vellumry.llm.bytehash import U64, chunks, mix64
 from vellumry.llm.components import connected_components
 from vellumry.llm.shingles import shingle_sets
-from vellumry.llm.storage import materialize
+from vellumry.llm.storage import materialize, only
 
 ROWS, BANDS = 6, 26
 BINS = ROWS * BANDS
@@ -193,7 +193,6 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
     reps = classes.select(F.col("rep").alias("doc_id")).distinct()
     unique = sets.join(reps, "doc_id", "left_semi")
     sketches = unique.select("doc_id", "sketch")
-    texts = docs.join(reps, "doc_id", "left_semi")
 
     banded = unique.select(F.posexplode("bands").alias("band", "key"), "doc_id")
     leads = banded.groupBy("key").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("most")).where("lead < most")
@@ -206,6 +205,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
 
     def confirmed(near: DataFrame, name: str) -> DataFrame:
         near = materialize(spark, near, name)
+        ids = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct()
+        texts = only(docs, materialize(spark, ids, name + "-ids"))
         t = near.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
         t = t.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
         links = t.select("a", "b", "ta", "tb").mapInArrow(_confirm(percent), "a long, b long")
@@ -220,7 +221,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
     )
     mixed = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
     rest = materialize(spark, named.join(mixed, "key", "left_semi"), "minhash-mixed")
-    short = texts.join(rest.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(_short_sets, "doc_id long, short binary")
+    ids = materialize(spark, rest.select("doc_id").distinct(), "minhash-mixed-ids")
+    short = only(docs, ids).mapInArrow(_short_sets, "doc_id long, short binary")
     rest = rest.join(unique.select("doc_id", "n_shingles", "bands", "sketch"), "doc_id").join(short, "doc_id")
     in_key = Window.partitionBy("key").orderBy("c", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     rest = rest.withColumn("i", F.floor(F.coalesce(F.sum("n_shingles").over(in_key), F.lit(0)) / BLOCK_SHINGLES).cast("long"))

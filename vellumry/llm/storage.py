@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LOCAL_FALLBACK = "/tmp/vellumry-checkpoints"
 
@@ -28,3 +29,18 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Ids that are broadcast at most: about 30 MB as a hash table.
+MOST_BROADCAST_IDS = 1_000_000
+
+
+def only(docs: DataFrame, ids: DataFrame, name: str = "doc_id") -> DataFrame:
+    """The rows of docs whose id is among ids (a written table of distinct ids with one column of that name).
+
+    ids are counted: up to MOST_BROADCAST_IDS of them are sent to the scan of
+    docs, so texts that aren't needed are never shuffled; more meet docs in a
+    shuffle join. The rows are the same.
+    """
+    few = ids.count() <= MOST_BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, name, "left_semi")
