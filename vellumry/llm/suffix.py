@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vellumry.llm.bytehash import BYTE_VALUE, U64, RangeHash, chunks, mix64
-from vellumry.llm.storage import materialize
+from vellumry.llm.storage import materialize, only
 
 GRAM = 32
 _GRAM_STEPS = [mix64(np.array([k + 77], U64))[0] | U64(1) for k in range(5)]
@@ -208,7 +208,8 @@ def repeated_starts(spark: SparkSession, docs: DataFrame, length: int = 100) ->
 
     def cut(ranked: DataFrame, width: int) -> DataFrame:
         spans = ranked.where("NOT again").groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-        return docs.join(spans, "doc_id").select("doc_id", "text", "places").mapInArrow(_slices(length, width), RUN_SCHEMA)
+        ids = materialize(spark, ranked.where("NOT again").select("doc_id").distinct(), "suffix-open")
+        return only(docs, ids).join(spans, "doc_id").select("doc_id", "text", "places").mapInArrow(_slices(length, width), RUN_SCHEMA)
 
     runs = _ranked(spark, docs.mapInArrow(_runs(length), RUN_SCHEMA), "suffix-runs")
     slices = _ranked(spark, cut(runs, SLICE), "suffix-slices")
