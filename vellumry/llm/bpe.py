@@ -20,6 +20,7 @@ Null texts count as empty; an empty text has no ids and decodes to "".
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Runs and words kept by each worker, and the longest kept.
-CACHE_RUNS, CACHE_WORDS, CACHE_LENGTH = 800_000, 800_000, 64
+CACHE_RUNS, CACHE_WORDS, CACHE_LENGTH = 400_000, 800_000, 64
 #: A plain run: ASCII letters, then marks that start no contraction.
 _PLAIN = re.compile(r"([a-z]+)([^a-z0-9'\x00-\x20\x7f<]+)?")
 _FINAL = 0x10000  # added to the code of a word's last byte
@@ -180,7 +181,8 @@ class Encoder:
         if run.isascii():
             plain = _PLAIN.fullmatch(run.lower())
             if plain:
-                return self._known[plain[1]] + self._known[plain[2]] if plain[2] else self._known[plain[1]]
+                word = run if plain[1] == run else plain[1]  # one string object for both tables
+                return self._known[word] + self._known[plain[2]] if plain[2] else self._known[word]
         parts = self._special_re.split(run) if self._special_re and "<|" in run else [run]
         out = []
         for part in parts:
@@ -216,6 +218,13 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def release() -> None:
+    """Free this worker's encoders; other operators call it first, as Spark hands workers on."""
+    if encoder.cache_info().currsize:
+        encoder.cache_clear()
+        gc.collect()  # an encoder and its table of pairs refer to each other
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vellumry.llm.bpe import release
 from vellumry.llm.bytehash import chunks
 from vellumry.llm.shingles import _SPACE, word_hashes
 
@@ -209,6 +210,7 @@ def keep(docs: DataFrame, model: ByteCNN, least: float) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in batches:
             p = [model.scores(buf, off) for _, _, buf, off in chunks(b.column(at))]
             yield b.filter(pa.array(np.concatenate(p) >= least)) if p else b
@@ -218,6 +220,7 @@ def keep(docs: DataFrame, model: ByteCNN, least: float) -> DataFrame:
 
 def _score(model: ByteCNN):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in batches:
             for i, j, buf, off in chunks(b.column(1)):
                 p = model.scores(buf, off)

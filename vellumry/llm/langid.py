@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vellumry.llm.bpe import release
 from vellumry.llm.bytehash import U64, chunks, mix64
 
 BUCKETS, DIM, SIZES = 1 << 16, 16, (2, 3, 4)
@@ -174,6 +175,7 @@ def keep(docs: DataFrame, model: LanguageModel) -> DataFrame:
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in batches:
             ok = [_judge(model, buf, off)[2] for _, _, buf, off in chunks(b.column(place))]
             yield b.filter(pa.array(np.concatenate(ok))) if ok else b

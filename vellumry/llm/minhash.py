@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from vellumry.llm.bpe import release
 from vellumry.llm.bytehash import U64, chunks, mix64
 from vellumry.llm.components import connected_components
 from vellumry.llm.shingles import shingle_sets
@@ -75,6 +76,7 @@ def band_keys(values: np.ndarray) -> np.ndarray:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     for batch in batches:
         ids = batch.column(0)
         for i, j, buf, off in chunks(batch.column(1)):

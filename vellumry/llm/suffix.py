@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vellumry.llm.bpe import release
 from vellumry.llm.bytehash import BYTE_VALUE, U64, RangeHash, chunks, mix64
 from vellumry.llm.storage import materialize, only
 
@@ -131,6 +132,7 @@ def _combined(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
 
 def _runs(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         parts: list[tuple[np.ndarray, ...]] = []
         held = 0
         for batch in batches:
