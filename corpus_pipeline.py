@@ -15,6 +15,8 @@ from vellumry.llm.storage import materialize
 
 #: Documents that score lower are rejected.
 QUALITY = 0.3
+#: Runs and words that the last stage keeps encoded in each worker: few, as its workers also serve the other stages.
+TABLES = (100_000, 100_000)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +46,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 ids."""
-    return packing.pack(spark, docs, capacity=2048, end_id=1)
+    return packing.pack(spark, docs, capacity=2048, end_id=1, tables=TABLES)
 
 
 STAGES = [

@@ -70,7 +70,7 @@ class _Table(dict):
 class Encoder:
     """Encoder and decoder of one tokenizer file with word ends."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, tables: tuple[int, int] = (CACHE_RUNS, CACHE_WORDS)):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -110,8 +110,8 @@ class Encoder:
         self._special_re = re.compile("(" + "|".join(map(re.escape, self._special)) + ")") if self._special else None
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self._words = regex.compile(pattern)
-        self._runs = _Table(self._run, CACHE_RUNS)
-        self._known = _Table(self._word_ids, CACHE_WORDS)
+        self._runs = _Table(self._run, tables[0])
+        self._known = _Table(self._word_ids, tables[1])
         # decoding: the library joins the tokens' own strings with spaces, as this file has no decoder
         names = {i: t for t, i in vocab.items()} | {x["id"]: x["content"] for x in spec["added_tokens"]}
         pieces = [(names.get(i, "") + " ").encode() for i in range(max(names) + 1)]
@@ -213,9 +213,9 @@ class Encoder:
 
 
 @lru_cache(2)
-def encoder(path: str) -> Encoder:
-    """One encoder for each worker process and file."""
-    return Encoder(path)
+def encoder(path: str, tables: tuple[int, int] = (CACHE_RUNS, CACHE_WORDS)) -> Encoder:
+    """One encoder for each worker process, file and size of tables (runs, words)."""
+    return Encoder(path, tables)
 
 
 def release() -> None:

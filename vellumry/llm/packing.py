@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vellumry.llm.bpe import encoder, tokenizer_path
+from vellumry.llm.bpe import CACHE_RUNS, CACHE_WORDS, encoder, tokenizer_path
 from vellumry.llm.histpack import shortest_pack_first
 from vellumry.llm.storage import materialize
 
@@ -36,9 +36,9 @@ _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 _PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def _pieces(capacity: int, end_id: int, path: str | None):
+def _pieces(capacity: int, end_id: int, path: str | None, tables: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(path or tokenizer_path())
+        e = encoder(path or tokenizer_path(), tables)
         end = np.array([end_id], "<u4").tobytes()
         part, seen, step = TaskContext.get().partitionId(), defaultdict(int), 4 * capacity
         for b in batches:
@@ -84,10 +84,14 @@ def _assign(key: np.ndarray, first: np.ndarray, offset: np.ndarray):
     return run
 
 
-def pack(spark: SparkSession, docs: DataFrame, capacity: int = 2048, end_id: int = 1, path: str | None = None) -> DataFrame:
-    """docs (doc_id, text, ...) -> one row for each piece: where it lies in its document and in its sequence."""
+def pack(spark: SparkSession, docs: DataFrame, capacity: int = 2048, end_id: int = 1, path: str | None = None, tables: tuple[int, int] = (CACHE_RUNS, CACHE_WORDS)) -> DataFrame:
+    """docs (doc_id, text, ...) -> one row for each piece: where it lies in its document and in its sequence.
+
+    tables: runs and words that a worker keeps encoded; larger is faster and takes
+    about 150 bytes each.
+    """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    pieces = materialize(spark, texts.mapInArrow(_pieces(capacity, end_id, path), _PIECE), "pack-pieces")
+    pieces = materialize(spark, texts.mapInArrow(_pieces(capacity, end_id, path, tables), _PIECE), "pack-pieces")
     each = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     each = materialize(spark, each, "pack-counts")
     histogram = {r.length: r.n for r in each.groupBy("length").agg(F.sum("n").alias("n")).collect()}
