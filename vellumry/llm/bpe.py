@@ -20,6 +20,8 @@ Null texts count as empty; an empty text has no ids and decodes to "".
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import hashlib
 import json
@@ -223,6 +225,8 @@ def release() -> None:
     if encoder.cache_info().currsize:
         encoder.cache_clear()
         gc.collect()  # an encoder and its table of pairs refer to each other
+    with contextlib.suppress(OSError, AttributeError):  # where the C library can give freed memory back
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:

@@ -46,7 +46,7 @@ from vellumry.llm.storage import materialize, only
 GRAM = 32
 _GRAM_STEPS = [mix64(np.array([k + 77], U64))[0] | U64(1) for k in range(5)]
 #: Runs gathered before repeats within them are looked for.
-COMBINE = 1 << 19
+COMBINE = 1 << 17
 
 #: Starts of a slice of a run.
 SLICE = 8
