@@ -303,6 +303,13 @@ def test_cap_filters(spark, vectors):
     assert capfilter.near_duplicates(spark, vectors.limit(0)).count() == 0
 
 
+def test_cap_filters_miss_no_more_in_large_tables():
+    few, many = (capfilter.enough_codes(64, m, 16, 0.95, 1e-6) for m in (57, 542))
+    assert len(few) < len(many)
+    # m of 4.7 million vectors: two codes of twelve filters missed 5 of 15,000 such pairs
+    assert capfilter.missed(many, *capfilter._pairs(15_000, 64, 0.95, seed=3)) == 0
+
+
 def test_url_filter(spark):
     caps = spark.createDataFrame(
         [(1, "http://a.b.org/x/y?q", "2024-01-05"), (2, "https://B.org:80", "2024-01-10"), (3, "http://b.org/", "2024-01-20"), (4, None, "2024-01-05"), (5, "no url", None), (1, "http://a.b.org/x/y?q", "2024-01-05")],

@@ -6,10 +6,12 @@ cost ``2 m`` products. A vector belongs to every filter whose direction it excee
 the threshold on, listed from the two sorted halves without trying all pairs. The
 threshold is the quantile of a random direction that puts ``lists`` filters on a
 vector whatever the data; ``m`` grows with the number of vectors, so that filters
-hold about ``per_filter`` unclustered ones. Lists vary in length with the short codes
-(a hundredth of the vectors have two filters or fewer of 32), so ``codes`` independent
-codes are used: a pair at 0.95 that one code misses with a chance of about 0.02 is
-missed by all of four with one of about one in a million.
+hold about ``per_filter`` unclustered ones. A longer code misses more pairs (at 0.95 and
+64 dimensions fewer than one in 1,000 at 50 thousand vectors, about one in 60 at 117
+million), so the chance that one code misses a pair at the threshold is measured on
+random pairs for the ``m`` in use, and so many independent codes are taken that all of
+them miss it with a chance below ``miss`` at every size. Turned at random, a code's
+chance depends on the pair's cosine alone, and closer pairs are missed less.
 
 Equal vectors are one class before any filter. A filter's members are cut into
 blocks; of each block pair only link counts and component labels of its members
@@ -36,6 +38,12 @@ from vellumry.llm.rpforest import usable
 from vellumry.llm.storage import materialize
 
 BLOCK = 512
+#: Rows that are scored at once.
+ROWS = 1024
+#: Random pairs that a code is tried on, and codes that are tried.
+TRIED_PAIRS, TRIED_CODES = 4000, 2
+#: Bytes of vectors in a task of the block step, and most tasks of it.
+TASK_BYTES, MOST_TASKS = 16 << 20, 1 << 15
 #: Steps of a filter score.
 GRID = 1e9
 
@@ -59,6 +67,9 @@ class ProductCode:
 
     def filters(self, unit: np.ndarray) -> list[np.ndarray]:
         """Sorted filters of each unit vector: all pairs of codewords that it exceeds the threshold on."""
+        return [x for at in range(0, len(unit), ROWS) for x in self._some(unit[at : at + ROWS])]
+
+    def _some(self, unit: np.ndarray) -> list[np.ndarray]:
         # integers from sums in a fixed order: alike wherever and with whatever rows a vector is listed again
         x = np.einsum("ij,jk->ik", unit, self.turn)
         a = np.rint(np.einsum("ij,kj->ik", x[:, : self.half], self.first) * GRID).astype(np.int64)
@@ -76,6 +87,34 @@ class ProductCode:
         return out
 
 
+def _pairs(n: int, dim: int, cosine: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """n pairs of unit vectors at the cosine, in random directions."""
+    r = np.random.default_rng(seed)
+    a, b = r.normal(size=(2, n, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    return a, cosine * a + np.sqrt(1 - cosine * cosine) * b
+
+
+def missed(codes: list[ProductCode], a: np.ndarray, b: np.ndarray) -> int:
+    """Pairs of rows of a and b without a common filter."""
+    return sum(not len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(_lists(codes, a), _lists(codes, b)))
+
+
+def enough_codes(dim: int, m: int, lists: float, threshold: float, miss: float, seed: int = 17) -> list[ProductCode]:
+    """So many codes that all of them miss a pair at the threshold with a chance below miss.
+
+    One code's chance is taken two standard deviations, and three pairs more, above what is measured.
+    """
+    if dim < 2:  # the only directions are equal or opposite ones
+        return [ProductCode(dim, m, lists, seed)]
+    a, b = _pairs(TRIED_PAIRS, dim, min(1.0, max(-1.0, threshold)), seed)
+    found = sum(missed([ProductCode(dim, m, lists, seed + k)], a, b) for k in range(TRIED_CODES))
+    chance = min(0.99, (found + 2 * np.sqrt(found) + 3) / (TRIED_PAIRS * TRIED_CODES))
+    return [ProductCode(dim, m, lists, seed + k) for k in range(max(1, int(np.ceil(np.log(miss) / np.log(chance)))))]
+
+
 def _units(col: pa.Array, dim: int) -> np.ndarray:
     x = np.asarray(col.flatten(), np.float64).reshape(-1, dim)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -115,7 +154,8 @@ def _link(codes: list[ProductCode], threshold: float, dim: int):
         for b in batches:
             for at in range(b.num_rows):
                 bin_, i, j = (b.column(k)[at].as_py() for k in range(3))
-                x, y = (b.column(k)[at].values for k in (3, 4))
+                x = b.column(3)[at].values
+                y = x if i == j else b.column(4)[at].values
                 ids = [np.asarray(z.field("id")) for z in (x, y)]
                 n = [np.asarray(z.field("n")) for z in (x, y)]
                 unit = [_units(z.field("v"), dim) for z in (x, y)]
@@ -152,7 +192,7 @@ def _link(codes: list[ProductCode], threshold: float, dim: int):
     return run
 
 
-def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float = 0.95, codes: int = 2, lists: float = 12, per_filter: int = 256) -> DataFrame:
+def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float = 0.95, lists: float = 16, per_filter: int = 256, miss: float = 1e-6) -> DataFrame:
     """vectors (vec_id long, embedding array<float>) -> (vec_id, n_links, component_id, kept), one row per row."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("v"))
     good = rows.where(usable(F.col("v")) & F.col("vec_id").isNotNull())
@@ -163,23 +203,25 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     dim = shape.dim
     m = max(16, int(np.ceil(np.sqrt(shape.n * lists / per_filter))))
-    code = [ProductCode(dim, m, lists, seed=17 + k) for k in range(codes)]
+    code = enough_codes(dim, m, lists, threshold, miss)
     unique = classes.where(F.size("v") == dim)
     listed = unique.select("id", "v").mapInArrow(_into_filters(code, dim), "bin long, id long")
     listed = materialize(spark, listed, "cap-filters")
     size = listed.groupBy("bin").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     size = size.select("bin", F.ceil(F.col("members") / BLOCK).alias("parts"))
     dealt = listed.join(size, "bin").withColumn("i", F.pmod(F.xxhash64("id"), "parts"))
-    dealt = materialize(spark, dealt, "cap-dealt").join(unique, "id")
+    dealt = materialize(spark, dealt, "cap-dealt")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_TASKS, dealt.count() * 4 * dim // TASK_BYTES))
+    dealt = dealt.join(unique, "id")
 
     def blocks(rows: DataFrame) -> DataFrame:
-        return rows.groupBy("bin", "i").agg(F.collect_list(F.struct("id", "n", "v")).alias("x"))
+        return rows.repartition(tasks, "bin", "i").groupBy("bin", "i").agg(F.collect_list(F.struct("id", "n", "v")).alias("x"))
 
-    # nearly all filters are one block; only larger ones are written and joined
-    single = blocks(dealt.where("parts = 1")).select("bin", "i", F.col("i").alias("j"), "x", F.col("x").alias("y"))
+    # nearly all filters are one block; only larger ones are written and joined; a block that meets itself is sent once
     large = materialize(spark, blocks(dealt.where("parts > 1")), "cap-blocks")
+    single = blocks(dealt.where("parts = 1")).select("bin", "i", F.col("i").alias("j"), "x", F.lit(None).cast(large.schema["x"].dataType).alias("y"))
     other = large.select("bin", F.col("i").alias("j"), F.col("x").alias("y"))
-    pairs = single.unionByName(large.join(other, "bin").where("i <= j").select("bin", "i", "j", "x", "y"))
+    pairs = single.unionByName(large.join(other, "bin").where("i <= j").select("bin", "i", "j", "x", F.when(F.col("i") < F.col("j"), F.col("y")).alias("y")))
     met = pairs.mapInArrow(_link(code, threshold, dim), "id long, links long, label long")
     met = materialize(spark, met, "cap-links")
     count = met.groupBy("id").agg(F.sum("links").alias("links"))
