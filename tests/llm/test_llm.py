@@ -254,6 +254,20 @@ def test_html(spark):
         assert r.n_chars == len(r.text)
 
 
+@pytest.mark.parametrize(
+    "skipped",
+    [
+        "<svg viewBox='0 0 1 1'/>", "<math />", "<svg><svg><text>x</text></svg><text>y</text></svg>", "<button>Buy</p>", "<select><option>x<option>y</p>", "<object data=x></p>", "<noscript>On</p>",
+        "<svg><path d='M0'></p>", "<svg><g><text>x", "<button>Buy", "<object><b>x</b>", "<button>Buy<button>Sell</button>", "<button><p>Buy</p></button>", "<svg><foreignObject><p>x</p></foreignObject></svg>",
+        "<noscript><p>x</p><script>'</noscript>'</script></noscript>", "<video src=x><p>No video</video>",
+    ],
+)
+def test_html_left_out_elements_end(skipped):
+    page = f"<body><article><h1>A title</h1><p>First words {skipped}<p>Second words of it.<p>Third words of it.</article></body>"
+    assert htmlcut.extract(page) == "A title\nFirst words\nSecond words of it.\nThird words of it."
+    assert htmlcut.extract(page.replace("</article></body>", "")).endswith("\nThird words of it.")
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     r = np.random.default_rng(1)

@@ -13,7 +13,9 @@ one space, character references are decoded. Scripts, styles, templates,
 controls, comments and hidden elements never become blocks.
 
 Defined results: null and empty pages, and pages without content, give "" and 0.
-Repeated rows give equal rows. Markup that never ends is closed by the page's end.
+Repeated rows give equal rows. Markup that never ends is closed by the page's end, a
+control, drawing or other left out element without an end tag by its parent's end
+(also where the parent's end tag is left out), a self-closed one at once.
 """
 
 from __future__ import annotations
@@ -28,9 +30,16 @@ from pyspark.sql import DataFrame
 
 # HTML elements by their role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript template svg math iframe object select button canvas audio video head datalist".split())
+RAW = set("script style textarea title iframe".split())
+SKIPPED = set("noscript template svg math object select button canvas audio video datalist".split())
+FOREIGN = {"svg", "math"}
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr img".split())
 CLOSES_P = set("address article aside blockquote details dialog div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+#: Start tags that end a drawing or formula in which they stand, and elements within one that hold HTML.
+BREAKS_OUT = CLOSES_P | set("b big body br center code dd dt em embed head i img li listing meta nobr ruby s small span strong strike sub sup tt u var".split())
+HOLDS_HTML = set("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+#: Start tags that end an open element by themselves, beside CLOSES_P for p.
+SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr"}, "tbody": {"tr"}, "option": {"option"}}
 LEFT_OUT = set("nav footer aside form menu dialog fieldset legend".split())
 # Words of class, id and role attributes.
 CHROME = set(
@@ -90,6 +99,54 @@ def _state(above: dict, tag: str, rest: str) -> dict:
 _NONE = {"left_out": False, "chrome": False, "body": False, "header": False, "hidden": False}
 
 
+def _raw_end(page: str, lower: str, tag: str, pos: int) -> int:
+    """Where the text of a raw-text element ends, after its end tag."""
+    stop = lower.find("</" + tag, pos) if len(lower) == len(page) else page.find("</" + tag, pos)
+    close = page.find(">", stop) if stop >= 0 else -1
+    return len(page) if close < 0 else close + 1
+
+
+def _skipped_end(page: str, lower: str, tag: str, pos: int, above: set[str]) -> int:
+    """Where a left out element ends: after its end tag, or before what ends one of the open elements above it."""
+    n = len(page)
+    inner: list[str] = []
+    implied = -1
+    closable = len(lower) != n or lower.find("</" + tag, pos) >= 0
+    while implied < 0 or closable:
+        m = _TAG.search(page, pos)
+        if m is None:
+            break
+        pos = m.end()
+        if m[0] == "<!--":
+            stop = page.find("-->", pos)
+            pos = n if stop < 0 else stop + 3
+            continue
+        if m["name"] is None:
+            continue
+        name = m["name"].lower()
+        if m["end"]:
+            if name in inner:
+                while inner.pop() != name:
+                    pass
+            elif name == tag:
+                return pos
+            elif name in above:
+                return implied if implied >= 0 else m.start()
+            continue
+        html_inside = tag not in FOREIGN or any(x in HOLDS_HTML for x in inner)
+        if not html_inside and name in BREAKS_OUT or name == tag and tag in ("button", "select"):
+            return implied if implied >= 0 else m.start()
+        if implied < 0 and "table" not in inner and (name in CLOSES_P and "p" in above or SAME.get(name, set()) & above):
+            implied = m.start()
+        if name in VOID or m["rest"].rstrip().endswith("/"):
+            continue
+        if name in RAW and html_inside:
+            pos = _raw_end(page, lower, name, pos)
+        else:
+            inner.append(name)
+    return implied if implied >= 0 else n
+
+
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in page order."""
     out: list[Block] = []
@@ -133,13 +190,13 @@ def blocks(page: str) -> list[Block]:
             continue
         tag = m["name"].lower()
         if not m["end"]:
-            if tag in RAW and tag != "head":
+            if tag in RAW or tag in SKIPPED:
                 lower = lower or page.lower()
-                stop = lower.find("</" + tag, pos) if len(lower) == n else page.find("</" + tag, pos)
-                close = page.find(">", stop) if stop >= 0 else -1
-                pos = n if close < 0 else close + 1
-                if tag not in INLINE:
-                    parts.append(" ")
+                if tag in RAW:
+                    pos = _raw_end(page, lower, tag, pos)
+                elif not m["rest"].rstrip().endswith("/"):
+                    pos = _skipped_end(page, lower, tag, pos, {t for t, _, _ in stack})
+                parts.append(" ")
                 continue
             if tag == "br":
                 parts.append(" ")
