@@ -268,6 +268,22 @@ def test_html_left_out_elements_end(skipped):
     assert htmlcut.extract(page.replace("</article></body>", "")).endswith("\nThird words of it.")
 
 
+@pytest.mark.parametrize("outer", ["article", "main"])
+@pytest.mark.parametrize("chrome", ["ad", "notice", "comments", "sidebar"])
+@pytest.mark.parametrize("inner", ["{}", "<h3>A heading of some words</h3>{}", "<div>{}</div>"])
+def test_html_long_chrome_in_body(outer, chrome, inner):
+    def words(of, n=60):
+        return " ".join(f"{of}{k}" for k in range(n))
+
+    cut = f"<div class={chrome}>" + inner.format(f"<p>{words('cut')}</p>") + "</div>"
+    if chrome != "sidebar":
+        cut += f"<div class={chrome}><div class=text><p>{words('cut')}</p></div></div>"
+    page = f"<body><{outer}><h1>A title</h1><p>{words('one')}</p>{cut}<p>{words('two')}</p></{outer}></body>"
+    assert htmlcut.extract(page) == f"A title\n{words('one')}\n{words('two')}"
+    wrapped = f"<body><main><h1>A title</h1><div class=has-sidebar><div class=entry-content><p>{words('one')}</p><p>{words('two')}</p></div></div></main></body>"
+    assert htmlcut.extract(wrapped) == f"A title\n{words('one')}\n{words('two')}"
+
+
 @pytest.fixture(scope="module")
 def vectors(spark):
     r = np.random.default_rng(1)

@@ -49,6 +49,8 @@ CHROME = set(
     "respond discussion disqus form search toolbar skip copyright legal disclaimer contentinfo complementary dialog pager pagination tags outbrain taboola "
     "paywall feedback rating author-bio hidden".split()
 )
+#: Words of chrome that also name the layout of an element around the text ("has-sidebar").
+LAYOUT = set("sidebar side menu nav navbar header head footer foot topbar toolbar".split())
 BODY = set("article articlebody content entry main maincontent post posts story text body prose page-content".split())
 
 #: Weights of the classifier (log odds of content) and of the smoothness edges.
@@ -84,19 +86,21 @@ def _state(above: dict, tag: str, rest: str) -> dict:
                 words.update(_WORD.findall(value.lower()))
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
                 hidden = True
-    left_out, chrome, body, header = above["left_out"], above["chrome"], above["body"], above["header"]
+    left_out, chrome, body, header, sealed = above["left_out"], above["chrome"], above["body"], above["header"], above["sealed"]
     if tag in LEFT_OUT:
         left_out = True
     if words & CHROME and tag not in ("html", "body"):
-        chrome = True
-    elif tag in ("article", "main") or (words & BODY and tag not in ("html", "body", "a", "p", "span")):
+        # body counts for nothing in chrome that is nearer, nor do body elements in an advert, notice or comment of the text
+        sealed = sealed or body and bool(words & CHROME - LAYOUT)
+        chrome, body = True, False
+    elif not sealed and (tag in ("article", "main") or (words & BODY and tag not in ("html", "body", "a", "p", "span"))):
         body = True
     if tag == "header" and not above["body"]:
         header = True
-    return {"left_out": left_out, "chrome": chrome, "body": body, "header": header, "hidden": hidden}
+    return {"left_out": left_out, "chrome": chrome, "body": body, "header": header, "hidden": hidden, "sealed": sealed}
 
 
-_NONE = {"left_out": False, "chrome": False, "body": False, "header": False, "hidden": False}
+_NONE = {"left_out": False, "chrome": False, "body": False, "header": False, "hidden": False, "sealed": False}
 
 
 def _raw_end(page: str, lower: str, tag: str, pos: int) -> int:
