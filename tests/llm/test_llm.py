@@ -333,6 +333,25 @@ def test_cap_filters(spark, vectors):
     assert capfilter.near_duplicates(spark, vectors.limit(0)).count() == 0
 
 
+def test_cap_filters_mixed_lengths(spark):
+    r = np.random.default_rng(4)
+    x = {8: r.normal(size=(40, 8)), 16: r.normal(size=(700, 16)), 3: r.normal(size=(1, 3))}
+    x[8][20:] = x[8][:20] + 0.01 * r.normal(size=(20, 8))
+    x[16][600:] = x[16][:100] + 0.01 * r.normal(size=(100, 16))
+    # the smallest vec_id has a length that nothing else has
+    rows = list(enumerate(a.astype(np.float32).tolist() for dim in (3, 8, 16) for a in x[dim]))
+    want = {}
+    for dim in x:
+        ids = [k for k, v in rows if len(v) == dim]
+        u = np.array([v for _, v in rows if len(v) == dim])
+        u /= np.linalg.norm(u, axis=1, keepdims=True)
+        want |= dict(zip(ids, ((u @ u.T >= 0.95).sum(axis=1) - 1).tolist()))
+    got = capfilter.near_duplicates(spark, spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert {g.vec_id: g.n_links for g in got} == want and sum(want.values()) >= 240
+    twice = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0, 0.0]), (2, [2.0, 0.1]), (3, [0.0, 1.0, 0.0])], "vec_id long, embedding array<float>")
+    assert capfilter.near_duplicates(spark, twice).count() == 4
+
+
 def test_cap_filters_miss_no_more_in_large_tables():
     few, many = (capfilter.enough_codes(64, m, 16, 0.95, 1e-6) for m in (57, 542))
     assert len(few) < len(many)

@@ -18,8 +18,9 @@ blocks; of each block pair only link counts and component labels of its members
 leave, never pairs. A pair counts in its first common filter alone: earlier common
 filters are found by a product of membership matrices.
 
-Defined results: vectors that are null, zero, of another length than the first or
-hold null or non-finite components have no links and are their own component. Equal
+Defined results: vectors that are null, zero or hold null or non-finite components
+have no links and are their own component. Vectors link within their length, each
+length with its own codes; one of at most ``BLOCK`` vectors has a single filter. Equal
 vectors link. Every row of a repeated vec_id is a vector. No rows: no rows.
 """
 
@@ -30,6 +31,7 @@ from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +89,19 @@ class ProductCode:
         return out
 
 
+class OneFilter:
+    """A code of one filter, which every vector belongs to."""
+
+    m = 1
+
+    def filters(self, unit: np.ndarray) -> list[np.ndarray]:
+        return [np.zeros(1, np.int64)] * len(unit)
+
+
+#: Length of a vector -> number of its first filter, codes.
+Codes = dict[int, tuple[int, list[ProductCode | OneFilter]]]
+
+
 def _pairs(n: int, dim: int, cosine: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """n pairs of unit vectors at the cosine, in random directions."""
     r = np.random.default_rng(seed)
@@ -120,19 +135,24 @@ def _units(col: pa.Array, dim: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _lists(codes: list[ProductCode], unit: np.ndarray) -> list[np.ndarray]:
-    """Sorted filters of each unit vector over all codes."""
-    each = [[x + k * c.m * c.m for x in c.filters(unit)] for k, c in enumerate(codes)]
+def _lists(codes: list[ProductCode | OneFilter], unit: np.ndarray, base: int = 0) -> list[np.ndarray]:
+    """Sorted filters of each unit vector over all codes, from number base on."""
+    each = [[x + base + k * c.m * c.m for x in c.filters(unit)] for k, c in enumerate(codes)]
     return [np.concatenate(x) for x in zip(*each)]
 
 
-def _into_filters(codes: list[ProductCode], dim: int):
+def _into_filters(codes: Codes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                lists = _lists(codes, _units(b.column(1), dim))
-                row = pa.array(np.repeat(np.arange(b.num_rows), [len(x) for x in lists]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists)), b.column(0).take(row)], names=["bin", "id"])
+            size = np.asarray(pc.list_value_length(b.column(1)))
+            for dim in np.unique(size).tolist():
+                if dim in codes:
+                    at = np.flatnonzero(size == dim)
+                    base, code = codes[dim]
+                    lists = _lists(code, _units(b.column(1).take(pa.array(at)), dim), base)
+                    row = pa.array(np.repeat(at, [len(x) for x in lists]))
+                    cols = [pa.array(np.concatenate(lists)), b.column(0).take(row), pa.array(np.full(len(row), dim, np.int32))]
+                    yield pa.RecordBatch.from_arrays(cols, names=["bin", "id", "dim"])
 
     return run
 
@@ -147,7 +167,7 @@ def _member(lists: list[np.ndarray], among: np.ndarray) -> np.ndarray:
     return out
 
 
-def _link(codes: list[ProductCode], threshold: float, dim: int):
+def _link(codes: Codes, threshold: float):
     """(id, links, label) of the members of each block pair that have a link in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,6 +176,8 @@ def _link(codes: list[ProductCode], threshold: float, dim: int):
                 bin_, i, j = (b.column(k)[at].as_py() for k in range(3))
                 x = b.column(3)[at].values
                 y = x if i == j else b.column(4)[at].values
+                dim = len(x.field("v")[0])
+                base, code = codes[dim]
                 ids = [np.asarray(z.field("id")) for z in (x, y)]
                 n = [np.asarray(z.field("n")) for z in (x, y)]
                 unit = [_units(z.field("v"), dim) for z in (x, y)]
@@ -167,7 +189,7 @@ def _link(codes: list[ProductCode], threshold: float, dim: int):
                 keep = [np.flatnonzero(near.any(axis=1 - s)) for s in (0, 1)]
                 near = near[np.ix_(*keep)]
                 ids, n = [a[k] for a, k in zip(ids, keep)], [a[k] for a, k in zip(n, keep)]
-                own = [_lists(codes, u[k]) for u, k in zip(unit, keep)]
+                own = [_lists(code, u[k], base) for u, k in zip(unit, keep)]
                 early = [[o[: np.searchsorted(o, bin_)] for o in side] for side in own]
                 among = np.intersect1d(*(np.unique(np.concatenate(e)) for e in early))
                 if len(among):
@@ -198,21 +220,24 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
     good = rows.where(usable(F.col("v")) & F.col("vec_id").isNotNull())
     classes = good.groupBy("v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n"))
     classes = materialize(spark, classes, "cap-classes")
-    shape = classes.agg(F.count(F.lit(1)).alias("n"), F.min_by(F.size("v"), "id").alias("dim")).collect()[0]
-    if not shape.n:
+    sizes = classes.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")).collect()
+    if not sizes:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    dim = shape.dim
-    m = max(16, int(np.ceil(np.sqrt(shape.n * lists / per_filter))))
-    code = enough_codes(dim, m, lists, threshold, miss)
-    unique = classes.where(F.size("v") == dim)
-    listed = unique.select("id", "v").mapInArrow(_into_filters(code, dim), "bin long, id long")
+    codes: Codes = {}
+    base = 0
+    for dim, n in sorted((r.dim, r.n) for r in sizes if r.n > 1):
+        m = max(16, int(np.ceil(np.sqrt(n * lists / per_filter))))
+        codes[dim] = base, [OneFilter()] if n <= BLOCK else enough_codes(dim, m, lists, threshold, miss)
+        base += sum(c.m * c.m for c in codes[dim][1])
+    width = sum(r.dim * r.n for r in sizes) // sum(r.n for r in sizes)
+    listed = classes.select("id", "v").mapInArrow(_into_filters(codes), "bin long, id long, dim int")
     listed = materialize(spark, listed, "cap-filters")
     size = listed.groupBy("bin").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     size = size.select("bin", F.ceil(F.col("members") / BLOCK).alias("parts"))
     dealt = listed.join(size, "bin").withColumn("i", F.pmod(F.xxhash64("id"), "parts"))
     dealt = materialize(spark, dealt, "cap-dealt")
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_TASKS, dealt.count() * 4 * dim // TASK_BYTES))
-    dealt = dealt.join(unique, "id")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_TASKS, dealt.count() * 4 * width // TASK_BYTES))
+    dealt = dealt.join(classes.withColumn("dim", F.size("v")), ["id", "dim"])
 
     def blocks(rows: DataFrame) -> DataFrame:
         return rows.repartition(tasks, "bin", "i").groupBy("bin", "i").agg(F.collect_list(F.struct("id", "n", "v")).alias("x"))
@@ -222,7 +247,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
     single = blocks(dealt.where("parts = 1")).select("bin", "i", F.col("i").alias("j"), "x", F.lit(None).cast(large.schema["x"].dataType).alias("y"))
     other = large.select("bin", F.col("i").alias("j"), F.col("x").alias("y"))
     pairs = single.unionByName(large.join(other, "bin").where("i <= j").select("bin", "i", "j", "x", F.when(F.col("i") < F.col("j"), F.col("y")).alias("y")))
-    met = pairs.mapInArrow(_link(code, threshold, dim), "id long, links long, label long")
+    met = pairs.mapInArrow(_link(codes, threshold), "id long, links long, label long")
     met = materialize(spark, met, "cap-links")
     count = met.groupBy("id").agg(F.sum("links").alias("links"))
     parts = connected_components(spark, met.select(F.col("id").alias("a"), F.col("label").alias("b")).distinct())
