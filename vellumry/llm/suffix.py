@@ -1,26 +1,27 @@
-"""Exact removal of repeated substrings by distributed prefix doubling.
+"""Removal of repeated substrings by minimiser anchors and hashes of contents.
 
 Every start p of a ``length``-byte string is a suffix whose first ``length``
-bytes are to be ranked. Ranks are names: equal exactly if the prefixes are (64
-bits each, 128 for a full prefix). Spark sorts positions by their rank pair at
-growing offsets; what is unique at one offset takes no part in the next:
+bytes are to be compared. Names are hashes of bytes (64 bits each, 128 for a full
+prefix), taken afresh from the texts in each round; this isn't prefix doubling, which
+would derive them from the names of the round before. Spark sorts by (name, body) once
+in each of three rounds (2 to 4); what is unique in one takes no part in the next:
 
 1. ``GRAM`` bytes. Of the ``length - GRAM + 1`` grams in a string, the smallest
    hash is its anchor. Equal strings have equal anchors at equal offsets, so a
    string whose anchor gram is unique is unique. Neighbouring starts with one
    anchor form a run of about 35 starts, which is sorted as one row.
-2. The whole stretch of a run, as (rank of anchor, rank of stretch): starts of a
+2. The whole stretch of a run, as (name of anchor, name of stretch): starts of a
    stretch that came earlier are all repeats; of equal stretches only the first
    goes on, and only if its anchor occurs in another stretch too.
 3. ``length - SLICE + 1`` bytes. Open runs are cut into slices of SLICE starts at
-   fixed distances from the anchor; what all strings of a slice share is ranked,
+   fixed distances from the anchor; what all strings of a slice share is named,
    then the slice's whole stretch, as in 2.
-4. ``length`` bytes as the pair (rank of the first half, rank of the second),
+4. ``length`` bytes as the pair (name of the first half, name of the second),
    position by position, for the few starts that are left at edges of repeats.
 
 Repeats within an Arrow batch are found before the first sort (a combiner), so
-a passage that a third of all documents hold sends one row a batch, and no step
-gathers a group: neighbours in sorted order (lag) decide.
+a passage that a third of all documents hold sends one row a batch. Neighbours in
+sorted order (lag) decide; all rows of one name are sorted in one task, which spills.
 
 Defined results: null and empty texts have 0 bytes and no spans; texts shorter
 than ``length`` lose nothing; earlier means smaller doc_id, then smaller start.
