@@ -52,6 +52,15 @@ def test_rules(spark):
     assert rows(rules.check(r, served)) == [("loop", "/a"), ("shadow", "/b"), ("shadow", "/s")]
 
 
+def test_rules_beyond_the_limit(spark):
+    many = spark.createDataFrame([(f"/p{k}/*", "/x/") for k in range(150)] + [(f"/s{k}", "/x/") for k in range(2000)], "source string, dest string")
+    urls = spark.createDataFrame([(f"/p{k}/a",) for k in range(150)] + [("/x/",)], "url string")
+    assert rows(rules.covered(many, urls)) == sorted((f"/p{k}/a", f"/p{k}/*") for k in range(150))
+    assert rows(rules.check(many, urls)) == [("too many", "dynamic")]
+    more = many.unionByName(spark.createDataFrame([("/s", "/x/")], "source string, dest string"))
+    assert rows(rules.check(more, urls)) == [("too many", "dynamic"), ("too many", "static")]
+
+
 def test_checks_isolate_faults(spark):
     ok = checks.Check("1", "fine", lambda: spark.createDataFrame([], "offender string"))
     bad = checks.Check("2", "broken", lambda: spark.table("no_such_table"))

@@ -61,7 +61,7 @@ def parse(text: DataFrame, column: str) -> DataFrame:
 
 
 def check(rules: DataFrame, served: DataFrame) -> DataFrame:
-    """rules (source, dest), served (url) -> (problem, source), one row for each fault."""
+    """rules (source, dest), served (url) -> (problem, source), one row for each fault; too many rules: one with their kind."""
     at = F.regexp_replace("dest", "#.*$", "")
     faults = {
         "long": F.length("source") + F.length("dest") > MOST_CHARACTERS,
@@ -70,15 +70,18 @@ def check(rules: DataFrame, served: DataFrame) -> DataFrame:
         "fragment": F.col("source").contains("#"),
     }
     own = [rules.where(c).select(F.lit(k).alias("problem"), "source") for k, c in faults.items()]
+    kind = F.when(is_dynamic(F.col("source")), "dynamic").otherwise("static")
+    most = F.when(F.col("kind") == "dynamic", MOST_DYNAMIC).otherwise(MOST_STATIC)
+    many = rules.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select(F.lit("too many").alias("problem"), F.col("kind").alias("source"))
     twice = rules.groupBy("source").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.lit("duplicate").alias("problem"), "source")
     loop = rules.join(rules.select(F.col("source").alias("_s")).distinct(), at == F.col("_s"), "left_semi").select(F.lit("loop").alias("problem"), "source")
     shadow = rules.where(~is_dynamic(F.col("source"))).join(served.select(F.col("url").alias("_u")).distinct(), F.col("source") == F.col("_u"), "left_semi")
     missing = rules.where(~is_dynamic(F.col("source")) & F.startswith(F.col("dest"), F.lit("/"))).join(served.select(F.col("url").alias("_u")), at == F.col("_u"), "left_anti")
-    more = [twice, loop, shadow.select(F.lit("shadow").alias("problem"), "source"), missing.select(F.lit("no target").alias("problem"), "source")]
+    more = [many, twice, loop, shadow.select(F.lit("shadow").alias("problem"), "source"), missing.select(F.lit("no target").alias("problem"), "source")]
     return reduce(DataFrame.unionByName, own + more)
 
 
 def covered(rules: DataFrame, urls: DataFrame) -> DataFrame:
-    """urls (url) that a dynamic rule matches: (url, source). Dynamic rules are at most MOST_DYNAMIC, so they are sent whole."""
-    dynamic = rules.where(is_dynamic(F.col("source"))).select("source", glob_regex(F.col("source")).alias("_re")).limit(MOST_DYNAMIC + 1)
+    """urls (url) that a dynamic rule matches: (url, source). All dynamic rules are sent whole; check() tells of more than MOST_DYNAMIC."""
+    dynamic = rules.where(is_dynamic(F.col("source"))).select("source", glob_regex(F.col("source")).alias("_re"))
     return urls.join(F.broadcast(dynamic), F.expr("url RLIKE _re")).select("url", "source")
