@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from vellumry.operators import asof, checks, hierarchy, html, integrity, rules
@@ -40,6 +41,16 @@ def test_hierarchy(spark):
     assert got[1] == "a" and got[2] == "a/b" and got[3] == "a/b/c"
 
 
+def test_hierarchy_deep_and_cyclic(spark):
+    schema = "id int, parent_id int, slug string"
+    deep = spark.createDataFrame([(k, k - 1 if k else None, f"s{k}") for k in range(20)], schema)
+    got = {r.id: (r.level, r.path) for r in hierarchy.paths(deep).collect()}
+    assert got == {k: (k + 1, "/".join(f"s{j}" for j in range(k + 1))) for k in range(20)}
+    for bad in ([(1, None, "a"), (2, 3, "b"), (3, 2, "c")], [(1, None, "a"), (2, 1, "b"), (1, 2, "c")]):
+        with pytest.raises(ValueError, match="cycle"):
+            hierarchy.paths(spark.createDataFrame(bad, schema))
+
+
 def test_rules(spark):
     t = spark.createDataFrame([("7", "x"), ("8", "x"), ("9", "2022")], "id string, slug string")
     p = spark.createDataFrame([("7", 1, True), ("7", 3, True), ("7", 9, False)], "topic_id string, number int, rendered boolean")
