@@ -396,3 +396,28 @@ def test_pipeline(spark):
     assert out.count() > 0.6 * docs.count() and out.join(labels.where("quality = 0"), "doc_id").count() <= 2
     pieces = P.run(spark, DIR)
     assert pieces.select("doc_id").distinct().count() == out.count()
+
+
+def test_cap_filters_rows_of_one_id(spark):
+    """Two vectors of one vec_id link; malformed vectors of the smallest id, null ids and doubles change nothing."""
+    r = np.random.default_rng(8)
+    x = r.normal(size=(12, 8))
+    near = [(a + 0.01 * r.normal(size=8)).tolist() for a in x]
+    rows = [(1, [1.0, 2.0])] + [(5 + k, v.tolist()) for k, v in enumerate(x)] + [(5 + k, v) for k, v in enumerate(near)] + [(None, x[0].tolist()), (70, None)]
+    got = [tuple(g) for g in capfilter.near_duplicates(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()]
+    assert sorted(g for g in got if g[0] is not None and 5 <= g[0] < 70) == sorted((5 + k, 1, 5 + k, True) for k in range(12) for _ in range(2))
+    assert (1, 0, 1, True) in got and (70, 0, 70, True) in got and (None, 0, None, True) in got and len(got) == 27
+
+
+def test_cap_filters_blocks(spark, monkeypatch):
+    """One filter of many blocks, against all pairs."""
+    monkeypatch.setattr(capfilter, "BLOCK", 40)
+    r = np.random.default_rng(9)
+    x = r.normal(size=(1, 12)) + 0.16 * r.normal(size=(300, 12))
+    n = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = n @ n.T >= 0.95
+    np.fill_diagonal(near, False)
+    want = classes([(int(a), int(b)) for a, b in zip(*np.nonzero(near))], range(300))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {g.vec_id: g for g in capfilter.near_duplicates(spark, df).collect()}
+    assert 0 < near.sum() < 300 * 299 and all(got[k].n_links == near[k].sum() and got[k].component_id == want[k] for k in range(300))

@@ -6,22 +6,26 @@ cost ``2 m`` products. A vector belongs to every filter whose direction it excee
 the threshold on, listed from the two sorted halves without trying all pairs. The
 threshold is the quantile of a random direction that puts ``lists`` filters on a
 vector whatever the data; ``m`` grows with the number of vectors, so that filters
-hold about ``per_filter`` unclustered ones. A longer code misses more pairs (at 0.95 and
-64 dimensions fewer than one in 1,000 at 50 thousand vectors, about one in 60 at 117
-million), so the chance that one code misses a pair at the threshold is measured on
-random pairs for the ``m`` in use, and so many independent codes are taken that all of
-them miss it with a chance below ``miss`` at every size. Turned at random, a code's
+hold about ``per_filter`` unclustered ones. A longer code misses more pairs, so the
+chance that one code misses a pair at the threshold is measured on random pairs for
+the ``m`` in use, and so many independent codes are taken that all of them miss it
+with a chance below ``miss`` at every size: in 64 dimensions at 0.95 two codes at 50
+thousand vectors, three at 5 million, four at 117 million. Turned at random, a code's
 chance depends on the pair's cosine alone, and closer pairs are missed less.
 
-Equal vectors are one class before any filter. A filter's members are cut into
-blocks; of each block pair only link counts and component labels of its members
-leave, never pairs. A pair counts in its first common filter alone: earlier common
-filters are found by a product of membership matrices.
-
-Defined results: vectors that are null, zero or hold null or non-finite components
-have no links and are their own component. Vectors link within their length, each
-length with its own codes; one of at most ``BLOCK`` vectors has a single filter. Equal
-vectors link. Every row of a repeated vec_id is a vector. No rows: no rows.
+Equal vectors are one class before any filter. Members of a filter go to the blocks
+that it is cut into, once for each block that they are to meet; sorted by block, they
+stream through a task that holds one block of at most about 2 * ``BLOCK`` vectors at a
+time. Of each block pair only link counts and component labels of its members leave,
+never pairs. A pair counts in its first common filter alone: earlier common filters
+are found by a product of membership matrices.
+
+Defined results: vectors that are null, zero or hold null or non-finite components,
+and rows without vec_id, have no links and are their own component (null where the
+id is null; such rows are kept). Vectors link within their length, each length with
+its own codes; one of at most ``BLOCK`` vectors has a single filter. Equal vectors
+link. Every row is a vector, also where its vec_id is repeated: two vectors of one
+vec_id link as others do. No rows: no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,7 +43,7 @@ from vellumry.llm.components import connected_components
 from vellumry.llm.rpforest import usable
 from vellumry.llm.storage import materialize
 
-BLOCK = 512
+BLOCK = 1024
 #: Rows that are scored at once.
 ROWS = 1024
 #: Random pairs that a code is tried on, and codes that are tried.
@@ -151,8 +155,7 @@ def _into_filters(codes: Codes):
                     base, code = codes[dim]
                     lists = _lists(code, _units(b.column(1).take(pa.array(at)), dim), base)
                     row = pa.array(np.repeat(at, [len(x) for x in lists]))
-                    cols = [pa.array(np.concatenate(lists)), b.column(0).take(row), pa.array(np.full(len(row), dim, np.int32))]
-                    yield pa.RecordBatch.from_arrays(cols, names=["bin", "id", "dim"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists)), b.column(0).take(row)], names=["bin", "key"])
 
     return run
 
@@ -167,62 +170,87 @@ def _member(lists: list[np.ndarray], among: np.ndarray) -> np.ndarray:
     return out
 
 
+def _met(near: np.ndarray, weights: list[np.ndarray], keys: list[np.ndarray], sides: tuple[int, ...]) -> pa.RecordBatch:
+    """(key, links, label) of the members of one block pair that have a link in it."""
+    top = np.iinfo(np.int64).max
+    label = [keys[0].copy(), keys[1].copy()]
+    while True:
+        a = np.minimum(label[0], np.where(near, label[1], top).min(axis=1))
+        c = np.minimum(label[1], np.where(near, a[:, None], top).min(axis=0))
+        done = (a == label[0]).all() and (c == label[1]).all()
+        label = [a, c]
+        if done:
+            break
+    links = [near @ weights[1], weights[0] @ near]
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([z[s] for s in sides]).astype(np.int64)) for z in (keys, links, label)], names=["key", "links", "label"])
+
+
 def _link(codes: Codes, threshold: float):
-    """(id, links, label) of the members of each block pair that have a link in it."""
+    """Rows (bin, i, j, side, key, n, v), sorted by the first four, to what _met gives for each block pair (bin, i, j)."""
+
+    def block(parts: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        if rows.num_rows < 2:
+            return None
+        bin_, i, j = (rows.column(k)[0].as_py() for k in range(3))
+        cut = int(np.searchsorted(rows.column(3).to_numpy(), 1))
+        v = rows.column(6).chunk(0)
+        dim = int(pc.list_value_length(v)[0].as_py())
+        base, code = codes[dim]
+        unit = _units(v, dim)
+        sides = (slice(0, cut), slice(0, cut)) if i == j else (slice(0, cut), slice(cut, None))
+        unit = [unit[x] for x in sides]
+        keys = [rows.column(4).to_numpy()[x] for x in sides]
+        n = [rows.column(5).to_numpy()[x] for x in sides]
+        near = unit[0] @ unit[1].T >= threshold
+        if i == j:
+            np.fill_diagonal(near, False)
+        if not near.any():
+            return None
+        keep = [np.flatnonzero(near.any(axis=1 - s)) for s in (0, 1)]
+        near = near[np.ix_(*keep)]
+        keys, n = [a[k] for a, k in zip(keys, keep)], [a[k] for a, k in zip(n, keep)]
+        own = [_lists(code, u[k], base) for u, k in zip(unit, keep)]
+        early = [[o[: np.searchsorted(o, bin_)] for o in side] for side in own]
+        among = np.intersect1d(*(np.unique(np.concatenate(e)) for e in early))
+        if len(among):
+            near &= _member(early[0], among) @ _member(early[1], among).T < 0.5
+        return _met(near, n, keys, (0,) if i == j else (0, 1)) if near.any() else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
         for b in batches:
-            for at in range(b.num_rows):
-                bin_, i, j = (b.column(k)[at].as_py() for k in range(3))
-                x = b.column(3)[at].values
-                y = x if i == j else b.column(4)[at].values
-                dim = len(x.field("v")[0])
-                base, code = codes[dim]
-                ids = [np.asarray(z.field("id")) for z in (x, y)]
-                n = [np.asarray(z.field("n")) for z in (x, y)]
-                unit = [_units(z.field("v"), dim) for z in (x, y)]
-                near = unit[0] @ unit[1].T >= threshold
-                if i == j:
-                    near &= ids[0][:, None] != ids[1]
-                if not near.any():
-                    continue
-                keep = [np.flatnonzero(near.any(axis=1 - s)) for s in (0, 1)]
-                near = near[np.ix_(*keep)]
-                ids, n = [a[k] for a, k in zip(ids, keep)], [a[k] for a, k in zip(n, keep)]
-                own = [_lists(code, u[k], base) for u, k in zip(unit, keep)]
-                early = [[o[: np.searchsorted(o, bin_)] for o in side] for side in own]
-                among = np.intersect1d(*(np.unique(np.concatenate(e)) for e in early))
-                if len(among):
-                    near &= _member(early[0], among) @ _member(early[1], among).T < 0.5
-                if not near.any():
-                    continue
-                top = np.iinfo(np.int64).max
-                label = [ids[0].copy(), ids[1].copy()]
-                while True:
-                    a = np.minimum(label[0], np.where(near, label[1], top).min(axis=1))
-                    c = np.minimum(label[1], np.where(near, a[:, None], top).min(axis=0))
-                    done = (a == label[0]).all() and (c == label[1]).all()
-                    label = [a, c]
-                    if done:
-                        break
-                sides = (0,) if i == j else (0, 1)
-                links = [near @ n[1], n[0] @ near]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([z[s] for s in sides]).astype(np.int64)) for z in (ids, links, label)], names=["id", "links", "label"]
-                )
+            if not b.num_rows:
+                continue
+            cols = [b.column(k).to_numpy() for k in range(3)]
+            new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1
+            edges = [0, *new.tolist(), b.num_rows]
+            for lo, hi in zip(edges, edges[1:]):
+                own = tuple(int(c[lo]) for c in cols)
+                if own != last and held:
+                    if (found := block(held)) is not None:
+                        yield found
+                    held = []
+                held.append(b.slice(lo, hi - lo))
+                last = own
+        if held and (found := block(held)) is not None:
+            yield found
 
     return run
 
 
 def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float = 0.95, lists: float = 16, per_filter: int = 256, miss: float = 1e-6) -> DataFrame:
-    """vectors (vec_id long, embedding array<float>) -> (vec_id, n_links, component_id, kept), one row per row."""
+    """vectors (vec_id long, embedding array<float or double>) -> (vec_id, n_links, component_id, kept), one row per row."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("v"))
     good = rows.where(usable(F.col("v")) & F.col("vec_id").isNotNull())
     classes = good.groupBy("v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n"))
-    classes = materialize(spark, classes, "cap-classes")
+    # written once, so that every class has one key of its own from here on
+    classes = materialize(spark, classes.withColumn("key", F.monotonically_increasing_id()), "cap-classes")
     sizes = classes.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")).collect()
+    kept = lambda component: F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept")
     if not sizes:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), kept(F.col("vec_id")))
     codes: Codes = {}
     base = 0
     for dim, n in sorted((r.dim, r.n) for r in sizes if r.n > 1):
@@ -230,31 +258,26 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, threshold: float =
         codes[dim] = base, [OneFilter()] if n <= BLOCK else enough_codes(dim, m, lists, threshold, miss)
         base += sum(c.m * c.m for c in codes[dim][1])
     width = sum(r.dim * r.n for r in sizes) // sum(r.n for r in sizes)
-    listed = classes.select("id", "v").mapInArrow(_into_filters(codes), "bin long, id long, dim int")
+    listed = classes.select("key", "v").mapInArrow(_into_filters(codes), "bin long, key long")
     listed = materialize(spark, listed, "cap-filters")
     size = listed.groupBy("bin").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    size = size.select("bin", F.ceil(F.col("members") / BLOCK).alias("parts"))
-    dealt = listed.join(size, "bin").withColumn("i", F.pmod(F.xxhash64("id"), "parts"))
+    size = size.select("bin", F.ceil(F.col("members") / BLOCK).cast("int").alias("parts"))
+    # a member of block i meets every block of its filter: it is on side 0 of the pairs (i, j >= i), on side 1 of (j < i, i)
+    own = listed.join(size, "bin").withColumn("own", F.pmod(F.xxhash64("key"), "parts").cast("int"))
+    dealt = own.select("bin", "key", "own", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    dealt = dealt.select("bin", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "key")
     dealt = materialize(spark, dealt, "cap-dealt")
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_TASKS, dealt.count() * 4 * width // TASK_BYTES))
-    dealt = dealt.join(classes.withColumn("dim", F.size("v")), ["id", "dim"])
-
-    def blocks(rows: DataFrame) -> DataFrame:
-        return rows.repartition(tasks, "bin", "i").groupBy("bin", "i").agg(F.collect_list(F.struct("id", "n", "v")).alias("x"))
-
-    # nearly all filters are one block; only larger ones are written and joined; a block that meets itself is sent once
-    large = materialize(spark, blocks(dealt.where("parts > 1")), "cap-blocks")
-    single = blocks(dealt.where("parts = 1")).select("bin", "i", F.col("i").alias("j"), "x", F.lit(None).cast(large.schema["x"].dataType).alias("y"))
-    other = large.select("bin", F.col("i").alias("j"), F.col("x").alias("y"))
-    pairs = single.unionByName(large.join(other, "bin").where("i <= j").select("bin", "i", "j", "x", F.when(F.col("i") < F.col("j"), F.col("y")).alias("y")))
-    met = pairs.mapInArrow(_link(codes, threshold), "id long, links long, label long")
+    blocks = dealt.join(classes.select("key", "n", "v"), "key").select("bin", "i", "j", "side", "key", "n", "v")
+    met = blocks.repartition(tasks, "bin", "i", "j").sortWithinPartitions("bin", "i", "j", "side").mapInArrow(_link(codes, threshold), "key long, links long, label long")
     met = materialize(spark, met, "cap-links")
-    count = met.groupBy("id").agg(F.sum("links").alias("links"))
-    parts = connected_components(spark, met.select(F.col("id").alias("a"), F.col("label").alias("b")).distinct())
-    known = classes.join(count, "id", "left").join(parts, "id", "left")
-    known = known.select("v", "n", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component_id", "id").alias("component_id"))
+    count = met.groupBy("key").agg(F.sum("links").alias("links"))
+    parts = connected_components(spark, met.select(F.col("key").alias("a"), F.col("label").alias("b")).distinct())
+    known = classes.join(count, "key", "left").join(parts.select(F.col("id").alias("key"), F.col("component_id").alias("root")), "key", "left")
+    known = known.select("v", "id", "n", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "key").alias("root"))
+    least = known.groupBy("root").agg(F.min("id").alias("component_id"))
+    known = known.join(least, "root").select("v", "n", "links", "component_id")
     out = rows.join(known, "v", "left")
-    component = F.when(usable(F.col("v")), F.coalesce("component_id", "vec_id")).otherwise(F.col("vec_id"))
-    return out.select(
-        "vec_id", F.coalesce(F.col("links") + F.col("n") - 1, F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept")
-    )
+    component = F.when(usable(F.col("v")) & F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id")).otherwise(F.col("vec_id"))
+    links = F.when(F.col("vec_id").isNotNull(), F.col("links") + F.col("n") - 1)
+    return out.select("vec_id", F.coalesce(links, F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), kept(component))
