@@ -300,24 +300,52 @@ def _matrix(vectors):
     return np.array([k for k, _ in rows]), np.array([v for _, v in rows], np.float64)
 
 
+def _recall(got, ids, x, k=10):
+    """Share of each query's k nearest by brute force that is found; ranks, ties and scores are as defined."""
+    by = {}
+    for r in got:
+        by.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    hit = n = 0
+    for q, found in by.items():
+        at = int(np.flatnonzero(ids == q)[0])
+        d = np.sqrt(((x - x[at]) ** 2).sum(axis=1))
+        d[at] = np.inf
+        want = ids[np.lexsort((ids, d))[:k]]
+        found.sort()
+        assert [m for m, _, _ in found] == list(range(1, len(want) + 1)) and [(s, v) for _, v, s in found] == sorted((s, v) for _, v, s in found)
+        assert np.allclose([s for *_, s in found], d[np.searchsorted(ids, [v for _, v, _ in found])], rtol=0, atol=1e-12)
+        hit += len(set(want.tolist()) & {v for _, v, _ in found})
+        n += len(want)
+    return hit / n
+
+
 def test_nearest(spark, vectors):
     ids, x = _matrix(vectors)
-    got = {}
-    for r in rpforest.nearest(spark, vectors, vectors.where("vec_id % 20 = 0")).collect():
-        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
-    hit = 0
-    for q, found in got.items():
-        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
-        d[q] = np.inf
-        want = ids[np.lexsort((ids, d))[:10]]
-        found.sort()
-        assert [k for k, _, _ in found] == list(range(1, 11)) and [(s, v) for _, v, s in found] == sorted((s, v) for _, v, s in found)
-        assert np.allclose([s for *_, s in found], d[[v for _, v, _ in found]], rtol=0, atol=1e-12)
-        hit += len(set(want) & {v for _, v, _ in found})
-    assert len(got) == 30 and hit >= 0.97 * 300
+    got = rpforest.nearest(spark, vectors, vectors.where("vec_id % 20 = 0")).collect()
+    assert len({r.query_id for r in got}) == 30 and _recall(got, ids, x) >= 0.97
     assert rpforest.nearest(spark, vectors.limit(0), vectors.limit(0)).count() == 0
     few = rpforest.nearest(spark, vectors.where("vec_id < 3"), vectors.where("vec_id = 0")).collect()
     assert len(few) == 2
+    # doubles, a repeated id (each row a query and a point of its own), nulls
+    rows = [(1, [1.0, 0.0]), (2, [0.9, 0.1]), (2, [0.5, 0.5]), (3, [0.0, 1.0]), (None, [1.0, 0.0]), (4, None)]
+    twice = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [(r.query_id, r.rank, r.vec_id) for r in rpforest.nearest(spark, twice, twice, k=2).collect()]
+    assert sorted(found) == sorted([(1, 1, 2), (1, 2, 2), (2, 1, 1), (2, 2, 3), (2, 1, 1), (2, 2, 3), (3, 1, 2), (3, 2, 2)])
+
+
+def test_nearest_skips_most_points(spark):
+    """Most leaves aren't visited and most points aren't compared, and still recall holds on vectors without structure."""
+    t = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    asked = t.where("vec_id % 20 = 0")
+    got = rpforest.nearest(spark, t, asked).collect()
+    rows = sorted((r.vec_id, r.embedding) for r in t.collect())
+    ids, x = np.array([k for k, _ in rows]), np.array([v for _, v in rows], np.float64)
+    assert _recall(got, ids, x) >= 0.9
+    points = t.select(F.col("vec_id").alias("key"), F.col("embedding").alias("v"))
+    forest = rpforest.fit(points, 64, 24, 16384)
+    assert forest.trees << forest.depth > 3 * 2400
+    pairs = rpforest.elected_pairs(spark, points, points.where("key % 20 = 0"), forest, 10, 2400, 0.03).count()
+    assert pairs < 0.1 * len(rows) * (len(rows) // 20)
 
 
 def test_cap_filters(spark, vectors):
