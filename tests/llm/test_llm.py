@@ -213,6 +213,33 @@ def test_network_gradients():
         assert abs((a - b) / (2 * h) - q[at]) < 0.05 * max(1, abs(q[at]))
 
 
+def test_network_forward_by_hand():
+    """Scores against a plain byte-by-byte pass: every byte is covered, chunks overlap, the largest response of each unit counts."""
+    r = np.random.default_rng(2)
+    m = bytecnn.ByteCNN()
+    m.b, m.c, m.d = (r.normal(size=p.shape).astype(np.float32) * 0.1 for p in (m.b, m.c, m.d))
+    texts = [b"", b"x", bytes(r.integers(0, 256, 64).astype(np.uint8)), bytes(r.integers(32, 127, 65).astype(np.uint8)), bytes(r.integers(32, 127, 300).astype(np.uint8)), b"ab " * 100_000]
+    got = m.scores(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+    for t, p in zip(texts[:5], got):
+        raw = (t or b"\0") + bytes(bytecnn.WIDTH - 1)
+        n = max(1, len(t))
+        z = np.array([np.maximum(m.b + sum(m.w[k, raw[i + k]] for k in range(bytecnn.WIDTH)), 0) for i in range(n)], np.float64)
+        cells = range(0, n, bytecnn.CELL)
+        h = [np.maximum(z[c : c + 2 * bytecnn.CELL].mean(axis=0) @ m.u + m.c, 0) for c in cells]
+        assert abs(1 / (1 + np.exp(-(np.max(h, axis=0) @ m.v + m.d[0]))) - p) < 1e-4
+    assert 0 <= got[5] <= 1
+
+
+def test_training_takes_whole_long_texts(spark, monkeypatch):
+    """Labelled texts of any size are trained on while they fit the bound of bytes."""
+    docs = spark.createDataFrame([(k, ("good words here " if k % 2 else "zz qq zz qq ") * (60_000 if k < 2 else 5)) for k in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)] + [(3, 0), (None, 1)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(bytecnn.ByteCNN, "fit", lambda self, texts, y: seen.extend(map(len, texts)) or self)
+    bytecnn.train(docs, labels)
+    assert len(seen) == 40 and max(seen) > 600_000
+
+
 def test_language(spark, odd, empty):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     fold = F.crc32(F.col("doc_id").cast("string")) % 3

@@ -1,18 +1,21 @@
 """Quality classifier: a convolutional network over bytes, in numpy.
 
-Input of every byte is its value and whether its word is the word before it
-(white space cuts words). FILTERS learned filters of WIDTH bytes slide over the
-whole text; their rectified responses are averaged in overlapping chunks of two
-CELLs; a small learned layer scores every chunk; the largest score of each unit
-over all chunks of the document (max-pooling), and the mean over them, combine
-into one probability.
+FILTERS learned filters of WIDTH bytes slide over the whole text; their rectified
+responses are averaged in overlapping chunks of two CELLs; a small learned layer
+scores every chunk; the largest score of each unit over all chunks of the document
+(max-pooling) are combined into one probability.
 
 A model is fitted on the driver from at most ``max_docs`` labelled documents of
 at most ``max_bytes`` in all (documented bounds; the smallest hashes of doc_id
-are taken, whole texts only), then scores every whole text of the corpus.
+come first, whole texts of any size as long as they fit), then scores every whole
+text of the corpus. Sizes are fetched first, so no more text than that is ever sent.
 
 Defined results: null and empty texts are one zero byte. Without both labels in
-the training rows every score is the share of label 1 (0.5 without rows).
+the training rows every score is the share of label 1 (0.5 without rows). A doc_id
+with both labels counts as 1; repeated rows of a doc_id are trained on and scored
+each for itself; rows without doc_id are scored. Very long texts are read in spans
+of bounded size. An empty table gives no rows. ``keep`` passes other columns through
+whatever their names, ``score`` ignores them.
 """
 
 from __future__ import annotations
@@ -26,47 +29,30 @@ from pyspark.sql import functions as F
 
 from vellumry.llm.bpe import release
 from vellumry.llm.bytehash import chunks
-from vellumry.llm.shingles import _SPACE, word_hashes
 
-FILTERS, WIDTH, CELL, UNITS = 12, 4, 64, 12
+FILTERS, WIDTH, CELL, UNITS = 12, 6, 64, 16
 #: Bytes whose responses are held at once.
 SPAN = 1 << 16
 
 
 def padded(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, text starts, text sizes): texts with WIDTH - 1 zeros behind each, at least one symbol each.
-
-    A symbol is the byte, plus 256 where its word repeats the word before.
-    """
+    """(bytes, text starts, text sizes): texts with WIDTH - 1 zeros behind each, at least one byte each."""
     n = np.diff(off)
-    words, first = word_hashes(buf, off)
-    symbols = buf.astype(np.int16)
-    if len(words) > 1:
-        inside = ~_SPACE[buf]
-        begins = inside.copy()
-        begins[1:] &= ~inside[:-1]
-        at = off[:-1][off[:-1] < off[1:]]
-        begins[at] = inside[at]
-        again = np.zeros(len(words), bool)
-        again[1:] = words[1:] == words[:-1]
-        again[first[:-1][first[:-1] < len(words)]] = False
-        word = np.cumsum(begins) - 1
-        symbols[inside & again[np.maximum(word, 0)]] += 256
     size = np.maximum(n, 1)
     start = np.cumsum(size + WIDTH - 1) - (size + WIDTH - 1)
-    out = np.zeros(int((size + WIDTH - 1).sum()), np.int16)
-    out[np.arange(len(buf)) + np.repeat(start - off[:-1], n)] = symbols
+    out = np.zeros(int((size + WIDTH - 1).sum()), np.uint8)
+    out[np.arange(len(buf)) + np.repeat(start - off[:-1], n)] = buf
     return out, start, size
 
 
 class ByteCNN:
     def __init__(self, seed: int = 7):
         r = np.random.default_rng(seed)
-        self.w = (r.normal(size=(WIDTH, 512, FILTERS)) * 0.15).astype(np.float32)
+        self.w = (r.normal(size=(WIDTH, 256, FILTERS)) * 0.15).astype(np.float32)
         self.b = np.full(FILTERS, 0.1, np.float32)
         self.u = (r.normal(size=(FILTERS, UNITS)) * 0.8).astype(np.float32)
         self.c = np.zeros(UNITS, np.float32)
-        self.v = (r.normal(size=2 * UNITS) * 0.3).astype(np.float32)
+        self.v = (r.normal(size=UNITS) * 0.3).astype(np.float32)
         self.d = np.zeros(1, np.float32)
         self.constant: float | None = None
 
@@ -112,11 +98,8 @@ class ByteCNN:
         mean, csize, more = self.chunk_means(sums, width, before)
         h = np.maximum(mean @ self.u + self.c, 0)
         top = np.maximum.reduceat(h, before[:-1], axis=0)
-        n = np.diff(before)[:, None]
-        avg = np.add.reduceat(h, before[:-1], axis=0) / n
-        f = np.concatenate((top, avg), 1)
-        p = 1 / (1 + np.exp(-np.clip(f @ self.v + self.d, -30, 30)))
-        return dict(width=width, before=before, at=at, mean=mean, csize=csize, more=more, h=h, top=top, n=n, f=f, p=p)
+        p = 1 / (1 + np.exp(-np.clip(top @ self.v + self.d, -30, 30)))
+        return dict(width=width, before=before, at=at, mean=mean, csize=csize, more=more, h=h, top=top, n=np.diff(before), p=p)
 
     def scores(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
         if self.constant is not None:
@@ -127,10 +110,10 @@ class ByteCNN:
         s = self.forward(x, start, size)
         dz = ((s["p"] - y) * weight).astype(np.float32)
         df = dz[:, None] * self.v
-        text = np.repeat(np.arange(len(y)), s["n"][:, 0])
+        text = np.repeat(np.arange(len(y)), s["n"])
         best = s["h"] == s["top"][text]
         ties = np.add.reduceat(best.astype(np.float32), s["before"][:-1], axis=0)
-        dh = best * (df[:, :UNITS] / ties)[text] + (df[:, UNITS:] / s["n"])[text]
+        dh = best * (df / ties)[text]
         dh *= s["h"] > 0
         dmean = (dh @ self.u.T) / s["csize"][:, None]
         k = np.flatnonzero(s["more"])
@@ -148,11 +131,11 @@ class ByteCNN:
             gb += g.sum(0)
             for m in range(WIDTH):
                 for f in range(FILTERS):
-                    gw[m, :, f] += np.bincount(x[pos + m], g[:, f], 512).astype(np.float32)
+                    gw[m, :, f] += np.bincount(x[pos + m], g[:, f], 256).astype(np.float32)
             lo = hi
-        return [gw, gb, s["mean"].T @ dh, dh.sum(0), s["f"].T @ dz, dz.sum(keepdims=True)]
+        return [gw, gb, s["mean"].T @ dh, dh.sum(0), s["top"].T @ dz, dz.sum(keepdims=True)]
 
-    def fit(self, texts: list[bytes], labels: np.ndarray, rate: float = 0.01, batch: int = 32, seed: int = 3, least_steps: int = 240) -> "ByteCNN":
+    def fit(self, texts: list[bytes], labels: np.ndarray, rate: float = 0.01, batch: int = 32, seed: int = 3, least_steps: int = 225) -> "ByteCNN":
         y = np.asarray(labels, np.float32)
         if len(y) == 0 or y.min() == y.max():
             self.constant = float(y.mean()) if len(y) else 0.5
@@ -192,16 +175,18 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 2400, max_bytes: i
     rows = known.where(spot < int(share * (1 << 40))).limit(3 * max_docs).collect()
     label = {r.doc_id: r.quality for r in sorted(rows, key=lambda r: r.quality)}
     spark = docs.sparkSession
-    ids = spark.createDataFrame([(k,) for k in label], "doc_id long")
     texts_of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    short = texts_of.where(F.octet_length("text") <= max_bytes // 20)
-    found = short.join(F.broadcast(ids), "doc_id").withColumn("k", spot).limit(3 * max_docs).collect()
-    texts, ys, held = [], [], 0
+    ids = spark.createDataFrame([(k,) for k in label], "doc_id long")
+    sizes = texts_of.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.sum(F.octet_length("text")).cast("long").alias("n"), F.count(F.lit(1)).alias("rows")).withColumn("k", spot)
+    chosen, held, rows_held = [], 0, 0
+    for r in sorted(sizes.collect(), key=lambda r: (r.k, r.doc_id)):
+        if held + r.n <= max_bytes and rows_held + r.rows <= max_docs:
+            chosen.append((r.doc_id,))
+            held, rows_held = held + r.n, rows_held + r.rows
+    found = texts_of.join(F.broadcast(spark.createDataFrame(chosen, "doc_id long")), "doc_id").withColumn("k", spot).collect()
+    texts, ys = [], []
     for r in sorted(found, key=lambda r: (r.k, r.doc_id, r.text)):
-        t = r.text.encode()
-        if held + len(t) <= max_bytes and len(texts) < max_docs:
-            texts.append(t), ys.append(label[r.doc_id])
-            held += len(t)
+        texts.append(r.text.encode()), ys.append(label[r.doc_id])
     return ByteCNN().fit(texts, np.array(ys))
 
 
