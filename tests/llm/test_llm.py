@@ -250,6 +250,12 @@ def test_language(spark, odd, empty):
     assert got[0].lang_pred == got[1].lang_pred == "und" and got[0].score == 0 and not got[0].accepted
     assert got[11].lang_pred != "und" and langid.predict(empty, model).count() == 0
     assert {r.lang_pred for r in langid.predict(odd, langid.train(empty)).collect()} == {"und"}
+    r = random.Random(3)
+    noise = [" ".join("".join(r.choices(abc, k=r.randint(2, 9))) for _ in range(80)) for abc in ("abcdefghijklmnopqrstuvwxyz", "bcdfgklmnprstvzqx") for _ in range(10)]
+    noise += ["То је један текст на језику који говори о рекама и шумама", "日本語のテキストです。これは未知の言語です。"]
+    clash = spark.createDataFrame([(k, t, "x", 1.0, True) for k, t in enumerate(noise)], "doc_id long, text string, lang string, score double, accepted boolean")
+    assert langid.keep(clash, model).count() <= 2 and langid.predict(clash, model).columns == ["doc_id", "lang_pred", "score", "accepted"]
+    assert langid.keep(docs, model).count() >= 0.995 * docs.where("text rlike '[A-Za-z]'").count()
 
 
 def test_min_cut_is_least():
@@ -427,6 +433,30 @@ def test_url_filter(spark):
     assert urlfilter.on_lists(caps.limit(0), ent).count() == 0 and urlfilter.on_lists(caps, ent.limit(0)).where("n_lists > 0").count() == 0
 
 
+def test_url_filter_hosts_and_hot_key(spark, monkeypatch):
+    """Odd hosts, a very long path, and a key of many times in several groups, against a plain loop."""
+    monkeypatch.setattr(urlfilter, "SPLIT", 7)
+    r = random.Random(6)
+    day = lambda n: f"2024-{1 + n // 28:02d}-{1 + n % 28:02d}"
+    urls = ["http://hot.org/a", "http://u@hot.org./b", "http://[::1]:80/x", "http://10.0.0.1/", "http://hot.org/" + "s/" * 20_000, "http://sub.hot.org/a/b"]
+    caps = [(k, r.choice(urls), day(r.randrange(300))) for k in range(200)]
+    ent = [(r.choice("mn"), "host", r.choice(["hot.org", "[::1]", "10.0.0.1", "0.0.1", "none.org"]), r.choice(["add", "remove"]), day(r.randrange(300))) for _ in range(60)]
+    ent += [("p", "prefix", "hot.org/s", "add", day(10)), ("p", "prefix", "sub.hot.org/a/b", "add", day(40))]
+    keys = {urls[0]: ["hot.org", "org"], urls[1]: ["hot.org", "org"], urls[2]: ["[::1]"], urls[3]: ["10.0.0.1"], urls[4]: ["hot.org", "org", "hot.org/s"], urls[5]: ["sub.hot.org", "hot.org", "org", "sub.hot.org/a/b"]}
+    want = []
+    for k, u, t in caps:
+        on = set()
+        for lst in "mnp":
+            for key in keys[u]:
+                own = sorted((at, a) for n, _, x, a, at in ent if n == lst and x == key and at <= t)
+                if own and own[-1][1] == "add":
+                    on.add(lst)
+        want.append((k, ",".join(sorted(on))))
+    df = spark.createDataFrame(caps, "id long, url string, d string").select("id", "url", F.to_timestamp("d").alias("fetched"))
+    entries = spark.createDataFrame(ent, "list string, kind string, key string, action string, d string").withColumn("at", F.to_timestamp("d"))
+    assert sorted((x.id, x.lists) for x in urlfilter.on_lists(df, entries).collect()) == want
+
+
 def test_url_filter_equals_sql(spark):
     import duckdb
 

@@ -3,11 +3,17 @@
 Subwords are the 2, 3 and 4 bytes from every place of a word (ASCII lower-cased,
 white space, digits and punctuation being one boundary mark), hashed to BUCKETS
 embeddings. A document is their mean over its whole text; a linear layer and a
-softmax give the languages. Embeddings and layer are trained together by
-stochastic gradient descent in numpy. A tenth of the training rows is set aside:
-it fits the temperature of the softmax, and the confidence below which a
-document is rejected (``accepted`` false), chosen so that at most ``lost`` of the
-right answers go.
+softmax give the languages and one class more: no language that is known. That class
+is trained on the same texts with their letters in a random order, so it stands for
+texts whose words are none of the known languages'. Embeddings and layer are trained
+together by stochastic gradient descent in numpy on the logarithmic loss, one text a
+step; the embeddings' rate is ``spread`` times the layer's, as a mean hands each
+subword only its small share of the gradient.
+
+A tenth of the training rows is set aside and calibrates: the temperature of the
+softmax, the confidence below which a document is rejected (at most ``lost`` of the
+right answers go), and the share of the unknown class beyond which it is (likewise).
+Rejected documents have ``accepted`` false; their language and score are given all the same.
 
 The model is linear in the mean, so at use each bucket holds its scores, and a
 document costs one lookup a subword.
@@ -15,7 +21,10 @@ document costs one lookup a subword.
 Defined results: a null text, or one without a letter, is ``und`` with score 0
 and is not accepted. Without training rows everything is ``und``. Training takes
 at most ``max_docs`` rows and ``max_bytes`` bytes, about as many of each language
-(smallest hashes of doc_id), whole texts only.
+(smallest hashes of doc_id first, then doc_id; whole texts of any size while they fit; sizes are
+fetched first). Repeated rows are trained on and judged each for itself. Of equal scores the
+first language in byte order is given. An empty table gives no rows. ``keep`` passes other columns
+through whatever their names, ``predict`` ignores them.
 """
 
 from __future__ import annotations
@@ -65,12 +74,12 @@ def subwords(buf: np.ndarray, off: np.ndarray) -> list[tuple[np.ndarray, np.ndar
 class LanguageModel:
     def __init__(self, names: list[str]):
         self.names = names
-        self.table = np.zeros((BUCKETS, len(names)), np.float32)
-        self.temperature, self.least = 1.0, 0.0
+        self.table = np.zeros((BUCKETS, len(names) + 1), np.float32)
+        self.temperature, self.least, self.most_unknown = 1.0, 0.0, 1.0
 
     def logits(self, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
         n = len(off) - 1
-        sums, count = np.zeros((n, len(self.names))), np.zeros(n)
+        sums, count = np.zeros((n, self.table.shape[1])), np.zeros(n)
         for bucket, place in subwords(buf, off):
             cut = np.searchsorted(place, off)
             values = np.take(self.table, bucket, axis=0)
@@ -80,27 +89,45 @@ class LanguageModel:
             count += np.diff(cut)
         return sums / np.maximum(count, 1)[:, None]
 
-    def probabilities(self, logits: np.ndarray) -> np.ndarray:
+    def probabilities(self, logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(of the languages, among themselves; of no known language)."""
         z = logits / self.temperature
         e = np.exp(z - z.max(axis=1, keepdims=True))
-        return e / e.sum(axis=1, keepdims=True)
+        known = e[:, :-1].sum(axis=1)
+        return e[:, :-1] / np.maximum(known, 1e-30)[:, None], e[:, -1] / e.sum(axis=1)
 
-    def fit(self, texts: list[bytes], y: np.ndarray, least_steps: int = 6000, rate: float = 2.0, lost: float = 0.001, seed: int = 5) -> "LanguageModel":
+    def fit(self, texts: list[bytes], y: np.ndarray, least_steps: int = 6000, rate: float = 0.5, spread: float = 100.0, lost: float = 0.001, seed: int = 5) -> "LanguageModel":
         """y: the place of each text's language in names."""
         r = np.random.default_rng(seed)
-        bags = []
-        for t in texts:
+
+        def bag(t: bytes) -> tuple[np.ndarray, np.ndarray]:
             b = np.concatenate([b for b, _ in subwords(np.frombuffer(t, np.uint8), np.array([0, len(t)]))] or [np.zeros(0, np.uint32)])
             ids, n = np.unique(b, return_counts=True)
-            bags.append((ids.astype(np.int64), (n / max(1, len(b))).astype(np.float32)))
+            return ids.astype(np.int64), (n / max(1, len(b))).astype(np.float32)
+
+        def mixed(t: bytes) -> bytes:
+            """The text with its letters dealt anew; white space, digits and punctuation stay where they are."""
+            x = np.frombuffer(t, np.uint8).copy()
+            at = np.flatnonzero(_CLASS[x] != 32)
+            x[at] = x[r.permutation(at)]
+            return x.tobytes()
+
+        k = len(self.names)
         own = r.permutation(len(texts))
         aside, own = own[: len(own) // 10], own[len(own) // 10 :]
+        bags = [bag(t) for t in texts]
+        noise = {int(i): bag(mixed(texts[i])) for i in (*own[: max(1, len(own) // 3)], *aside)}
+        train_noise = [i for i in own.tolist() if i in noise]
         emb = (r.normal(size=(BUCKETS, DIM)) / DIM).astype(np.float32)
-        layer = (r.normal(size=(DIM, len(self.names))) / DIM).astype(np.float32)
+        layer = (r.normal(size=(DIM, k + 1)) / DIM).astype(np.float32)
         steps = max(2 * len(own), least_steps)
         for step in range(steps):
-            i = own[r.integers(len(own))]
-            ids, share = bags[i]
+            if step % 4 == 3 and train_noise:
+                i = train_noise[r.integers(len(train_noise))]
+                (ids, share), target = noise[i], k
+            else:
+                i = own[r.integers(len(own))]
+                (ids, share), target = bags[i], y[i]
             if not len(ids):
                 continue
             lr = rate * (1 - step / steps)
@@ -108,24 +135,28 @@ class LanguageModel:
             z = mean @ layer
             p = np.exp(z - z.max())
             p /= p.sum()
-            p[y[i]] -= 1
+            p[target] -= 1
             back = layer @ p
-            layer -= lr * 0.1 * np.outer(mean, p).astype(np.float32)
-            emb[ids] -= (lr * share * len(ids))[:, None].clip(max=lr * 4) * back * 0.25
+            layer -= lr * np.outer(mean, p).astype(np.float32)
+            emb[ids] -= (lr * spread) * share[:, None] * back
         self.table = emb @ layer
         if len(aside):
-            z = np.array([bags[i][1] @ self.table[bags[i][0]] if len(bags[i][0]) else np.zeros(len(self.names)) for i in aside])
-            grid = np.geomspace(0.02, 20, 60)
+            score = lambda b: b[1] @ self.table[b[0]] if len(b[0]) else np.zeros(k + 1)
+            z, at = np.array([score(bags[i]) for i in aside]), np.arange(len(aside))
 
             def loss(t: float) -> float:
                 self.temperature = t
-                return float(-np.log(self.probabilities(z)[np.arange(len(aside)), y[aside]] + 1e-12).mean())
-
-            self.temperature = float(min(grid, key=loss))
-            p = self.probabilities(z)
-            right = p.max(axis=1)[p.argmax(axis=1) == y[aside]]
-            if len(right):
-                self.least = min(float(np.quantile(right, lost)), 0.5)
+                return float(-np.log(self.probabilities(z)[0][at, y[aside]] + 1e-12).mean())
+
+            self.temperature = float(min(np.geomspace(0.02, 20, 60), key=loss))
+            p, unknown = self.probabilities(z)
+            right = p.argmax(axis=1) == y[aside]
+            if right.any():
+                self.least = float(min(np.quantile(p.max(axis=1)[right], lost), 0.9))
+                of_noise = self.probabilities(np.array([score(noise[int(i)]) for i in aside]))[1]
+                # between what right answers have at most and what noise has at least, as far as they part
+                top, low = float(np.quantile(unknown[right], 1 - lost)), float(np.quantile(of_noise, 0.01))
+                self.most_unknown = max(top, (top + low) / 2)
         return self
 
 
@@ -137,16 +168,20 @@ def train(docs: DataFrame, max_docs: int = 3000, max_bytes: int = 8_000_000) ->
         return LanguageModel([])
     u = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 1.5 * max_docs / len(counts) / n))])
-    few = rows.where(F.octet_length("text") <= max_bytes // 20).where(u < F.element_at(share, F.col("lang")))
-    picked = few.withColumn("k", F.xxhash64("doc_id")).limit(3 * max_docs).collect()
-    picked = sorted(picked, key=lambda r: (r.k, r.doc_id, r.text))[:max_docs]
+    few = rows.where(u < F.element_at(share, F.col("lang"))).withColumn("k", F.xxhash64("doc_id"))
     names = sorted(counts)
-    texts, y, held = [], [], 0
-    for r in picked:
-        t = r.text.encode()
-        if held + len(t) <= max_bytes:
-            texts.append(t), y.append(names.index(r.lang))
-            held += len(t)
+    # whole groups of rows of one (doc_id, lang), smallest hashes first, while they fit
+    sizes = few.groupBy("k", "doc_id", "lang").agg(F.sum(F.octet_length("text")).cast("long").alias("n"), F.count(F.lit(1)).alias("rows")).limit(3 * max_docs).collect()
+    chosen, held, n = [], 0, 0
+    for r in sorted(sizes, key=lambda r: (r.k, str(r.doc_id), r.lang)):
+        if held + r.n <= max_bytes and n + r.rows <= max_docs:
+            chosen.append((r.k, r.lang))
+            held, n = held + r.n, n + r.rows
+    wanted = docs.sparkSession.createDataFrame(chosen, "k long, lang string")
+    picked = few.join(F.broadcast(wanted.distinct()), ["k", "lang"]).collect()
+    texts, y = [], []
+    for r in sorted(picked, key=lambda r: (r.k, str(r.doc_id), r.text)):
+        texts.append(r.text.encode()), y.append(names.index(r.lang))
     return LanguageModel(names).fit(texts, np.array(y, np.int64)) if texts else LanguageModel([])
 
 
@@ -163,11 +198,11 @@ def _judge(model: LanguageModel, buf: np.ndarray, off: np.ndarray) -> tuple[np.n
     n = len(off) - 1
     if not model.names:
         return np.zeros(n, np.int64), np.zeros(n), np.zeros(n, bool)
-    p = model.probabilities(model.logits(buf, off))
+    p, unknown = model.probabilities(model.logits(buf, off))
     at, score = p.argmax(axis=1), p.max(axis=1)
     none = ~_has_letter(buf, off)
     at[none], score[none] = len(model.names), 0.0
-    return at, score, ~none & (score >= model.least)
+    return at, score, ~none & (score >= model.least) & (unknown <= model.most_unknown)
 
 
 def keep(docs: DataFrame, model: LanguageModel) -> DataFrame:

@@ -1,19 +1,22 @@
 """URL filters as a temporal list join, in DataFrame functions only.
 
-Dated list entries (a key is added to or removed from a list at some time) become
+Dated list entries (a key is added to or removed from a list at some time) are
 validity intervals: of each (list, kind, key) an addition holds until the next
 entry. A capture has a key for each suffix of its host and each leading path of
-its URL; the as-of join meets captures with the intervals of their keys that
-hold at fetch time, start included, end excluded.
-
-Joins are shuffle joins on the key that adaptive execution can split, so a host
-that a third of all captures share is no single task; captures are met in
-distinct (key, time) form and counted before the shuffle back.
-
-Defined results: a null URL or time, or a URL without a host, is on no list.
-Entries with a null field are no entries; of entries of one key and time the
-removal comes last. Repeated captures give repeated rows. Empty tables: no rows,
-or captures that are on no list. Other columns are ignored.
+its URL that is as long as some entry's. The as-of join merges captures and entries
+of a (list, key) in order of time and carries the last entry along, so no pair
+of a capture and an interval is formed; start included, end excluded.
+
+Captures are met in distinct (key, time) form and counted before the shuffle back.
+A key with more than SPLIT times is dealt to several groups, each with all
+of the key's entries, so a host that a third of all captures share is no single task.
+
+Hosts are compared without user, port and trailing dots; a numeric or bracketed
+(IPv6) address has no suffixes but itself. Defined results: a null URL or time, or a URL
+without a host, is on no list. Entries with a null field are no entries; of
+entries of one key and time the removal comes last. Repeated captures give repeated
+rows. Empty tables: no rows, or captures that are on no list. Other columns are
+ignored. Only lengths of paths that entries have are cut from a URL, so a very long one costs no more.
 """
 
 from __future__ import annotations
@@ -25,9 +28,14 @@ from pyspark.sql import functions as F
 HOST, PREFIX = "host", "prefix"
 
 
+#: Times of a key that are merged as one group.
+SPLIT = 20_000
+
+
 def host_of(url: Column) -> Column:
-    """Lower-case host without user and port; null if there is none."""
-    h = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    """Lower-case host without user, port and trailing dots, a bracketed address with its brackets; null if there is none."""
+    h = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:\[]+)", 1))
+    h = F.regexp_replace(h, r"\.+$", "")
     return F.when(h != "", h)
 
 
@@ -36,22 +44,22 @@ def segments_of(url: Column) -> Column:
     return F.filter(F.split(path, "/"), lambda x: x != "")
 
 
-def keys_of(url: Column) -> Column:
-    """Array of struct(kind, key) that a list entry may name to cover the URL."""
+def keys_of(url: Column, depths: list[int]) -> Column:
+    """Array of struct(kind, key) that a list entry may name to cover the URL; depths: numbers of segments of paths that entries have."""
     host = host_of(url)
     parts, segs = F.split(host, r"\."), segments_of(url)
+    whole = host.rlike(r"^\[|^[0-9.]+$")
     hosts = F.transform(
-        F.sequence(F.lit(1), F.size(parts)),
+        F.sequence(F.lit(1), F.when(whole, 1).otherwise(F.size(parts))),
         lambda i: F.struct(F.lit(HOST).alias("kind"), F.array_join(F.slice(parts, i, F.size(parts)), ".").alias("key")),
     )
-    prefixes = F.when(
-        F.size(segs) > 0,
-        F.transform(
-            F.sequence(F.lit(1), F.size(segs)),
-            lambda i: F.struct(F.lit(PREFIX).alias("kind"), F.concat(host, F.lit("/"), F.array_join(F.slice(segs, F.lit(1), i), "/")).alias("key")),
-        ),
+    if not depths:
+        return F.when(host.isNotNull(), hosts)
+    prefixes = F.transform(
+        F.filter(F.array(*map(F.lit, depths)), lambda i: i <= F.size(segs)),
+        lambda i: F.struct(F.lit(PREFIX).alias("kind"), F.concat(host, F.lit("/"), F.array_join(F.slice(segs, F.lit(1), i), "/")).alias("key")),
     )
-    return F.when(host.isNotNull(), F.when(prefixes.isNull(), hosts).otherwise(F.concat(hosts, prefixes)))
+    return F.when(host.isNotNull(), F.concat(hosts, prefixes))
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -64,13 +72,21 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 def on_lists(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """captures (id, url, fetched) -> (id, url, fetched, n_lists long, lists string: names joined by ',')."""
+    e = entries.select("list", "kind", "key", "action", "at").dropna()
+    depths = sorted(r.n for r in e.where(F.col("kind") == PREFIX).select((F.size(F.split("key", "/")) - 1).alias("n")).distinct().collect())
     seen = captures.select("url", "fetched").dropna().distinct()
-    keyed = seen.select("url", "fetched", F.explode(keys_of(F.col("url"))).alias("k")).select("url", "fetched", "k.kind", "k.key")
-    # each (key, time) meets the intervals once, however many URLs share it
-    asked = keyed.select("kind", "key", "fetched").distinct()
-    valid = intervals(entries)
-    held = asked.join(valid, ["kind", "key"]).where("since <= fetched AND (until IS NULL OR fetched < until)")
-    held = held.groupBy("kind", "key", "fetched").agg(F.array_sort(F.collect_set("list")).alias("names"))
+    keyed = seen.select("url", "fetched", F.explode(keys_of(F.col("url"), depths)).alias("k")).select("url", "fetched", "k.kind", "k.key")
+    lists = e.select("list", "kind", "key").distinct()
+    # each (key, time) meets the entries once, however many URLs share it, and only where a list has the key
+    asked = keyed.select("kind", "key", "fetched").distinct().join(lists, ["kind", "key"])
+    groups = asked.groupBy("list", "kind", "key").agg(F.ceil(F.count(F.lit(1)) / SPLIT).cast("int").alias("groups"))
+    key = ["list", "kind", "key"]
+    dealt = e.join(groups, key).withColumn("grp", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    dealt = dealt.select(*key, "grp", F.col("at").alias("t"), F.lit(0).alias("side"), "action")
+    times = asked.join(groups, key).select(*key, F.pmod(F.xxhash64("fetched"), "groups").cast("int").alias("grp"), F.col("fetched").alias("t"), F.lit(1).alias("side"), F.lit(None).cast("string").alias("action"))
+    w = Window.partitionBy(*key, "grp").orderBy("t", "side", "action").rowsBetween(Window.unboundedPreceding, 0)
+    held = dealt.unionByName(times).withColumn("last", F.last("action", ignorenulls=True).over(w)).where("side = 1 AND last = 'add'")
+    held = held.groupBy("kind", "key", F.col("t").alias("fetched")).agg(F.array_sort(F.collect_set("list")).alias("names"))
     found = keyed.join(held, ["kind", "key", "fetched"]).groupBy("url", "fetched").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias("names"))
     out = captures.select("id", "url", "fetched").join(found, ["url", "fetched"], "left")
     names = F.coalesce("names", F.array().cast("array<string>"))
@@ -82,7 +98,7 @@ def _digit(key: Column, i: int) -> Column:
 
 
 def demo_entries(captures: DataFrame) -> DataFrame:
-    """A list history over the hosts, leading paths and domains that captures hold, dated by hashes of the keys."""
+    """A list history over the hosts, leading paths and domains that captures hold, dated by hashes of the keys, and as many hosts that none holds."""
     url = F.col("url")
     host = host_of(url)
     parts = F.split(host, r"\.")
@@ -102,6 +118,8 @@ def demo_entries(captures: DataFrame) -> DataFrame:
         F.struct(F.when(_digit(k, 3) < 8, F.lit("remove")).alias("action"), (start + 40).alias("day")),
         F.struct(F.when(_digit(k, 4) < 8, F.lit("add")).alias("action"), (start + 90).alias("day")),
     )
+    absent = keys.where("kind = 'host'").select(F.lit("elsewhere").alias("list"), "kind", F.concat(F.md5(F.col("key").cast("binary")), F.lit(".invalid")).alias("key")).distinct()
+    keys = keys.unionByName(absent)
     chosen = keys.where((F.col("list") == "tracker") | (_digit(k, 5) < 6))
     flat = chosen.select("list", "kind", "key", F.explode(steps).alias("s")).select("list", "kind", "key", "s.action", "s.day").where("action IS NOT NULL")
     return flat.select("list", "kind", "key", "action", F.timestamp_seconds(F.lit(1704067200) + F.col("day").cast("long") * 86400).alias("at"))
