@@ -117,6 +117,24 @@ def test_suffix_random_repeats(spark):
     assert {x.doc_id: tuple(x[1:]) for x in got} == brute_repeats(rows)
 
 
+def test_suffix_doubling_levels():
+    assert suffix.doubling(100) == [(32, [0, 32, 36, 68]), (64, [0, 36])]
+    assert suffix.doubling(128) == [(32, [0, 32, 64, 96]), (64, [0, 64]), (128, [0])]
+    assert suffix.doubling(64) == [(32, [0, 32]), (64, [0])]
+
+
+@pytest.mark.parametrize("length", [64, 150])
+def test_suffix_lengths_clashing_names_and_null_ids(spark, length):
+    r = random.Random(7)
+    part = ["".join(r.choices("ab", k=r.randint(30, 200))) for _ in range(12)]
+    rows = [(k, "".join(r.choices(part, k=r.randint(1, 6)))) for k in range(40)]
+    nulls = [(None, rows[0][1]), (None, rows[0][1])]
+    df = spark.createDataFrame([(k, t, 1, 2, 3, "x") for k, t in rows + nulls], "doc_id long, text string, _spans int, key int, c0 int, spans string")
+    got = suffix.remove_repeats(spark, df, length=length, mode="digest").collect()
+    assert {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in got if x.doc_id is not None} == brute_repeats(rows, length)
+    assert all((x._spans, x.key, x.c0, x.spans) == (1, 2, 3, "x") for x in got) and [x.n_removed for x in got if x.doc_id is None] == [0, 0]
+
+
 def test_components(spark):
     e = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 201), (5, 5), (None, 3)]
     got = {r.id: r.component_id for r in components.connected_components(spark, spark.createDataFrame(e, "a long, b long")).collect()}
