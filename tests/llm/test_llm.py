@@ -59,6 +59,8 @@ def test_minhash_brute(spark, odd, empty):
     assert {k: r.n_shingles for k, r in got.items()} == {k: len(v) for k, v in s.items()}
     assert minhash.near_duplicates(spark, odd).count() == odd.count()
     assert minhash.near_duplicates(spark, empty).count() == 0
+    nulls = spark.createDataFrame([(None, "a b c d e f g"), (2, "a b c d e f g"), (3, "a b c d e f g")], "doc_id long, text string")
+    assert sorted(map(str, (tuple(r) for r in minhash.near_duplicates(spark, nulls).collect()))) == ["(2, 3, 2, True)", "(3, 3, 2, False)", "(None, 3, None, True)"]
 
 
 def test_minhash_group_of_near_copies(spark):
@@ -195,6 +197,30 @@ def test_shortest_pack_first():
             for x in p:
                 placed[x] = placed.get(x, 0) + n
         assert placed == counts
+        # the same packs as piece by piece: longest first, each into the emptiest pack that has room
+        room = []
+        for n in sorted((n for n, m in counts.items() for _ in range(m)), reverse=True):
+            k = max(range(len(room)), key=room.__getitem__, default=None)
+            if k is None or room[k] < n:
+                room.append(64)
+                k = len(room) - 1
+            room[k] -= n
+        assert sorted(64 - sum(p) for p, n in packs for _ in range(n)) == sorted(room)
+
+
+def test_packing_wastes_little(spark):
+    """The number of sequences against the least that could hold all ids, and a null id."""
+    rows = packing.pack(spark, spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()
+    least = -(-sum(r.length for r in rows) // 2048)
+    assert len({r.sequence_id for r in rows}) <= 1.01 * least + 1
+    nulls = spark.createDataFrame([(None, "one two"), (None, None)], "doc_id long, text string")
+    assert sorted(r.doc_tokens for r in packing.pack(spark, nulls).collect())[0] == 1
+
+
+def test_bpe_unknown_ids():
+    e = bpe.Encoder(bpe.tokenizer_path())
+    ids = np.frombuffer(e.encode("one two"), "<u4")
+    assert e.decode(np.append(ids, 10**6).astype("<u4").tobytes()) == e.decode(ids.tobytes()) and e.decode(np.array([10**6], "<u4").tobytes()) == b""
 
 
 def test_quality(spark, odd, empty):

@@ -15,7 +15,9 @@ is looked up, and encoded once for each worker (the table of runs is bounded and
 starts afresh when full). Special tokens in a text are recognised as the library
 does.
 
-Null texts count as empty; an empty text has no ids and decodes to "".
+Null texts count as empty; an empty text has no ids and decodes to "". Ids that the vocabulary
+doesn't have decode to nothing. Repeated rows give equal rows, very long texts are encoded whole, an
+empty table gives no rows, other columns are ignored.
 """
 
 from __future__ import annotations
@@ -109,14 +111,16 @@ class Encoder:
         self._shorter = [next((of[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in of), -1) for t in text]
         self._fits = lru_cache(1 << 19)(self._compatible)
         self._special = {x["content"]: np.array([x["id"]], "<u4").tobytes() for x in spec["added_tokens"]}
-        self._special_re = re.compile("(" + "|".join(map(re.escape, self._special)) + ")") if self._special else None
+        if any(re.search(r"\s", x) for x in self._special):
+            raise ValueError("a special token with white space would be cut")
+        self._special_re = re.compile("(" + "|".join(map(re.escape, sorted(self._special, key=len, reverse=True))) + ")") if self._special else None
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self._words = regex.compile(pattern)
         self._runs = _Table(self._run, tables[0])
         self._known = _Table(self._word_ids, tables[1])
         # decoding: the library joins the tokens' own strings with spaces, as this file has no decoder
         names = {i: t for t, i in vocab.items()} | {x["id"]: x["content"] for x in spec["added_tokens"]}
-        pieces = [(names.get(i, "") + " ").encode() for i in range(max(names) + 1)]
+        pieces = [(names[i] + " ").encode() if i in names else b"" for i in range(max(names) + 1)]
         self._piece_bytes = np.frombuffer(b"".join(pieces), np.uint8)
         self._piece_len = np.array([len(p) for p in pieces], np.int32)
         self._piece_at = (np.cumsum(self._piece_len) - self._piece_len).astype(np.int32)
@@ -185,7 +189,7 @@ class Encoder:
             if plain:
                 word = run if plain[1] == run else plain[1]  # one string object for both tables
                 return self._known[word] + self._known[plain[2]] if plain[2] else self._known[word]
-        parts = self._special_re.split(run) if self._special_re and "<|" in run else [run]
+        parts = self._special_re.split(run) if self._special_re and self._special_re.search(run) else [run]
         out = []
         for part in parts:
             if part in self._special:
@@ -205,9 +209,10 @@ class Encoder:
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 of the decoded text."""
         k = np.frombuffer(ids, "<u4")
-        if not len(k):
-            return b""
+        k = k[k < len(self._piece_len)]
         n = self._piece_len[k]
+        if not n.sum():
+            return b""
         ends = np.cumsum(n, dtype=np.int64)
         at = np.repeat(self._piece_at[k] - (ends - n), n)
         at += np.arange(ends[-1])

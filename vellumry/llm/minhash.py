@@ -20,7 +20,8 @@ Candidates come from bands of the sketch; links are confirmed on full sets.
 
 Defined results: null, empty or word-less texts have no shingles and no links,
 component_id = doc_id. Equal texts link. Rows of a repeated doc_id are the same
-vertex. Other columns of docs are ignored. An empty table gives no rows.
+vertex. Rows without doc_id are linked with nothing: component_id null, kept true. Very
+long texts are read whole. Other columns of docs are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -240,5 +241,5 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 85) ->
         "f1", "f2", "n_shingles", F.coalesce("component_id", "rep").alias("component_id")
     )
     out = sig.select("doc_id", "n_shingles", "f1", "f2").join(named, ["f1", "f2", "n_shingles"], "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

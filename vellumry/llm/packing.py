@@ -10,8 +10,10 @@
    and length) plus the rank in the partition, so no sort or window runs over the
    pieces, and no length is a hot key.
 
+Counts by partition and length are broadcast only where at most MOST_COUNTS were counted, else shuffled.
+
 Defined results: a null or empty text is the end id alone. Rows of a repeated
-doc_id are documents of their own. No rows: no rows. Which of the pieces of one
+doc_id, and rows without one, are documents of their own. Other columns are ignored. No rows: no rows. Which of the pieces of one
 length share a sequence depends on the partitioning of the input; the number of
 sequences and the padding do not.
 """
@@ -32,6 +34,9 @@ from vellumry.llm.bpe import CACHE_RUNS, CACHE_WORDS, encoder, tokenizer_path
 from vellumry.llm.histpack import shortest_pack_first
 from vellumry.llm.storage import materialize
 
+#: Rows of counts that are sent to all tasks at most: about 60 MB.
+MOST_COUNTS = 1_000_000
+
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, local_rank long"
 _PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -98,6 +103,7 @@ def pack(spark: SparkSession, docs: DataFrame, capacity: int = 2048, end_id: int
     table = slots(shortest_pack_first(histogram, capacity))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     each = each.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    each = F.broadcast(each) if each.count() <= MOST_COUNTS else each.hint("merge")
     ranked = pieces.join(each, ["part", "length"]).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("before") + F.col("local_rank")).alias("rank")
     )
