@@ -2,37 +2,45 @@ r"""Ordered redaction rules as Column expressions.
 
 R1 mailto links, R2 addresses, R3 spelled-out addresses, R4 passcodes in URLs, R5
 labelled passcodes, R6 further copies of what R4 removed. Each rule reads what the
-rule before it left; every costly pattern runs behind a cheap test. Word borders
-are written for ASCII, since Java's \b follows Unicode.
+rule before it left. A text is searched for a rule only where a cheap test finds the
+rule's sign, and only once: what a rule did is counted by the markers that it left.
+
+Word borders are written for ASCII, since Java's \b follows Unicode. Nulls stay null.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Exempt endings of file names, labels and names of passcodes, least length of a copied secret.
+# Exempt endings of file names, labels and names of passcodes, least length of a copied secret,
+# markers, and the most addresses of an allowlist.
 IMAGE_ENDINGS = "png jpg jpeg gif webp svg bmp ico".split()
 PASSCODE_LABELS = "kenncode kennwort passcode passwort password zugangscode wachtwoord toegangscode".split()
 PASSCODE_PARAMS = "pwd passcode password".split()
 LEAST_SECRET = 12
+ADDRESS_MARK, LINK_MARK, SECRET_MARK = "[email redacted]", '<span class="email-redacted">', "REDACTED"
+MOST_ALLOWED = 100
 
-_ATOM = r"[A-Za-z0-9._%+-]"
-_FRESH = rf"(?:\G|(?<!{_ATOM}))"
+#: A character of the part before @, one of a domain's labels, and where a search for an address may begin: not
+#: inside such a part (so that a long run is read once), or right behind the address before it.
+_NAME, _LABEL = r"[\w.%+-]", "[A-Za-z0-9-]"
+_BEGIN = rf"(?:(?<!{_NAME})|\G(?!^))"
+#: The end of a whole address or domain.
+_DONE = rf"(?!{_LABEL}|\.[A-Za-z0-9])"
+#: A value in a URL ends at white space, quotes, brackets, & and #.
+_VALUE = r"[^\s\"'<>&#]"
 
 
-def _bracketed(word: str) -> str:
-    return "(?:" + "|".join(rf"\{a}[ \t]*{word}[ \t]*\{b}" for a, b in ("()", "[]", "{}")) + ")"
+def _any(words: list[str]) -> str:
+    return "(?:" + "|".join(map(re.escape, words)) + ")"
 
 
-_AT, _DOT = _bracketed("at"), r"[ \t]*" + _bracketed("dot") + r"[ \t]*"
-_STOP = r"[\s\"'<>&#]"
-_PARAM = rf"[?&;](?i:{'|'.join(PASSCODE_PARAMS)})="
-_DONE = rf"(?!REDACTED(?:{_STOP}|\z))"
-_LABEL = rf"(?<![A-Za-z0-9_])(?:{'|'.join(PASSCODE_LABELS)})[ \t]*[:=][ \t]*"
-VALUE = r"[^\s\"'<>&#]+"
+def _word_in_brackets(word: str) -> str:
+    return rf"[ \t]*[(\[{{][ \t]*{word}[ \t]*[)\]}}][ \t]*"
 
 
 @dataclass(frozen=True)
@@ -41,17 +49,48 @@ class Rule:
     about: str
     pattern: str
     replacement: str
-    hint: str  # a cheap pattern without which the rule can't match
+    mark: str  # what each replacement leaves one of
+    sign: str  # a cheap pattern without which the rule can't match
+
+
+def address_pattern(allowed: tuple[str, ...] = ()) -> str:
+    """R2: an address that is no name of an image file and not one of the allowed (whole, in any case)."""
+    image = rf"(?!{_NAME}+@(?:{_LABEL}+\.)+(?i:{_any(IMAGE_ENDINGS)}){_DONE})"
+    kept = rf"(?!(?i:{_any(sorted(allowed))}){_DONE})" if allowed else ""
+    return rf"{_BEGIN}{image}{kept}{_NAME}+@(?:{_LABEL}+\.)+[A-Za-z]{{2,}}"
+
 
+def rules(allowed: tuple[str, ...] = ()) -> tuple[Rule, ...]:
+    at, dot = _word_in_brackets("at"), _word_in_brackets("dot")
+    key = rf"(?<=[?&;])((?i:{_any(PASSCODE_PARAMS)})=)"
+    return (
+        Rule("R1", "mailto link becomes a marked span", r"(?is)<a\s[^>]*?(?<=\s)href\s*=\s*[\"']?\s*mailto:[^>]*>(.*?)</a\s*>", LINK_MARK + "$1</span>", LINK_MARK, "(?i)mailto:"),
+        Rule("R2", "address, names of image files excepted", address_pattern(allowed), ADDRESS_MARK, ADDRESS_MARK, "@"),
+        Rule("R3", "address with at and dot as words in brackets", rf"(?i){_BEGIN}{_NAME}+{at}{_LABEL}+(?:(?:{dot}|\.){_LABEL}+)*{dot}[a-z]{{2,}}", ADDRESS_MARK, ADDRESS_MARK, r"(?i)[(\[{][ \t]*dot[ \t]*[)\]}]"),
+        Rule("R4", "passcode parameter of a URL", rf"{key}(?!{SECRET_MARK}(?!{_VALUE})){_VALUE}+", f"$1{SECRET_MARK}", SECRET_MARK, rf"(?i)[?&;]{_any(PASSCODE_PARAMS)}="),
+        Rule("R5", "labelled passcode of 4 to 12 letters and digits, one digit at least", rf"(?i)((?<![A-Za-z0-9_]){_any(PASSCODE_LABELS)}[ \t]*[:=][ \t]*)(?=[a-z]*[0-9])[a-z0-9]{{4,12}}(?![A-Za-z0-9_])", f"$1{SECRET_MARK}", SECRET_MARK, rf"(?i){_any(PASSCODE_LABELS)}[ \t]*[:=]"),
+    )
 
-RULES = (
-    Rule("R1", "mailto link becomes a marked span", r"(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:\"mailto:[^\"]*\"|'mailto:[^']*')[^>]*>(.*?)</a\s*>", '<span class="email-redacted">$1</span>', "(?i)mailto:"),
-    Rule("R2", "e-mail address, image names excepted", rf"{_FRESH}{_ATOM}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.(?!(?i:{'|'.join(IMAGE_ENDINGS)})(?![A-Za-z]))[A-Za-z]{{2,}}", "[email redacted]", "@"),
-    Rule("R3", "address with at and dot spelled out in brackets", rf"(?i){_FRESH}{_ATOM}+[ \t]*{_AT}[ \t]*[A-Za-z0-9-]+(?:(?:{_DOT}|\.)[A-Za-z0-9-]+)*{_DOT}[A-Za-z]{{2,}}", "[email redacted]", r"(?i)[(\[{][ \t]*at[ \t]*[)\]}]"),
-    Rule("R4", "passcode parameter of a URL", rf"({_PARAM}){_DONE}{VALUE}", "$1REDACTED", "(?i)(?:pwd|passcode|password)="),
-    Rule("R5", "labelled passcode with a digit", rf"(?i)({_LABEL})(?=[A-Za-z0-9]*[0-9])[A-Za-z0-9]{{4,12}}(?![A-Za-z0-9_])", "$1REDACTED", "[:=]"),
-)
+
+RULES = rules()
 R6 = "R6"
+NAMES = [*(r.id for r in RULES), R6]
+
+
+def check_allowlist(entries: list[tuple[str, str]]) -> tuple[str, ...]:
+    """The addresses of (address, reason) entries, lower case; a ValueError if there are over MOST_ALLOWED, doubles, malformed ones or entries without reason."""
+    if len(entries) > MOST_ALLOWED:
+        raise ValueError(f"more than {MOST_ALLOWED} allowed addresses")
+    out = []
+    for address, reason in entries:
+        if not isinstance(address, str) or not re.fullmatch(r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}", address):
+            raise ValueError("an allowed address is malformed")
+        if not isinstance(reason, str) or not reason.strip():
+            raise ValueError("an allowed address has no reason")
+        if address.lower() in out:
+            raise ValueError("an allowed address is listed twice")
+        out.append(address.lower())
+    return tuple(out)
 
 
 def bound(c: Column, f) -> Column:
@@ -60,11 +99,15 @@ def bound(c: Column, f) -> Column:
 
 
 def apply_rule(c: Column, rule: Rule) -> Column:
-    return bound(c, lambda x: F.when(x.rlike(rule.hint), F.regexp_replace(x, rule.pattern, rule.replacement)).otherwise(x))
+    return bound(c, lambda x: F.when(x.rlike(rule.sign), F.regexp_replace(x, rule.pattern, rule.replacement)).otherwise(x))
 
 
 def count_rule(c: Column, rule: Rule) -> Column:
-    return F.when(c.rlike(rule.hint), F.regexp_count(c, F.lit(rule.pattern))).otherwise(F.lit(0))
+    return F.when(c.rlike(rule.sign), F.regexp_count(c, F.lit(rule.pattern))).otherwise(F.when(c.isNotNull(), 0))
+
+
+def marks(c: Column, mark: str) -> Column:
+    return F.floor((F.length(c) - F.length(F.replace(c, F.lit(mark), F.lit("")))) / len(mark)).cast("int")
 
 
 def slug_form(c: Column) -> Column:
@@ -74,60 +117,51 @@ def slug_form(c: Column) -> Column:
 
 def secrets(c: Column) -> Column:
     """Distinct values of LEAST_SECRET characters and more that R4 removes from c, longest first."""
-    found = F.regexp_extract_all(c, F.lit(rf"{_PARAM}{_DONE}({VALUE})"), F.lit(1))
-    long = F.array_distinct(F.filter(found, lambda v: F.length(v) >= LEAST_SECRET))
-    return F.when(c.rlike(RULES[3].hint), F.array_sort(long, lambda a, b: F.length(b) - F.length(a))).otherwise(F.array().cast("array<string>"))
+    rule = RULES[3]
+    found = F.regexp_extract_all(c, F.lit(f"({rule.pattern})"), F.lit(1))
+    values = F.transform(found, lambda v: F.regexp_replace(v, "^[^=]*=", ""))
+    long = F.array_distinct(F.filter(values, lambda v: F.length(v) >= LEAST_SECRET))
+    return F.when(c.rlike(rule.sign), F.array_sort(long, lambda a, b: F.length(b) - F.length(a))).otherwise(F.array().cast("array<string>"))
 
 
-def _quoted(v: Column) -> Column:
-    return F.regexp_replace(v, r"([\\.^$|?*+()\[\]{}-])", r"\\$1")
+def _literally(v: Column) -> Column:
+    r"""A pattern for the value itself: \Q..\E, with \E in the value taken apart."""
+    return F.concat(F.lit("\\Q"), F.replace(v, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
 
 
-def _copies(v: Column) -> Column:
-    """Pattern of a value or its slug form, in any case."""
-    slug = slug_form(v)
-    return F.concat(F.lit("(?i)(?:"), _quoted(v), F.when(F.length(slug) >= LEAST_SECRET, F.concat(F.lit("|"), _quoted(slug))).otherwise(""), F.lit(")"))
+def remove_copies(c: Column, values: Column) -> Column:
+    """R6: what c still holds of the values, whole or as slugs that are long enough, in any case."""
 
+    def gone(text: Column, v: Column) -> Column:
+        slug = F.when(F.length(slug_form(v)) >= LEAST_SECRET, F.concat(F.lit("|"), slug_form(v))).otherwise("")
+        return F.regexp_replace(text, F.concat(F.lit("(?i)(?:"), _literally(v), slug, F.lit(")")), F.lit(SECRET_MARK))
 
-def remove_copies(c: Column, values: Column) -> Column:
-    """R6: what c still holds of the values, in full or as slugs."""
-    return F.aggregate(values, c, lambda acc, v: F.regexp_replace(acc, _copies(v), F.lit("REDACTED")))
+    return F.when(F.size(values) == 0, c).otherwise(F.aggregate(values, c, gone))
 
 
-def redact(c: Column, keep: tuple[str, ...] = ()) -> Column:
-    """All rules in order. ``keep`` lists whole addresses to leave in place (their mailto links still go)."""
-    values = secrets(c)
+def redact(c: Column, allowed: tuple[str, ...] = ()) -> Column:
+    """All rules in order. Allowed whole addresses stay, in any case, but their mailto links go like others."""
     out = c
-    for i, a in enumerate(keep):
-        border = rf"(?<!{_ATOM}){_regex_quote(a)}(?![A-Za-z0-9-]|\.[A-Za-z0-9])"
-        out = F.regexp_replace(out, border, chr(0xE0A1 + i))
-    for rule in RULES:
+    for rule in rules(allowed):
         out = apply_rule(out, rule)
-    for i, a in enumerate(keep):
-        out = F.replace(out, F.lit(chr(0xE0A1 + i)), F.lit(a))
-    return remove_copies(out, values)
-
-
-def _regex_quote(s: str) -> str:
-    import re
-
-    return re.escape(s)
+    return bound(F.struct(out.alias("t"), secrets(c).alias("v")), lambda s: remove_copies(s["t"], s["v"]))
 
 
-def rule_counts(df: DataFrame, c: str) -> DataFrame:
-    """df with columns n_R1..n_R6 (on the text as each rule finds it), src_R1..src_R5 (on the source) and redacted."""
-    cur = F.col(c)
-    names, out = [], df
-    for rule in RULES:
-        out = out.withColumn(f"n_{rule.id}", count_rule(cur, rule)).withColumn(f"src_{rule.id}", count_rule(F.col(c), rule))
-        out = out.withColumn(f"_after_{rule.id}", apply_rule(cur, rule))
-        names.append(f"_after_{rule.id}")
-        cur = F.col(names[-1])
+def rule_counts(df: DataFrame, c: str, allowed: tuple[str, ...] = ()) -> DataFrame:
+    """df with n_R1..n_R6 (replacements by each rule in what the rules before it left), src_R1..src_R5 (matches in the source) and redacted."""
+    out, before = df.withColumn("_t0", F.col(c)), "_t0"
+    own = rules(allowed)
+    for k, rule in enumerate(own, 1):
+        out = out.withColumn(f"_t{k}", apply_rule(F.col(before), rule))
+        before = f"_t{k}"
     out = out.withColumn("_values", secrets(F.col(c)))
-    out = out.withColumn("redacted", remove_copies(cur, F.col("_values")))
-    marks = lambda x: F.regexp_count(x, F.lit("REDACTED"))
-    out = out.withColumn("n_R6", marks(F.col("redacted")) - marks(cur))
-    return out.drop(*names, "_values")
+    out = out.withColumn("redacted", remove_copies(F.col(before), F.col("_values")))
+    steps = [*[(r.id, r.mark, f"_t{k}", f"_t{k + 1}") for k, r in enumerate(own)], (R6, SECRET_MARK, before, "redacted")]
+    for id_, mark, a, b in steps:
+        out = out.withColumn(f"n_{id_}", F.when(F.col(a) == F.col(b), 0).otherwise(marks(F.col(b), mark) - marks(F.col(a), mark)))
+    for rule in own:
+        out = out.withColumn(f"src_{rule.id}", count_rule(F.col(c), rule))
+    return out.drop("_values", *[f"_t{k}" for k in range(len(own) + 1)])
 
 
 def email_redacted(c: Column) -> Column:
@@ -135,6 +169,6 @@ def email_redacted(c: Column) -> Column:
     return apply_rule(c, RULES[1])
 
 
-def residuals(c: Column) -> list[Column]:
+def residuals(c: Column, allowed: tuple[str, ...] = ()) -> list[Column]:
     """For each rule, whether a redacted text still matches it."""
-    return [c.rlike(r.hint) & c.rlike(r.pattern) for r in RULES]
+    return [c.rlike(r.sign) & c.rlike(r.pattern) for r in rules(allowed)]

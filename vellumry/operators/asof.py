@@ -3,41 +3,58 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def _merged(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, value: str) -> DataFrame:
-    a = left.withColumn("_v", F.lit(None).cast(right.schema[value].dataType)).withColumn("_side", F.lit(1))
-    b = right.select(*keys, at, F.col(value).alias("_v")).withColumn("_side", F.lit(0))
-    return a.unionByName(b, allowMissingColumns=True)
+    # the carried value is wrapped, so that a marker whose value is null is one too
+    own = F.struct(F.col(value).alias("v"))
+    a = left.withColumn("_v", F.lit(None).cast(right.select(own.alias("x")).schema["x"].dataType)).withColumn("_side", F.lit(1))
+    known = right.where(reduce(and_, [F.col(k).isNotNull() for k in (*keys, at)]))
+    return a.unionByName(known.select(*keys, at, own.alias("_v")).withColumn("_side", F.lit(0)), allowMissingColumns=True)
+
+
+def _carried(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, value: str, name: str, order: list) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    m = _merged(left, right, keys, at, value).withColumn(name, F.when(F.col(at).isNotNull(), F.last("_v", ignorenulls=True).over(w)["v"]))
+    return m.where("_side = 1").select(*left.columns, name)
 
 
 def last_before(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, value: str, name: str) -> DataFrame:
     """left with the value of the last right row of the same keys at or before it (largest value of equal times).
 
     One shuffle by keys and one sort: both sides are merged and the last value
-    is carried along, so no pair of rows is ever formed.
+    is carried along, so no pair of rows is ever formed; a key of very many rows streams
+    through one task's sort, which spills. Null keys and times match nothing; a marker with a null value is
+    a marker (it comes first of equal times). Repeated left rows stay; empty tables give nulls or no rows.
     """
-    w = Window.partitionBy(*keys).orderBy(at, "_side", "_v").rowsBetween(Window.unboundedPreceding, 0)
-    m = _merged(left, right, keys, at, value).withColumn(name, F.last("_v", ignorenulls=True).over(w))
-    return m.where("_side = 1").select(*left.columns, name)
+    return _carried(left, right, keys, at, value, name, [F.col(at).asc(), "_side", "_v"])
 
 
 def first_after(left: DataFrame, right: DataFrame, keys: Sequence[str], at: str, value: str, name: str) -> DataFrame:
-    """left with the value of the first right row of the same keys at or after it (smallest value of equal times)."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(at), "_side", F.desc("_v")).rowsBetween(Window.unboundedPreceding, 0)
-    m = _merged(left, right, keys, at, value).withColumn(name, F.last("_v", ignorenulls=True).over(w))
-    return m.where("_side = 1").select(*left.columns, name)
+    """left with the value of the first right row of the same keys at or after it (smallest value of equal times; nulls as in last_before)."""
+    return _carried(left, right, keys, at, value, name, [F.desc(at), "_side", F.desc("_v")])
+
+
+#: Bins that one range may fill; wider ones fill bins of a coarser level, each level this many times as wide as the one before.
+BINS_A_RANGE = 16
 
 
 def range_lookup(points: DataFrame, ranges: DataFrame, at: str, lo: str, hi: str, width: float) -> DataFrame:
-    """points joined with the ranges lo <= at <= hi, as an equi-join on bins of ``width`` and a residual test.
+    """points joined with the ranges lo <= at <= hi, as an equi-join on bins and a residual test.
 
-    A range goes to each bin that it touches, a point to its own, so work follows
-    the matches instead of the product of both sides.
+    A range goes to the finest level on which it touches at most BINS_A_RANGE + 1 bins (width, 16 widths, 256 widths ...), a
+    point to its bin on each level that a range uses, so a range of any size has few rows and work follows the matches.
+    Null bounds and points match nothing, nor do ranges with lo > hi. The levels in use are counted (at most 256).
     """
-    p = points.withColumn("_bin", F.floor(F.col(at) / width))
-    r = ranges.where(F.col(lo) <= F.col(hi)).withColumn("_bin", F.explode(F.sequence(F.floor(F.col(lo) / width), F.floor(F.col(hi) / width))))
-    return p.join(r, "_bin").where((F.col(at) >= F.col(lo)) & (F.col(at) <= F.col(hi))).drop("_bin")
+    level = F.greatest(F.lit(0), F.ceil(F.log(float(BINS_A_RANGE), F.greatest((F.col(hi) - F.col(lo)) / width / BINS_A_RANGE, F.lit(1.0)))))
+    r = ranges.where(F.col(lo) <= F.col(hi)).withColumn("_level", level.cast("int"))
+    levels = [x._level for x in r.select("_level").distinct().collect()]
+    span = F.pow(F.lit(float(BINS_A_RANGE)), F.col("_level")) * width
+    r = r.withColumn("_bin", F.explode(F.sequence(F.floor(F.col(lo) / span), F.floor(F.col(hi) / span))))
+    p = points.withColumn("_level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>"))).withColumn("_bin", F.floor(F.col(at) / span))
+    return p.join(r, ["_level", "_bin"]).where((F.col(at) >= F.col(lo)) & (F.col(at) <= F.col(hi))).drop("_bin", "_level")

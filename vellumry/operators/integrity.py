@@ -1,38 +1,67 @@
-"""Set, sequence and multiset reconciliation."""
+"""Set, sequence and multiset reconciliation.
+
+Null keys equal each other, as in SQL's set operations; repeated rows count where a function counts;
+empty tables are empty sets. Ties are ordered by the columns named.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _both(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """A join on equal keys, nulls equal nulls."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    joined = left.join(other, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]), how)
+    rest = [c for c in (*left.columns, *right.columns) if c not in keys]
+    key = [F.when(F.col("_in_l"), F.col(k)).otherwise(F.col(f"_r_{k}")).alias(k) if how == "full_outer" else F.col(k) for k in keys]
+    return joined.select(*key, *rest)
+
+
 def compare_sets(want: DataFrame, have: DataFrame, keys: Sequence[str]) -> DataFrame:
     """keys, status: missing (wanted only), extra (there only) or duplicate (there more than once)."""
     keys = list(keys)
-    w = want.select(keys).groupBy(keys).agg(F.count(F.lit(1)).alias("_want"))
+    w = want.select(keys).groupBy(keys).agg(F.lit(True).alias("_in_l"))
     h = have.select(keys).groupBy(keys).agg(F.count(F.lit(1)).alias("_have"))
-    both = w.join(h, keys, "full_outer")
-    status = F.when(F.col("_have").isNull(), "missing").when(F.col("_want").isNull(), "extra").when(F.col("_have") > 1, "duplicate")
-    return both.withColumn("status", status).where("status IS NOT NULL").select(*keys, "status")
+    status = F.when(F.col("_have").isNull(), "missing").when(F.col("_in_l").isNull(), "extra").when(F.col("_have") > 1, "duplicate")
+    return _both(w, h, keys, "full_outer").withColumn("status", status).where("status IS NOT NULL").select(*keys, "status")
 
 
 def compare_bytes(left: DataFrame, right: DataFrame, key: str, size: str, digest: str) -> DataFrame:
-    """Full outer comparison of two trees: missing, extra, or differs (sizes first, digests only where sizes agree)."""
-    a = left.select(key, F.col(size).alias("_ls"), F.col(digest).alias("_ld"))
-    b = right.select(key, F.col(size).alias("_rs"), F.col(digest).alias("_rd"))
-    status = F.when(F.col("_rs").isNull(), "missing").when(F.col("_ls").isNull(), "extra")
-    status = status.when(F.col("_ls") != F.col("_rs"), "size").when(F.col("_ld") != F.col("_rd"), "content")
-    return a.join(b, key, "full_outer").withColumn("status", status).where("status IS NOT NULL").select(key, "status")
+    """Full outer comparison of two trees: missing, extra, size (differing) or content (sizes agree, digests don't)."""
+    a = left.select(key, F.col(size).alias("_ls"), F.col(digest).alias("_ld"), F.lit(True).alias("_in_l"))
+    b = right.select(key, F.col(size).alias("_rs"), F.col(digest).alias("_rd"), F.lit(True).alias("_in_r"))
+    status = F.when(F.col("_in_r").isNull(), "missing").when(F.col("_in_l").isNull(), "extra")
+    status = status.when(~F.col("_ls").eqNullSafe(F.col("_rs")), "size").when(~F.col("_ld").eqNullSafe(F.col("_rd")), "content")
+    return _both(a, b, [key], "full_outer").withColumn("status", status).where("status IS NOT NULL").select(key, "status")
+
+
+#: Numbers of a gap that are listed at once.
+GAP_STEP = 100_000
+
+
+def gap_ranges(df: DataFrame, group: str, number: str, first: int = 1) -> DataFrame:
+    """group, lo, hi: the runs of numbers that are absent between first and the group's largest number; null numbers are none."""
+    n = df.select(group, F.col(number).cast("long").alias("_n")).where(F.col("_n") >= first).distinct()
+    before = F.coalesce(F.lag("_n").over(Window.partitionBy(group).orderBy("_n")), F.lit(first - 1))
+    return n.select(group, (before + 1).alias("lo"), (F.col("_n") - 1).alias("hi")).where("lo <= hi")
 
 
 def number_gaps(df: DataFrame, group: str, number: str, first: int = 1) -> DataFrame:
-    """group, missing number: what is absent between first and the group's largest number."""
-    spans = df.groupBy(group).agg(F.collect_set(F.col(number).cast("long")).alias("have"))
-    whole = F.sequence(F.lit(first).cast("long"), F.array_max("have"))
-    rest = F.when(F.array_max("have") >= first, F.array_except(whole, F.col("have")))
-    return spans.select(group, F.explode(rest).alias("missing"))
+    """group, missing number: what is absent between first and the group's largest number. A wide gap is listed in steps, never as one array."""
+    r = gap_ranges(df, group, number, first).withColumn("lo", F.explode(F.sequence("lo", "hi", F.lit(GAP_STEP).cast("long"))))
+    return r.select(group, F.explode(F.sequence("lo", F.least(F.col("hi"), F.col("lo") + GAP_STEP - 1))).alias("missing"))
+
+
+def leftover(stream: DataFrame, present: DataFrame, group: str, ids: str, key: str) -> DataFrame:
+    """stream (group, ids array), present (group, key) -> (group, pos, key): ids of the stream that aren't present, in the stream's order, repeats kept."""
+    s = stream.select(group, F.posexplode(ids).alias("pos", key))
+    return s.join(present.select(group, key), [group, key], "left_anti").select(group, "pos", key)
 
 
 def multiset_deficit(want: DataFrame, have: DataFrame, group: Sequence[str], item: str) -> DataFrame:
@@ -41,7 +70,7 @@ def multiset_deficit(want: DataFrame, have: DataFrame, group: Sequence[str], ite
     w = want.groupBy(keys).agg(F.count(F.lit(1)).alias("_want"))
     h = have.groupBy(keys).agg(F.count(F.lit(1)).alias("_have"))
     short = F.greatest(F.col("_want") - F.coalesce("_have", F.lit(0)), F.lit(0))
-    return w.join(h, keys, "left").groupBy(list(group)).agg(F.sum(short).alias("n_missing"))
+    return _both(w, h, keys, "left").groupBy(list(group)).agg(F.sum(short).alias("n_missing"))
 
 
 def first_occurrence(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -66,3 +95,12 @@ def case_collisions(df: DataFrame, path: str) -> DataFrame:
     twins = df.select(path).distinct().withColumn("_low", F.lower(path))
     many = twins.groupBy("_low").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return twins.join(many, "_low").select(path, "n")
+
+
+def first_k(df: DataFrame, group: str, value: str, most: int) -> DataFrame:
+    """group, n, firsts: how many distinct values there are, and the smallest ``most`` of them as a sorted array; no more are ever gathered."""
+    d = df.select(group, value).distinct()
+    n = d.groupBy(group).agg(F.count(value).alias("n"))
+    top = d.withColumn("_k", F.row_number().over(Window.partitionBy(group).orderBy(value))).where(F.col("_k") <= most)
+    top = top.groupBy(group).agg(F.array_sort(F.collect_list(value)).alias("firsts"))
+    return _both(n, top, [group], "left").select(group, "n", "firsts")

@@ -54,9 +54,9 @@ def url_safe_path(spark, d):
     return table(spark, d, "pages").select("page_id", U.safe_path(p).alias("ok"), U.safe_path(F.concat(p, F.lit("/../x"))).alias("bad"))
 
 
-@query("srcset_candidates", "SELECT page_id, 'a' || page_id || '.png|b.png|c.png' AS urls FROM pages")
+@query("srcset_candidates", "SELECT page_id, url || '|b' || page_id || ',c.png|' || url || 'x' AS urls FROM pages")
 def srcset_candidates(spark, d):
-    v = F.concat(F.lit("a"), "page_id", F.lit(".png, b.png 1.5x, c.png 2x"))
+    v = F.concat(F.lit(" , "), "url", F.lit(", b"), "page_id", F.lit(",c.png 1.5x , "), "url", F.lit("x "), (F.col("page_id") % 900 + 1).cast("string"), F.lit("w"))
     return table(spark, d, "pages").select("page_id", F.array_join(U.srcset_urls(v), "|").alias("urls"))
 
 
@@ -75,14 +75,19 @@ def link_kinds(spark, d):
     return _links(spark, d).groupBy(U.link_kind(u, "example.org").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
+_MADE = ["javascript:x()", "mailto:a@{h}", "#top", "/t/1", "x/y", "http://{h}/a", "//{h}", "HTTPS://Own.example:80/b", "http:///a", "tel:1", "", "?q", "https://u@own.example/"]
+
+
 @query(
     "url_kind",
-    r"""SELECT page_id, CASE WHEN regexp_extract(url, '://([^/?#]*)', 1) LIKE '%.example.org' THEN 'external' ELSE 'external' END AS link_kind,
-        CASE page_id % 5 WHEN 0 THEN 'unsafe' WHEN 1 THEN 'mailto' WHEN 2 THEN 'fragment' WHEN 3 THEN 'internal' ELSE 'relative' END AS rewrite_kind FROM pages""",
+    """SELECT page_id, link_kind, rewrite_kind FROM (SELECT page_id, ['skipped', 'skipped', 'internal', 'internal', 'internal', 'external', 'external', 'internal', 'malformed', 'skipped', 'internal', 'internal', 'internal'][k] AS link_kind,
+        ['unsafe', 'mailto', 'fragment', 'internal', 'relative', 'external', 'external', 'external', 'external', 'external', 'other', 'relative', 'external'][k] AS rewrite_kind FROM (SELECT page_id, (page_id % 13 + 1)::INT AS k FROM pages))""",
 )
 def url_kind(spark, d):
-    made = F.element_at(F.array(*map(F.lit, ["javascript:x()", "mailto:a@example.org", "#top", "/t/1", "x/y"])), (F.col("page_id") % 5 + 1).cast("int"))
-    return table(spark, d, "pages").select("page_id", U.link_kind(U.split_url(F.col("url")), "example.org").alias("link_kind"), U.rewrite_kind(U.split_url(made), "example.org").alias("rewrite_kind"))
+    """FLT-05, FLT-06: both kinds of each shape of URL, with the pages' hosts in them."""
+    shapes = F.element_at(F.array(*map(F.lit, _MADE)), (F.col("page_id") % len(_MADE) + 1).cast("int"))
+    u = U.split_url(F.replace(shapes, F.lit("{h}"), U.split_url(F.col("url"))["host"]))
+    return table(spark, d, "pages").select("page_id", U.link_kind(u, "own.example").alias("link_kind"), U.rewrite_kind(u, "own.example").alias("rewrite_kind"))
 
 
 @query("external_host_top10", "SELECT regexp_extract(url, '://([^/?#]*)', 1) AS host, count(*)::BIGINT AS n FROM pages GROUP BY 1 ORDER BY n DESC, host LIMIT 10")
@@ -151,32 +156,35 @@ def page_attr_relation(spark, d):
     return a.groupBy("page_id").agg(F.count("value").alias("n"), F.countDistinct("value").alias("n_distinct"))
 
 
-@query("class_predicate", "SELECT page_id, 1::BIGINT AS n FROM pages WHERE html LIKE '%<div class=\"ad\">%'")
-def class_predicate(spark, d):
-    a = H.attribute_relation(table(spark, d, "pages"), "page_id", "html")
-    return a.where((F.col("name") == "class") & H.has_class(F.col("value"), "ad")).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
+@query("escape_text", """SELECT doc_id, sha256(replace(replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(160), '&nbsp;')) AS h, sha256(replace(replace(replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(160), '&nbsp;'), '"', '&quot;')) AS a
+        FROM (SELECT doc_id, regexp_replace(text, '[\x01-\x08\x0b\x0c\x0e-\x1f\x7f]', '', 'g') || chr(160) || '"<' || source AS t FROM documents)""")
+def escape_text(spark, d):
+    t = F.concat("text", F.lit("\u00a0\u0007\"<"), "source")
+    return table(spark, d, "documents").select("doc_id", F.sha2(X.escape_html(t), 256).alias("h"), F.sha2(X.escape_html(t, attribute=True), 256).alias("a"))
 
 
-@query("sanitise_counters")
-def sanitise_counters(spark, d):
-    """HTM-01 to HTM-14: clean fragments with counters; SQL has no HTML parser."""
-    s = H.sanitised(table(spark, d, "pages"), "page_id", "html")
-    return s.select(F.explode("counts").alias("action", "n")).groupBy("action").agg(F.sum("n").alias("n"))
+@query("unix_lines", "SELECT doc_id, sha256(source || chr(10) || text || chr(10) || chr(10) || lang) AS h FROM documents WHERE text NOT LIKE '%' || chr(13) || '%'")
+def unix_lines(spark, d):
+    """SNK-03, STR-11."""
+    t = table(spark, d, "documents").where(~F.col("text").contains("\r"))
+    return t.select("doc_id", F.sha2(X.unix_lines(F.concat("source", F.lit("\r\n"), "text", F.lit("\r\r\n"), "lang")), 256).alias("h"))
 
 
-@query("escape_text", "SELECT doc_id, sha256(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')) AS h FROM documents WHERE text NOT LIKE '%' || chr(160) || '%'")
-def escape_text(spark, d):
-    t = table(spark, d, "documents").where(~F.col("text").contains("\u00a0"))
-    return t.select("doc_id", F.sha2(X.escape_html(F.col("text")), 256).alias("h"))
+_SHAPES = ["yyyy-MM-dd'T'HH:mm:ss.SSS'Z'", "yyyy-MM-dd HH:mm 'UTC'", "yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss'+02:00 UTC'", "yyyy-MM-dd HH:mm' -0530'", "yyyy-MM-dd HH:mm'+02:'", "dd.MM.yyyy"]
 
 
-@query("utc_parse_format", "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%H:%M UTC') AS hm, true AS same FROM events")
+@query(
+    "utc_parse_format",
+    """SELECT event_id, CASE WHEN k < 5 THEN strftime(CASE k WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('minute', ts) WHEN 2 THEN date_trunc('day', ts) WHEN 3 THEN date_trunc('second', ts) - INTERVAL 2 HOUR
+        ELSE date_trunc('minute', ts) + INTERVAL 330 MINUTE END, '%Y-%m-%dT%H:%M:%SZ') END AS iso, CASE WHEN k < 5 THEN k <> 2 END AS timed FROM (SELECT event_id, ts, event_id % 7 AS k FROM events WHERE ts IS NOT NULL)""",
+)
 def utc_parse_format(spark, d):
-    e = table(spark, d, "events")
-    whole = F.date_trunc("second", "ts")
-    p = X.parse_utc(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-    q = X.parse_utc(F.concat(F.date_format(whole + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00")))
-    return e.select("event_id", F.date_format(p, "yyyy-MM-dd").alias("day"), F.date_format(p, "HH:mm 'UTC'").alias("hm"), (p == q).alias("same"))
+    """DAT-01, DAT-02: times of every event in seven spellings, two of which are none."""
+    e = table(spark, d, "events").where("ts IS NOT NULL")
+    k = F.col("event_id") % 7
+    text = F.coalesce(*[F.when(k == i, F.date_format("ts", p)) for i, p in enumerate(_SHAPES)])
+    p = X.parse_utc(text)
+    return e.select("event_id", X.iso(p["at"]).alias("iso"), p["has_time"].alias("timed"))
 
 
 @query("slug_form", r"SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM part")
@@ -184,3 +192,42 @@ def slug_form(spark, d):
     from vellumry.functions.redact import slug_form as slug
 
     return table(spark, d, "part").select("p_partkey", slug(F.col("p_name")).alias("slug"))
+
+
+@query("url_decode_variants", "SELECT page_id, CASE page_id % 4 WHEN 0 THEN url || ' ü+%' ELSE NULL END AS strict, CASE page_id % 4 WHEN 0 THEN url || ' ü+%' WHEN 1 THEN url || '%ff%20' WHEN 2 THEN url || ' ' ELSE url || '%e4x' END AS tolerant FROM pages")
+def url_decode_variants(spark, d):
+    """URL-04, URL-05."""
+    tail = F.element_at(F.array(*map(F.lit, ["%20%C3%BC+%", "%ff%20", "%00%20", "%e4x"])), (F.col("page_id") % 4 + 1).cast("int"))
+    u = F.concat("url", tail)
+    return table(spark, d, "pages").select("page_id", U.percent_decode(u).alias("strict"), U.percent_decode_tolerant(u).alias("tolerant"))
+
+
+@query("url_resolve", rf"SELECT page_id, CASE page_id % 5 WHEN 0 THEN regexp_replace(p, '[^/]*$', '') || 'a/c' WHEN 1 THEN '/x/' WHEN 2 THEN p WHEN 3 THEN '/' ELSE '/b c' END AS path, CASE page_id % 5 WHEN 2 THEN 'f ' || page_id ELSE '' END AS fragment FROM (SELECT page_id, regexp_extract(url, '{_RE}', 3) AS p FROM pages)")
+def url_resolve(spark, d):
+    """URL-08 with dots, decoding and fragments."""
+    ref = F.element_at(F.array(F.lit("a/b/../c"), F.lit("/x/y/.."), F.concat(F.lit("#f%20"), "page_id"), F.lit("//other.example"), F.lit("/b%20c?q")), (F.col("page_id") % 5 + 1).cast("int"))
+    r = U.resolve(U.split_url(ref), U.split_url(F.col("url"))["path"])
+    return table(spark, d, "pages").select("page_id", r["path"].alias("path"), r["fragment"].alias("fragment"))
+
+
+@query("own_references", "SELECT page_id, '/uploads/' || page_id || '.png?x|https://own.example/t/' || page_id || '&y|//own.example/z' AS refs, '/uploads/' || page_id || '.png|/images/a b.gif' AS assets FROM pages")
+def own_references(spark, d):
+    """URL-12, URL-14 in a body with other hosts' addresses around."""
+    html = F.concat(F.lit('<img srcset="/uploads/'), "page_id", F.lit('.png?x, http://o.example/uploads/q.png 2x"> see https://own.example/t/'), "page_id", F.lit("&amp;y, <a href='//own.example/z'>, x//own.example.org/q, (images/n.gif) "))
+    more = F.concat(html, F.lit("HTTPS://own.example/images/a%20b.gif!"))
+    t = table(spark, d, "pages")
+    return t.select("page_id", F.array_join(U.own_references(html, "own.example"), "|").alias("refs"), F.array_join(U.asset_paths(more, "own.example"), "|").alias("assets"))
+
+
+@query("sitemap_locs", "SELECT page_id, replace(url, '&', '&amp;') || '?a%20b=%C3%BC&amp;c' AS line FROM pages WHERE NOT regexp_matches(url, '[^\x21-\x7e]')")
+def sitemap_locs(spark, d):
+    """STR-12."""
+    t = table(spark, d, "pages").where(~F.col("url").rlike(r"[^\x21-\x7e]"))
+    return t.select("page_id", U.sitemap_loc(F.concat("url", F.lit("?a b=ü&c"))).alias("line"))
+
+
+@query("attribute_values", "SELECT page_id, n FROM (SELECT page_id, len(regexp_extract_all(html, '<div class=\"ad\">'))::BIGINT AS n FROM pages) WHERE n > 0")
+def attribute_values(spark, d):
+    """HTM-16: elements of a class, every one counted."""
+    a = H.attribute_relation(table(spark, d, "pages"), "page_id", "html")
+    return a.where((F.col("el") == "div") & (F.col("name") == "class") & H.has_class(F.col("value"), "ad")).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))

@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from vellumry.functions import urls as U
 from vellumry.operators import asof as A
 from vellumry.operators import hierarchy as T
 from vellumry.operators import integrity as I
-from vellumry.operators import rules as R
-from vellumry.operators.checks import Check, run_checks
 from vellumry.plans._kit import query, table, views
 
 
@@ -99,10 +96,11 @@ def topic_category_join(spark, d):
     return c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).select("c_custkey", "n_name", "r_name")
 
 
-@query("unknown_category_guard", "SELECT 0::BIGINT AS n_unknown")
+@query("unknown_category_guard", "SELECT count(*)::BIGINT AS n_unknown FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 2)")
 def unknown_category_guard(spark, d):
+    """JON-01's guard, with the categories of one region missing."""
     c, n = views(spark, d, "customer", "nation")
-    return c.join(n, c.c_nationkey == n.n_nationkey, "left_anti").agg(F.count(F.lit(1)).alias("n_unknown"))
+    return c.join(n.where("n_regionkey <> 2"), c.c_nationkey == n.n_nationkey, "left_anti").agg(F.count(F.lit(1)).alias("n_unknown"))
 
 
 @query("reply_targets", "SELECT a.conv_id, a.turn, b.turn IS NOT NULL AS known FROM conversations a LEFT JOIN (SELECT DISTINCT conv_id, turn FROM conversations) b ON a.conv_id = b.conv_id AND a.turn - 1 = b.turn")
@@ -149,7 +147,7 @@ def next_marker_after(spark, d):
 
 @query("range_lookup", "SELECT p_partkey, r AS band FROM part, (VALUES (0, 0.0, 999.99), (1, 1000.0, 1299.99), (2, 1300.0, 1e9)) t(r, lo, hi) WHERE p_retailprice BETWEEN lo AND hi")
 def range_lookup(spark, d):
-    bands = spark.createDataFrame([(0, 0.0, 999.99), (1, 1000.0, 1299.99), (2, 1300.0, 1e5)], "band int, lo double, hi double")
+    bands = spark.createDataFrame([(0, 0.0, 999.99), (1, 1000.0, 1299.99), (2, 1300.0, 1e9)], "band int, lo double, hi double")
     return A.range_lookup(table(spark, d, "part").select("p_partkey", "p_retailprice"), bands, "p_retailprice", "lo", "hi", 1000.0).select("p_partkey", "band")
 
 
@@ -176,9 +174,12 @@ def case_collisions(spark, d):
     return I.case_collisions(w.unionByName(w.where("length(path) > 4").select(F.upper("path").alias("path"))), "path")
 
 
-@query("post_totals", "SELECT count(*)::BIGINT AS n_in, count_if(role <> 'system')::BIGINT AS n_rendered, count_if(role = 'system')::BIGINT AS n_system FROM conversations")
+@query("post_totals", "SELECT count(*)::BIGINT AS n_in, count_if(role = 'user' AND NOT h)::BIGINT AS n_rendered, count_if(role = 'system' AND NOT h)::BIGINT AS n_system, count_if(h)::BIGINT AS n_hidden, count_if(role NOT IN ('user', 'system') AND NOT h)::BIGINT AS n_other FROM (SELECT role, conv_id % 5 = 2 AND turn > 1 AS h FROM conversations)")
 def post_totals(spark, d):
-    return table(spark, d, "conversations").agg(F.count(F.lit(1)).alias("n_in"), F.count_if(F.col("role") != "system").alias("n_rendered"), F.count_if(F.col("role") == "system").alias("n_system"))
+    """AGG-10: kinds of posts, which add up; user turns are rendered, other roles are another type."""
+    h, role = (F.col("conv_id") % 5 == 2) & (F.col("turn") > 1), F.col("role")
+    n = {"n_rendered": (role == "user") & ~h, "n_system": (role == "system") & ~h, "n_hidden": h, "n_other": ~role.isin("user", "system") & ~h}
+    return table(spark, d, "conversations").agg(F.count(F.lit(1)).alias("n_in"), *[F.count_if(c).alias(k) for k, c in n.items()])
 
 
 @query("reported_counts", "SELECT source, count(*)::BIGINT AS n, count_if(n_chars = length(text))::BIGINT AS n_agree FROM documents GROUP BY source")
@@ -200,80 +201,10 @@ def multiset_except(spark, d):
     return rest.groupBy(F.col("o_orderpriority").alias("p"), F.col("o_orderstatus").alias("s")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("first_k_label", "SELECT source, array_to_string(list_sort(list(doc_id))[1:3], ', ') || ' … (' || count(*) || ' in all)' AS label FROM documents GROUP BY source")
+@query("first_k_label", "SELECT source, array_to_string(list_sort(list(DISTINCT doc_id))[1:3], ', ') || CASE WHEN count(DISTINCT doc_id) > 3 THEN ' … (' || count(DISTINCT doc_id) || ' in all)' ELSE '' END AS label FROM documents GROUP BY source")
 def first_k_label(spark, d):
-    g = table(spark, d, "documents").groupBy("source").agg(F.array_sort(F.collect_list("doc_id")).alias("ids"))
-    return g.select("source", F.concat(F.array_join(F.slice("ids", 1, 3), ", "), F.lit(" … ("), F.size("ids"), F.lit(" in all)")).alias("label"))
-
-
-# topics are customers (slug: segment in lower case, shared), posts are orders numbered in their customer
-def _topics(spark, d):
-    c, o = views(spark, d, "customer", "orders")
-    t = c.select(F.col("c_custkey").cast("string").alias("id"), F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("u-"), "c_custkey")).otherwise(F.lower("c_mktsegment")).alias("slug"))
-    n = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
-    p = o.select(F.col("o_custkey").cast("string").alias("topic_id"), n.alias("number"), (F.col("o_orderstatus") != "P").alias("rendered"))
-    return t, p
-
-
-_TOPICS = """t AS (SELECT c_custkey::VARCHAR AS id, CASE WHEN c_custkey % 3 = 0 THEN 'u-' || c_custkey ELSE lower(c_mktsegment) END AS slug FROM customer),
- p AS (SELECT o_custkey::VARCHAR AS topic_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS number, o_orderstatus <> 'P' AS rendered FROM orders)"""
-
-
-@query(
-    "redirect_rules",
-    f"""WITH {_TOPICS}, s AS (SELECT *, count(*) OVER (PARTITION BY slug) AS n, '/t/' || slug || '/' || id || '/' AS dest FROM t)
-        SELECT '/t/' || slug || '/' || id AS source, dest FROM s UNION ALL SELECT '/t/' || id, dest FROM s UNION ALL SELECT '/t/' || slug, dest FROM s WHERE n = 1
-        UNION ALL SELECT '/t/' || slug || '/' || id || '/' || number, dest || '#post-' || number FROM s JOIN p ON p.topic_id = s.id WHERE number >= 2 AND rendered""",
-)
-def redirect_rules(spark, d):
-    return R.topic_rules(*_topics(spark, d)).select("source", "dest")
-
-
-@query("redirect_render", "SELECT '/c/' || lower(n_name) || '/' || n_nationkey || '/l/latest /c/' || lower(n_name) || '/ 301' AS line FROM nation UNION ALL SELECT '/c/' || n_nationkey || ' /c/' || lower(n_name) || '/ 301' FROM nation UNION ALL SELECT '/c/' || lower(n_name) || '/' || n_nationkey || ' /c/' || lower(n_name) || '/ 301' FROM nation")
-def redirect_render(spark, d):
-    n = table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("id"), F.lower("n_name").alias("slug"), F.lower("n_name").alias("path"))
-    return R.render(R.category_rules(n)).select("line")
-
-
-@query("redirect_parse", "SELECT (n_nationkey * 2 + 2)::INT AS line_no, '/c/' || n_nationkey AS source, '/x/' || n_nationkey AS dest, '301' AS status FROM nation")
-def redirect_parse(spark, d):
-    lines = table(spark, d, "nation").select("n_nationkey", F.concat(F.lit("# "), "n_name", F.lit("\n/c/"), "n_nationkey", F.lit(" \t/x/"), "n_nationkey", F.lit("  301\r")).alias("l"))
-    return R.parse(lines.agg(F.array_join(F.array_sort(F.collect_list(F.struct("n_nationkey", "l")))["l"], "\n").alias("text")), "text")
-
-
-@query("redirect_loop_check", "SELECT 'loop' AS problem, count(*)::BIGINT AS n FROM nation WHERE n_nationkey >= 1")
-def redirect_loop_check(spark, d):
-    n = table(spark, d, "nation")
-    rules = n.select(F.concat(F.lit("/a/"), "n_nationkey").alias("source"), F.concat(F.lit("/a/"), F.col("n_nationkey") - 1).alias("dest"))
-    return R.check(rules, rules.select(F.col("dest").alias("url"))).where("problem = 'loop'").groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("redirect_shadow_check", "SELECT 'shadow' AS problem, '/a/' || n_nationkey AS source FROM nation WHERE n_nationkey % 5 = 0")
-def redirect_shadow_check(spark, d):
-    n = table(spark, d, "nation")
-    rules = n.select(F.concat(F.lit("/a/"), "n_nationkey").alias("source"), F.lit("/b/").alias("dest"))
-    served = n.where("n_nationkey % 5 = 0").select(F.concat(F.lit("/a/"), "n_nationkey").alias("url")).union(spark.createDataFrame([("/b/",)], "url string"))
-    return R.check(rules, served)
-
-
-@query("slug_only_skip", f"WITH {_TOPICS} SELECT slug, count(*)::BIGINT AS n_topics, count(*) = 1 AS slug_rule FROM t GROUP BY slug")
-def slug_only_skip(spark, d):
-    t, _ = _topics(spark, d)
-    return t.groupBy("slug").agg(F.count(F.lit(1)).alias("n_topics"), (F.count(F.lit(1)) == 1).alias("slug_rule"))
-
-
-@query("rules_per_group", "SELECT 'category' AS grp, (3 * count(*))::BIGINT AS n FROM nation")
-def rules_per_group(spark, d):
-    n = table(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("id"), F.lower("n_name").alias("slug"), F.lower("n_name").alias("path"))
-    return R.category_rules(n).groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("url_glob_match", r"SELECT url, '/' || regexp_extract(url, '^[a-z]+://[^/]+/([a-z]+)', 1) || '/*' AS source FROM pages WHERE regexp_matches(url, '^[a-z]+://[^/?#]+/(en|fr|de|es)/')")
-def url_glob_match(spark, d):
-    rules = spark.createDataFrame([(f"/{x}/*", "/x/") for x in ("en", "fr", "de", "es")], "source string, dest string")
-    p = table(spark, d, "pages").select(F.col("url").alias("whole"), U.split_url(F.col("url"))["path"].alias("url"))
-    hit = R.covered(rules, p.select("url").distinct())
-    return p.join(hit, "url").select(F.col("whole").alias("url"), "source")
+    g = I.first_k(table(spark, d, "documents"), "source", "doc_id", 3)
+    return g.select("source", F.concat(F.array_join("firsts", ", "), F.when(F.col("n") > 3, F.concat(F.lit(" … ("), "n", F.lit(" in all)"))).otherwise("")).alias("label"))
 
 
 @query("ambiguous_route", "WITH t AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN (c_custkey + 2000)::VARCHAR ELSE 'x' END AS slug FROM customer) SELECT id, CASE WHEN slug <> 'x' THEN id ELSE id + 2000 END AS topic FROM t")
@@ -284,21 +215,34 @@ def ambiguous_route(spark, d):
     return links.join(t, links.b == t.id, "left").select("id", F.when(F.col("slug") == F.col("a").cast("string"), F.col("b")).otherwise(F.col("a")).alias("topic"))
 
 
-@query(
-    "audit_table",
-    """SELECT '1' AS id, 'lines belong to an order' AS name, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, count(*)::BIGINT AS n_failures, '' AS failures
-         FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
-       UNION ALL SELECT '2', 'orders have lines', CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END, count(*), (SELECT string_agg(k, ', ' ORDER BY k) FROM (SELECT o_orderkey::VARCHAR AS k FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) ORDER BY k LIMIT 10))
-         FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
-       UNION ALL SELECT '3', 'languages', 'INFO', count(*), (SELECT string_agg(l, ', ' ORDER BY l) FROM (SELECT DISTINCT lang AS l FROM documents ORDER BY l LIMIT 10)) FROM documents""",
-)
-def audit_table(spark, d):
-    o, li, doc = views(spark, d, "orders", "lineitem", "documents")
-    return run_checks(
-        spark,
-        [
-            Check("1", "lines belong to an order", lambda: li.join(o, li.l_orderkey == o.o_orderkey, "left_anti").select(F.col("l_orderkey").alias("offender"))),
-            Check("2", "orders have lines", lambda: o.join(li, o.o_orderkey == li.l_orderkey, "left_anti").select(F.col("o_orderkey").alias("offender"))),
-            Check("3", "languages", lambda: doc.select(F.col("lang").alias("offender")), info=True),
-        ],
-    )
+@query("leftover_in_order", "SELECT conv_id, pos::INT AS pos, turn FROM (SELECT conv_id, unnest(range(1, m + 1)) AS pos, m + 1 - unnest(range(1, m + 1)) AS turn FROM (SELECT conv_id, max(turn)::BIGINT AS m FROM conversations GROUP BY conv_id)) WHERE turn % 2 = 1")
+def leftover_in_order(spark, d):
+    """JON-07: what a stream (turns from the last to 0) lists and a table (turns of even number) lacks, at its place."""
+    c = table(spark, d, "conversations")
+    stream = c.groupBy("conv_id").agg(F.max("turn").cast("long").alias("m")).select("conv_id", F.reverse(F.sequence(F.lit(0).cast("long"), "m")).alias("ids"))
+    out = I.leftover(stream, c.where("turn % 2 = 0").select("conv_id", "turn"), "conv_id", "ids", "turn")
+    return out.select("conv_id", (F.col("pos") + 1).alias("pos"), "turn")
+
+
+@query("font_objects", "SELECT p_brand, min(p_size)::INT AS size FROM part GROUP BY p_brand HAVING count(DISTINCT p_size) = 1")
+def font_objects(spark, d):
+    """AGG-16: names that stand for one object only."""
+    return table(spark, d, "part").groupBy("p_brand").agg(F.countDistinct("p_size").alias("n"), F.min("p_size").alias("size")).where("n = 1").select("p_brand", "size")
+
+
+@query("set_intersection", "SELECT lang, count(*)::BIGINT AS n FROM (SELECT lang, text FROM documents WHERE doc_id % 2 = 0 INTERSECT SELECT lang, text FROM documents WHERE doc_id % 2 = 1) GROUP BY lang")
+def set_intersection(spark, d):
+    """SET-02."""
+    t = table(spark, d, "documents")
+    both = t.where("doc_id % 2 = 0").select("lang", "text").intersect(t.where("doc_id % 2 = 1").select("lang", "text"))
+    return both.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("sets_equal", "SELECT lang, count(DISTINCT source) = (SELECT count(DISTINCT source) FROM documents) AS equal FROM documents GROUP BY lang")
+def sets_equal(spark, d):
+    """SET-04: whether a language has every source, by differences both ways."""
+    t = table(spark, d, "documents")
+    langs = t.select("lang").distinct()
+    want = langs.crossJoin(t.select("source").distinct())  # a few languages by a few sources
+    gone = I.compare_sets(want, t.select("lang", "source").distinct(), ["lang", "source"]).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    return langs.join(gone, "lang", "left").select("lang", F.col("n").isNull().alias("equal"))

@@ -31,6 +31,22 @@ def build_session(cpus: int = 8, app: str = "vellumry", **conf: str) -> SparkSes
     return spark
 
 
+#: Where a local session cuts lineage if spark.checkpoint.dir is unset; clusters name a shared folder there.
+LOCAL_CHECKPOINTS = "/tmp/vellumry-checkpoints"
+
+
+def set_checkpoint_dir(spark: SparkSession) -> None:
+    """Make checkpoint() usable: the folder that spark.checkpoint.dir names, or in local sessions without it one of our own."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = sc.getConf().get("spark.checkpoint.dir", None)
+        if not folder:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+            folder = LOCAL_CHECKPOINTS
+        sc.setCheckpointDir(folder)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of the data folder, read by Spark (any store)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
