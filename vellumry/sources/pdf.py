@@ -17,7 +17,7 @@ MOST_STREAMS, MOST_RAW, MOST_INFLATED = 20_000, 20_000_000, 8_000_000
 
 _OBJECT = re.compile(rb"(\d+)\s+\d+\s+obj\b")
 _REF = rb"\s+(\d+)\s+\d+\s+R"
-_SHOW = re.compile(rb"/([^\s/<>\[\]()]+)\s+[-\d.]+\s+Tf|(\[(?:\\.|\((?:\\.|[^\\()])*\)|<[0-9A-Fa-f\s]*>|[^\]\\()<>])*\])\s*TJ|(\((?:\\.|[^\\()])*\)|<[0-9A-Fa-f\s]*>)\s*(?:Tj|'|\")|\b(T\*|Td|TD|ET)\b", re.S)
+_SHOW = re.compile(rb"/([^\s/<>\[\]()]+)\s+[-\d.]+\s+Tf|(\[(?:\\.|\((?:\\.|[^\\()])*\)|<[0-9A-Fa-f\s]*>|[^\]\\()<>])*\])\s*TJ|(\((?:\\.|[^\\()])*\)|<[0-9A-Fa-f\s]*>)\s*(?:Tj|'|\")|(?<![A-Za-z])(T\*|Td|TD|ET)(?![A-Za-z*])", re.S)
 _STRING = re.compile(rb"\(((?:\\.|[^\\()])*)\)|<([0-9A-Fa-f\s]*)>", re.S)
 _ESCAPE = re.compile(rb"\\([0-7]{1,3}|\r\n|.)", re.S)
 _LETTER = {b"n": b"\n", b"r": b"\r", b"t": b"\t", b"b": b"\b", b"f": b"\f", b"\n": b"", b"\r\n": b"", b"\r": b""}
