@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import zlib
 
@@ -476,6 +477,41 @@ def test_nearest_skips_most_points(spark):
     assert pairs < 0.08 * len(rows) * (len(rows) // 20)
 
 
+def test_nearest_ranks_all_found(spark):
+    """However few points are elected, the answer is the k nearest of all points in the visited leaves."""
+    t = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    rows = sorted((r.vec_id, r.embedding) for r in t.collect())
+    ids, x = np.array([k for k, _ in rows]), np.array([v for _, v in rows], np.float64)
+    asked = t.where("vec_id % 50 = 0")
+    forest = rpforest.fit(t.select(F.col("vec_id").alias("key"), F.col("embedding").alias("v")), 64, 24, 16384)
+    leaf, tree = forest.leaves(x), np.arange(64)
+    for elect in (20, 160):
+        got = {}
+        for r in rpforest.nearest(spark, t, asked, visits=1500, elect=elect).collect():
+            got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+        assert len(got) == 40
+        for q, found in got.items():
+            at = int(np.searchsorted(ids, q))
+            seen = set(forest.search(x[at], 1500))
+            inside = np.array([any((m, n) in seen for m, n in zip(tree, row)) for row in leaf.tolist()]) & (ids != q)
+            d = np.sqrt(((x - x[at]) ** 2).sum(axis=1))
+            d[~inside] = np.inf
+            assert [v for _, v in sorted(found)] == ids[np.lexsort((ids, d))[:10]].tolist()
+
+
+def test_nearest_bounds():
+    """No distance lies outside its bounds, whatever the sizes of the components."""
+    r = np.random.default_rng(3)
+    for size in (1e-310, 1e-44, 1e-25, 1e-19, 1.0, 1e18, 1e30, 1e200):
+        for dim in (1, 2, 64):
+            x = r.normal(size=(400, dim)) * size
+            y = x + r.normal(size=(400, dim)) * size * 10.0 ** r.integers(-9, 2, 400)[:, None]
+            code, scale, rest = rpforest.coded(y)
+            low, high = rpforest.bounds(x, code, scale, rest)
+            far = np.array([math.hypot(*d) for d in x - y])
+            assert (low <= far).all() and (far <= high).all()
+
+
 def test_cap_filters(spark, vectors):
     ids, x = _matrix(vectors)
     n = x / np.linalg.norm(x, axis=1, keepdims=True)

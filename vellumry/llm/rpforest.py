@@ -5,21 +5,25 @@ on the upper levels each node at the median of its own rows of a bounded sample,
 the levels below (down to about ``leaf`` points a leaf, whatever the number of rows)
 each upper leaf at the median of its sample along the level's direction. So what is
 sent to the workers is bounded by the sample, and leaves by ``leaf``: a group too small
-to be seen in the sample may stay together, and is cut into blocks where it meets
-queries.
+to be seen in the sample may stay together, and streams past the queries that it meets.
 
 A query walks all trees through one priority queue, ordered by the sum of squared
-margins on the way, and visits the ``visits`` leaves that come out first. Each leaf is a
-vote for its points. The least number of votes that at most ``elect`` points reach (or
-that ``k`` points reach, if that is lower) elects the points whose distances are computed
-exactly, in double precision on the original vectors, and ranked. So a query's work is
-bounded by visits and elected points whatever the number of rows.
-
-Vectors never travel with leaves: leaves hold row numbers, first cut down to leaves
-that some query visits, and only elected points' vectors meet their queries. Of equal
-vectors only the ``k + 1`` smallest ids, each at most ``k`` times, can be among anybody's
-k nearest, so only these are indexed (ranked before the shuffle, so a vector that a third of all rows share is
-no hot key). The forest is fitted on at most ``sample`` rows; every row is indexed.
+margins on the way, and visits the ``visits`` leaves that come out first. Its answer is
+exact among all points of these leaves: each of them is either compared (distance in
+double precision on the original vectors) or ruled out by proof. For the proof a point
+has a code, one byte a component with the length of what the code leaves out, so the
+distance to the code gives a lower and an upper bound of the distance to the point. A
+point is ruled out only if its lower bound is above the ``k``-th smallest upper bound of
+the query: first in each part of the leaves, then over all parts (there only for queries
+with more than ``elect`` points left; fewer are all compared). No number of candidates is
+a limit.
+
+Leaves are dealt by a hash over parts of about equal numbers of visits. A part gets each
+query and each code once, with all their leaves in it; codes stream by. Vectors
+themselves travel only to queries that they are compared with. Of equal vectors only the
+``k + 1`` smallest ids, each at most ``k`` times, can be among anybody's k nearest, so
+only these are indexed (ranked before the shuffle, so a vector that a third of all rows
+share is no hot key). The forest is fitted on at most ``sample`` rows; every row is indexed.
 
 Defined results: vectors that are null, zero, of another length than most of the
 sample, or hold null or non-finite components take no part as query or point, nor do
@@ -44,8 +48,12 @@ from vellumry.llm.storage import materialize
 
 #: Rows that are projected at once; sample rows that a node needs to be halved at its own median.
 ROWS, NODE_ROWS = 1024, 32
-#: Points of a leaf that meet its queries at once; queries whose exact distances one task computes.
-BLOCK_POINTS, GROUP_QUERIES = 4096, 256
+#: Pairs of query and point whose bounds are computed at once and that meet at once; queries whose exact distances one task computes.
+BLOCK_PAIRS, MEET_PAIRS, GROUP_QUERIES = 8192, 1 << 19, 256
+#: Parts of the leaves at least; components of queries in a part, if each of its visits were another query's.
+LEAST_PARTS, PART_COMPONENTS = 16, 1 << 23
+_PART = "part int, side int, key long, id long, scale double, rest double, code binary, bins array<long>"
+_LEFT = "query long, keys array<long>, low array<double>, high array<double>"
 
 
 def usable(v: Column) -> Column:
@@ -133,94 +141,188 @@ def _matrix(col: pa.Array, dim: int) -> np.ndarray:
     return np.asarray(col.flatten(), np.float64).reshape(-1, dim)
 
 
-def _index(forest: Forest):
-    """Rows (key, v) to (bin, side 1, key), one for each tree."""
+def _dealt(
+    side: int, key: np.ndarray, ids: np.ndarray, scale: np.ndarray, rest: np.ndarray, code: list[bytes], row: np.ndarray, bins: np.ndarray, parts: int
+) -> pa.RecordBatch:
+    """One row for each part and row number, with the bins of that row that lie in the part."""
+    part = ((bins.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(parts)
+    order = np.lexsort((part, row))
+    row, part, bins = row[order], part[order].astype(np.int32), bins[order]
+    at = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (part[1:] != part[:-1])))) if len(row) else np.zeros(0, np.int64)
+    r = row[at]
+    cols = [part[at], np.full(len(at), side, np.int32), key[r], ids[r], scale[r], rest[r]]
+    lists = pa.ListArray.from_arrays(pa.array(np.append(at, len(row)), pa.int32()), pa.array(bins))
+    cols = [*map(pa.array, cols), pa.array([code[i] for i in r.tolist()], pa.binary()), lists]
+    return pa.RecordBatch.from_arrays(cols, names=["part", "side", "key", "id", "scale", "rest", "code", "bins"])
+
+
+def coded(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One byte for each component, the scale of each row, and the length of what code times scale leaves out."""
+    scale = np.abs(x).max(axis=1) / 127
+    code = np.rint(x / np.where(scale > 0, scale, 1)[:, None]).clip(-127, 127).astype(np.int8)
+    with np.errstate(over="ignore"):
+        return code, scale, np.sqrt(((x - code * scale[:, None]) ** 2).sum(axis=1))
+
+
+def bounds(x: np.ndarray, code: np.ndarray, scale: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper bounds of the distances between rows of x and the rows that were coded, rounding included."""
+    dim = x.shape[1]
+    with np.errstate(over="ignore", invalid="ignore"):
+        x = x.astype(np.float32, copy=False)
+        y = code * scale.astype(np.float32)[:, None]
+        size = np.sqrt(np.einsum("ij,ij->i", x, x)).astype(np.float64) + np.sqrt(np.einsum("ij,ij->i", y, y))
+        y -= x
+        far = np.sqrt(np.einsum("ij,ij->i", y, y)).astype(np.float64)
+        # errors in proportion to the lengths, and what single precision loses near zero
+        off = rest * (1 + 1e-9) + size * ((dim + 4) * 2.4e-7) + 1e-18 * dim
+        fine = np.isfinite(far) & np.isfinite(off)
+        return np.where(fine, np.maximum(0, far - off), 0.0), np.where(fine, far + off, np.inf)
+
+
+def _index(forest: Forest, parts: int):
+    """Rows (key, id, v) to the parts that hold their leaves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(0, b.num_rows, ROWS):
                 part = b.slice(i, ROWS)
-                bins = forest.leaves(_matrix(part.column(1), forest.dim)) | np.arange(forest.trees, dtype=np.int64) << 40
-                keys = np.repeat(part.column(0).to_numpy(), forest.trees)
-                yield pa.RecordBatch.from_arrays([pa.array(bins.ravel()), pa.array(keys)], names=["bin", "key"])
+                x = _matrix(part.column(2), forest.dim)
+                bins = forest.leaves(x) | np.arange(forest.trees, dtype=np.int64) << 40
+                code, scale, rest = coded(x)
+                row = np.repeat(np.arange(len(x)), forest.trees)
+                yield _dealt(1, part.column(0).to_numpy(), part.column(1).to_numpy(), scale, rest, [c.tobytes() for c in code], row, bins.ravel(), parts)
 
     return run
 
 
-def _probes(forest: Forest, visits: int):
+def _probes(forest: Forest, visits: int, parts: int):
+    """Rows (key, id, v) of queries to the parts that hold leaves that they visit; their code is the vector itself."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cuts = forest.cut.tolist(), forest.tail.tolist()
+        cuts, none = (forest.cut.tolist(), forest.tail.tolist()), np.zeros(1)
         for b in batches:
-            for key, x in zip(b.column(0).to_pylist(), _matrix(b.column(1), forest.dim)):
+            for key, own, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), _matrix(b.column(2), forest.dim)):
                 tree, leaf = np.array(forest.search(x, visits, cuts), np.int64).T
-                yield pa.RecordBatch.from_arrays([pa.array(tree << 40 | leaf), pa.array(np.full(len(tree), key))], names=["bin", "key"])
+                yield _dealt(0, np.array([key]), np.array([own]), none, none, [x.tobytes()], np.zeros(len(tree), np.int64), tree << 40 | leaf, parts)
 
     return run
 
 
-def _lists(key: np.ndarray, query: list[np.ndarray], start: list[np.ndarray], stop: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """(query, keys[start:stop]), in batches of bounded size."""
-    query, start, stop = (np.concatenate(x) for x in (query, start, stop))
-    n = stop - start
-    for i in range(0, len(n), BLOCK_POINTS):
-        m = n[i : i + BLOCK_POINTS]
-        ends = np.cumsum(m)
-        at = np.repeat(start[i : i + BLOCK_POINTS] - (ends - m), m) + np.arange(ends[-1])
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(key[at]))
-        yield pa.RecordBatch.from_arrays([pa.array(query[i : i + BLOCK_POINTS]), lists], names=["query", "keys"])
-
-
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (bin, side, key), sorted, queries (side 0) first, to (query, keys of points of one leaf)."""
-    asked, last = np.zeros(0, np.int64), None
-    for b in batches:
-        bins, side, key = (c.to_numpy() for c in b.columns)
-        edges = np.flatnonzero(np.concatenate(([True], (bins[1:] != bins[:-1]) | (side[1:] != side[:-1])))).tolist() if len(bins) else []
-        query, start, stop, held = [], [], [], 0
-        for lo, hi in zip(edges, [*edges[1:], len(bins)]):
-            if bins[lo] != last:
-                asked, last = np.zeros(0, np.int64), bins[lo]
-            if side[lo] == 0:
-                asked = np.concatenate((asked, key[lo:hi]))
-                continue
-            for at in range(lo, hi, BLOCK_POINTS):
-                query.append(asked)
-                start.append(np.full(len(asked), at))
-                stop.append(np.full(len(asked), min(hi, at + BLOCK_POINTS)))
-                held += len(asked)
-                if held > 16 * BLOCK_POINTS:
-                    yield from _lists(key, query, start, stop)
-                    query, start, stop, held = [], [], [], 0
-        if held:
-            yield from _lists(key, query, start, stop)
+class _Part:
+    """The queries of one part, and for each the points of its leaves that may be among its k nearest."""
+
+    def __init__(self, k: int, queries: list[pa.RecordBatch], dim: int):
+        self.k = k
+        self.key, self.ids = (np.concatenate([z.column(c).to_numpy() for z in queries]) for c in (2, 3))
+        with np.errstate(over="ignore"):
+            self.x = np.concatenate([np.frombuffer(v, np.float64) for z in queries for v in z.column(6).to_pylist()]).reshape(-1, dim).astype(np.float32)
+        bins = np.concatenate([z.column(7).flatten().to_numpy() for z in queries])
+        row = np.repeat(np.arange(len(self.key)), np.concatenate([np.asarray(z.column(7).value_lengths()) for z in queries]))
+        order = np.argsort(bins, kind="stable")
+        self.bins, self.row = bins[order], row[order]
+        self.least = np.full(len(self.key), np.inf)  # the k-th smallest upper bound so far
+        self.found: list[tuple[np.ndarray, ...]] = []
+        self.held = self.kept = 0
+
+    def meet(self, points: pa.RecordBatch) -> None:
+        bins, size = points.column(7).flatten().to_numpy(), np.asarray(points.column(7).value_lengths())
+        lo, hi = (np.searchsorted(self.bins, bins, s) for s in ("left", "right"))
+        point, ends = np.repeat(np.arange(len(size)), size), np.cumsum(hi - lo)
+        key, ids, scale, rest = (points.column(c).to_numpy() for c in (2, 3, 4, 5))
+        code = np.frombuffer(b"".join(points.column(6).to_pylist()), np.int8).reshape(len(size), -1)
+        last = np.cumsum(size)  # a point's bins stay together, so that no pair is met twice
+        start = 0
+        while start < len(size):
+            first = last[start - 1] if start else 0
+            done = ends[first - 1] if first else 0
+            stop = max(start + 1, int(np.searchsorted(ends[last - 1], done + MEET_PAIRS, "right")))
+            n = (hi - lo)[first : last[stop - 1]]
+            at = np.repeat(lo[first : last[stop - 1]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            pair = np.unique(self.row[at] * len(size) + np.repeat(point[first : last[stop - 1]], n))
+            q, p = pair // len(size), pair % len(size)
+            other = self.ids[q] != ids[p]
+            q, p = q[other], p[other]
+            for i in range(0, len(q), BLOCK_PAIRS):
+                a, b = q[i : i + BLOCK_PAIRS], p[i : i + BLOCK_PAIRS]
+                low, high = bounds(self.x[a], code[b], scale[b], rest[b])
+                near = low <= self.least[a]
+                self.found.append((a[near], key[b[near]], low[near], high[near]))
+                self.held += int(near.sum())
+            if self.held > 2 * self.kept + BLOCK_PAIRS:
+                self.rule_out()
+            start = stop
+
+    def rule_out(self) -> None:
+        q, key, low, high = (np.concatenate(x) for x in zip(*self.found))
+        order = np.lexsort((high, q))
+        q, key, low, high = q[order], key[order], low[order], high[order]
+        kth = np.flatnonzero(np.arange(len(q)) - np.searchsorted(q, q, "left") == self.k - 1)
+        self.least[q[kth]] = high[kth]
+        near = low <= self.least[q]
+        self.found = [(q[near], key[near], low[near], high[near])]
+        self.held = self.kept = int(near.sum())
+
+    def left(self) -> Iterator[pa.RecordBatch]:
+        """(query, keys, bounds) of the points that are left, a row for each query."""
+        if not self.held:
+            return
+        self.rule_out()
+        q, *cols = self.found[0]
+        at = np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1])))
+        ends = np.append(at, len(q))
+        for i in range(0, len(at), ROWS):
+            e = ends[i : i + ROWS + 1]
+            lists = [pa.ListArray.from_arrays(pa.array(e - e[0], pa.int32()), pa.array(c[e[0] : e[-1]])) for c in cols]
+            yield pa.RecordBatch.from_arrays([pa.array(self.key[q[e[:-1]]]), *lists], names=["query", "keys", "low", "high"])
+
+
+def _meet(k: int, dim: int):
+    """Rows of parts, sorted by part, queries (side 0) first, to what is left of the points that each query meets there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, queries, part = None, [], None
+        for b in batches:
+            own, side = b.column(0).to_numpy(), b.column(1).to_numpy()
+            edges = np.flatnonzero(np.concatenate(([True], (own[1:] != own[:-1]) | (side[1:] != side[:-1])))).tolist() if len(own) else []
+            for lo, hi in zip(edges, [*edges[1:], len(own)]):
+                if own[lo] != last:
+                    if part is not None:
+                        yield from part.left()
+                    last, queries, part = own[lo], [], None
+                rows = b.slice(lo, hi - lo)
+                if side[lo] == 0:
+                    queries.append(rows)
+                elif queries:
+                    part = part or _Part(k, queries, dim)
+                    part.meet(rows)
+        if part is not None:
+            yield from part.left()
+
+    return run
 
 
 def _elect(k: int, elect: int):
-    """Rows (query, keys), sorted by query, to (query, key) of the points that the most visited leaves hold."""
-
-    def elected(query: int, keys: list[np.ndarray]) -> pa.RecordBatch:
-        key, n = np.unique(np.concatenate(keys), return_counts=True)
-        reach = np.bincount(n)[::-1].cumsum()[::-1]  # points with so many votes or more
-        least = int(np.argmax(reach <= elect)) if reach[-1] <= elect else len(reach) - 1
-        while least > 1 and reach[least] <= k:  # the query itself is one of them
-            least -= 1
-        key = key[n >= least]
+    """Rows (query, keys, bounds), sorted by query, to (query, key) of all points that may be among its k nearest."""
+
+    def elected(query: int, left: list[list[np.ndarray]]) -> pa.RecordBatch:
+        key, low, high = (np.concatenate(x) for x in zip(*left))
+        key, at = np.unique(key, return_index=True)  # a point that several parts have left
+        if len(key) > max(k, elect):
+            key = key[low[at] <= np.partition(high[at], k - 1)[k - 1]]
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), query)), pa.array(key)], names=["query", "key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        left: list[list[np.ndarray]] = []
         last = None
         for b in batches:
-            query = b.column(0).to_numpy()
-            edges = np.flatnonzero(np.concatenate(([True], query[1:] != query[:-1]))).tolist() if len(query) else []
-            for lo, hi in zip(edges, [*edges[1:], len(query)]):
-                if query[lo] != last and held:
-                    yield elected(last, held)
-                    held = []
-                last = int(query[lo])
-                held.append(b.column(1).slice(lo, hi - lo).flatten().to_numpy())
-        if held:
-            yield elected(last, held)
+            for i, query in enumerate(b.column(0).to_pylist()):
+                if query != last and left:
+                    yield elected(last, left)
+                    left = []
+                last = query
+                left.append([b.column(c).slice(i, 1).flatten().to_numpy() for c in (1, 2, 3)])
+        if left:
+            yield elected(last, left)
 
     return run
 
@@ -280,14 +382,12 @@ def _rerank(k: int, dim: int):
 
 
 def elected_pairs(spark: SparkSession, points: DataFrame, asked: DataFrame, forest: Forest, k: int, visits: int, elect: int) -> DataFrame:
-    """(query, key): the points (key, v) whose distances to the queries (key, v) are to be computed."""
-    probes = asked.select("key", "v").mapInArrow(_probes(forest, visits), "bin long, key long")
-    probes = materialize(spark, probes, "ann-probes")
-    index = points.select("key", "v").mapInArrow(_index(forest), "bin long, key long")
-    index = index.join(probes.select("bin").distinct(), "bin", "left_semi")
-    both = probes.select("bin", F.lit(0).alias("side"), "key").unionByName(index.select("bin", F.lit(1).alias("side"), "key"))
-    met = both.repartition("bin").sortWithinPartitions("bin", "side").mapInArrow(_meet, "query long, keys array<long>")
-    return met.repartition("query").sortWithinPartitions("query").mapInArrow(_elect(k, elect), "query long, key long")
+    """(query, key): the points (key, v, id if it isn't the key) whose distances to the queries (likewise) are to be computed."""
+    parts = max(LEAST_PARTS, -(-asked.count() * visits * forest.dim // PART_COMPONENTS))
+    rows = [x.select("key", F.col("id" if "id" in x.columns else "key").alias("id"), "v") for x in (asked, points)]
+    both = rows[0].mapInArrow(_probes(forest, visits, parts), _PART).unionByName(rows[1].mapInArrow(_index(forest, parts), _PART))
+    left = both.repartition(parts, "part").sortWithinPartitions("part", "side").mapInArrow(_meet(k, forest.dim), _LEFT)
+    return left.repartition("query").sortWithinPartitions("query").mapInArrow(_elect(k, elect), "query long, key long")
 
 
 def nearest(
