@@ -164,6 +164,27 @@ def test_bpe_equals_library(spark, odd, empty):
     assert back == lib.decode(lib.encode("One two", add_special_tokens=False).ids, skip_special_tokens=False)
 
 
+def test_bpe_whole_latin_texts():
+    """Texts of Latin-1 characters are cut at once, by no run of theirs, and as the library cuts them; others by runs."""
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(bpe.tokenizer_path())
+    r = random.Random(5)
+    latin = [chr(k) for k in range(256) if not 0x1C <= k <= 0x1F]
+    texts = ["".join(r.choices(latin, k=60)) for _ in range(400)] + [a + b + c for a in latin[:70] for b in "'1é²\xa0\x85" for c in "sÉ!ª "]
+    texts += ["It's ÀÉß, we'll've  don't''s 12½x¼ <|x|> |> µm\xadº\n", "x" * 3000, " ", "\x85"]
+    odd = ["a\x1cb", "Σας œuvre", "e\u0301 É", "one<|endoftext|>two", "ÿŸ İ"]
+    whole, by_runs = bpe.Encoder(bpe.tokenizer_path()), bpe.Encoder(bpe.tokenizer_path())
+    by_runs._latin_words = None
+    for t in texts:
+        want = np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+        assert whole.encode(t) == want == by_runs.encode(t), repr(t)
+    assert not whole._runs and by_runs._runs
+    for t in odd:
+        assert np.frombuffer(whole.encode(t), "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)
+    assert whole._runs
+
+
 def test_packing(spark, odd, empty):
     from tokenizers import Tokenizer
 

@@ -10,10 +10,11 @@ is what applying the merges in rank order gives.
 
 Words are cut as the tokenizer file says: NFC, white space ends a word, lower
 case, then letters, single digits, contractions or runs of other characters.
-None of these crosses white space, so a run without white space is the unit that
-is looked up, and encoded once for each worker (the table of runs is bounded and
-starts afresh when full). Special tokens in a text are recognised as the library
-does.
+A text of Latin-1 characters is lower-cased and cut into words at once, by the same
+pattern with its classes written out. Of other texts, a run without white space is the
+unit that is looked up, as no word crosses white space. Words and runs are encoded once for
+each worker (their tables are bounded and start afresh when full). Special tokens in a text
+are recognised as the library does.
 
 Null texts count as empty; an empty text has no ids and decodes to "". Ids that the vocabulary
 doesn't have decode to nothing. Repeated rows give equal rows, very long texts are encoded whole, an
@@ -45,6 +46,8 @@ CACHE_RUNS, CACHE_WORDS, CACHE_LENGTH = 400_000, 800_000, 64
 _PLAIN = re.compile(r"([a-z]+)([^a-z0-9'\x00-\x20\x7f<]+)?")
 _FINAL = 0x10000  # added to the code of a word's last byte
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
+#: White space for Python, not for the library.
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 _SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
@@ -55,6 +58,14 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+def _written_out(pattern: str) -> re.Pattern | None:
+    """The pattern, for Latin-1 texts without separators, with its classes as lists of characters; None if it has others."""
+    latin = [chr(k) for k in range(256) if chr(k) not in _SEPARATORS]
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        pattern = pattern.replace(name, "".join(re.escape(c) for c in latin if regex.fullmatch(name, c)))
+    return None if r"\p" in pattern.lower() else re.compile(pattern)
+
+
 class _Table(dict):
     """Results by text; made on a miss, and all dropped when the table is full."""
 
@@ -116,6 +127,7 @@ class Encoder:
         self._special_re = re.compile("(" + "|".join(map(re.escape, sorted(self._special, key=len, reverse=True))) + ")") if self._special else None
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self._words = regex.compile(pattern)
+        self._latin_words = _written_out(pattern)
         self._runs = _Table(self._run, tables[0])
         self._known = _Table(self._word_ids, tables[1])
         # decoding: the library joins the tokens' own strings with spaces, as this file has no decoder
@@ -199,10 +211,21 @@ class Encoder:
             out.extend(map(self._known.__getitem__, self._words.findall(part)))
         return b"".join(out)
 
+    def _simple(self, text: str) -> bool:
+        """Whether a text has Latin-1 characters alone (so it is NFC, and lower case stays Latin-1), no separators and no special tokens."""
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return False
+        return not any(c in text for c in _SEPARATORS) and not any(x in text for x in self._special)
+
     def encode(self, text: str | None) -> bytes:
         """The ids of a whole text as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
+        if self._latin_words and self._simple(text):
+            return b"".join(map(self._known.__getitem__, self._latin_words.findall(text.lower())))
         runs = _SPACE.split(text) if _ODD_SPACE.search(text) else text.split()
         return b"".join(map(self._runs.__getitem__, runs))
 
