@@ -658,3 +658,56 @@ def test_cap_filters_blocks(spark, monkeypatch):
     df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
     got = {g.vec_id: g for g in capfilter.near_duplicates(spark, df).collect()}
     assert 0 < near.sum() < 300 * 299 and all(got[k].n_links == near[k].sum() and got[k].component_id == want[k] for k in range(300))
+
+
+def test_stages_hand_workers_small_batches(spark):
+    import corpus_pipeline as P
+    import pyarrow as pa
+    from vellumry.llm import storage
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 800).alias("text"))
+    before = spark.conf.get(storage._BATCH)
+    try:
+        spark.conf.unset(storage._BATCH)
+        P.repeats(spark, docs.limit(0), DIR)
+        n = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+        assert len(n) > 3 and max(n) < storage.BATCH_BYTES + 100_000
+        spark.conf.set(storage._BATCH, "1m")  # a smaller one of the session's stays
+        storage.small_batches(spark)
+        assert spark.conf.get(storage._BATCH) == "1m"
+    finally:
+        spark.conf.set(storage._BATCH, before)
+
+
+def test_small_tables_need_no_python(spark):
+    import pyarrow as pa
+    from vellumry.llm import storage
+
+    kinds = {"k": pa.int64(), "lang": pa.string()}
+    t = storage.small_table(spark, [(1, "x"), (2, None)], kinds)
+    assert t.dtypes == [("k", "bigint"), ("lang", "string")] and [tuple(r) for r in t.collect()] == [(1, "x"), (2, None)]
+    assert storage.small_table(spark, [], kinds).count() == 0
+    assert "Scan ExistingRDD" not in t._jdf.queryExecution().executedPlan().toString() or "PythonRDD" not in t._jdf.queryExecution().toRdd().toDebugString()
+
+
+def test_working_memory_of_a_batch():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    r = random.Random(4)
+    words = ["".join(r.choices("abcdefgh", k=6)) for _ in range(5000)]
+    texts = [" ".join(r.choices(words, k=400)) for _ in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    for run in (suffix._runs(100), minhash._short_sets, bytecnn._score(bytecnn.ByteCNN()), langid._predict(langid.LanguageModel(["a", "b"]))):
+        tracemalloc.start()
+        try:
+            for _ in run(iter([batch])):
+                pass
+            assert tracemalloc.get_traced_memory()[1] < 40e6
+        finally:
+            tracemalloc.stop()

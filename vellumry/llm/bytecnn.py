@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from vellumry.llm.bpe import release
 from vellumry.llm.bytehash import chunks
+from vellumry.llm.storage import small_table
 
 FILTERS, WIDTH, CELL, UNITS = 12, 6, 64, 16
 #: Bytes whose responses are held at once.
@@ -176,14 +177,14 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 2400, max_bytes: i
     label = {r.doc_id: r.quality for r in sorted(rows, key=lambda r: r.quality)}
     spark = docs.sparkSession
     texts_of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ids = spark.createDataFrame([(k,) for k in label], "doc_id long")
+    ids = small_table(spark, [(k,) for k in label], {"doc_id": pa.int64()})
     sizes = texts_of.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.sum(F.octet_length("text")).cast("long").alias("n"), F.count(F.lit(1)).alias("rows")).withColumn("k", spot)
     chosen, held, rows_held = [], 0, 0
     for r in sorted(sizes.collect(), key=lambda r: (r.k, r.doc_id)):
         if held + r.n <= max_bytes and rows_held + r.rows <= max_docs:
             chosen.append((r.doc_id,))
             held, rows_held = held + r.n, rows_held + r.rows
-    found = texts_of.join(F.broadcast(spark.createDataFrame(chosen, "doc_id long")), "doc_id").withColumn("k", spot).collect()
+    found = texts_of.join(F.broadcast(small_table(spark, chosen, {"doc_id": pa.int64()})), "doc_id").withColumn("k", spot).collect()
     texts, ys = [], []
     for r in sorted(found, key=lambda r: (r.k, r.doc_id, r.text)):
         texts.append(r.text.encode()), ys.append(label[r.doc_id])

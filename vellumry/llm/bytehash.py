@@ -15,7 +15,8 @@ import pyarrow as pa
 U64 = np.uint64
 BASE = U64(0x9E3779B97F4A7C15 | 1)
 BASE_INV = U64(pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64))
-CHUNK_BYTES = 1 << 20
+#: Small, as the arrays made of a chunk take up to 100 bytes for each of its own, in every worker.
+CHUNK_BYTES = 1 << 17
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from vellumry.llm.bpe import release
 from vellumry.llm.bytehash import U64, chunks, mix64
+from vellumry.llm.storage import small_table
 
 BUCKETS, DIM, SIZES = 1 << 16, 16, (2, 3, 4)
 _CLASS = np.arange(256, dtype=np.uint8)
@@ -177,7 +178,7 @@ def train(docs: DataFrame, max_docs: int = 3000, max_bytes: int = 8_000_000) ->
         if held + r.n <= max_bytes and n + r.rows <= max_docs:
             chosen.append((r.k, r.lang))
             held, n = held + r.n, n + r.rows
-    wanted = docs.sparkSession.createDataFrame(chosen, "k long, lang string")
+    wanted = small_table(docs.sparkSession, chosen, {"k": pa.int64(), "lang": pa.string()})
     picked = few.join(F.broadcast(wanted.distinct()), ["k", "lang"]).collect()
     texts, y = [], []
     for r in sorted(picked, key=lambda r: (r.k, str(r.doc_id), r.text)):

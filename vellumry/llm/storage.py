@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +32,27 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch at most, but for its last row.
+BATCH_BYTES = 2 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session hand rows to Python in batches of BATCH_BYTES at most, or fewer if it is set so.
+
+    Else a batch holds 10,000 rows of any size, of which the JVM and the worker both keep copies. The rows are the same.
+    """
+    now = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(_BATCH)))
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
+def small_table(spark: SparkSession, rows: list[tuple], columns: dict[str, pa.DataType]) -> DataFrame:
+    """Rows of the driver as a table. They go through Arrow: a list would start workers of another kind on the executors, which stay."""
+    values = zip(*rows) if rows else [()] * len(columns)
+    return spark.createDataFrame(pa.table({k: pa.array(list(v), t) for (k, t), v in zip(columns.items(), values)}))
+
+
 #: Ids that are broadcast at most: about 30 MB as a hash table.
 MOST_BROADCAST_IDS = 1_000_000
 
