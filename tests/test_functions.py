@@ -28,6 +28,14 @@ def one(spark, value, f):
         ("Password: hello", "Password: hello"),
         ("u ?pwd=AbCdEf123456xyz and #u-abcdef123456xyz-", "u ?pwd=REDACTED and #u-REDACTED-"),
         ("?pwd=shortval123 shortval123", "?pwd=REDACTED shortval123"),
+        ("a (at] b {dot) example", "a (at] b {dot) example"),
+        ("a [at] b {dot} example (dot) co.uk, b(at)c(dot)d", "[email redacted].uk, b(at)c(dot)d"),
+        ("x (at) y (at) z (dot) org1 (dot) de (dot) 7", "x (at) [email redacted] (dot) 7"),
+        ("x (dot) y (at)  (dot) org and (at) z (dot) org", "x (dot) y (at)  (dot) org [email redacted]"),
+        ("a (at) b (dot) orgx1 (at) c (dot) de", "[email redacted][email redacted]"),
+        ("<a href=mailto:a@b.org>m</a>", "<a href=mailto:[email redacted]>m</a>"),
+        ("<a x='1' HREF = 'mailto:a>b'>m</a >", '<span class="email-redacted">m</span>'),
+        ("?pwd=REDACTED&password=REDACTEDx&pwd=", "?pwd=REDACTED&password=REDACTED&pwd="),
         ("", ""),
         (None, None),
     ],

@@ -24,6 +24,8 @@ PASSCODE_PARAMS = "pwd passcode password".split()
 LEAST_SECRET = 12
 ADDRESS_MARK, LINK_MARK, SECRET_MARK = "[email redacted]", '<span class="email-redacted">', "REDACTED"
 MOST_ALLOWED = 100
+# Brackets around spelled-out signs.
+BRACKETS = [("(", ")"), ("[", "]"), ("{", "}")]
 
 #: A character of the part before @, one of a domain's labels, and where a search for an address may begin: not
 #: inside such a part (so that a long run is read once), or right behind the address before it.
@@ -39,10 +41,6 @@ def _any(words: list[str]) -> str:
     return "(?:" + "|".join(map(re.escape, words)) + ")"
 
 
-def _word_in_brackets(word: str) -> str:
-    return rf"[ \t]*[(\[{{][ \t]*{word}[ \t]*[)\]}}][ \t]*"
-
-
 @dataclass(frozen=True)
 class Rule:
     id: str
@@ -61,17 +59,18 @@ def address_pattern(allowed: tuple[str, ...] = ()) -> str:
 
 
 def rules(allowed: tuple[str, ...] = ()) -> tuple[Rule, ...]:
-    at, dot = _word_in_brackets("at"), _word_in_brackets("dot")
-    key = rf"(?<=[?&;])((?i:{_any(PASSCODE_PARAMS)})=)"
     return (
-        Rule("R1", "mailto link becomes a marked span", r"(?is)<a\s[^>]*?(?<=\s)href\s*=\s*[\"']?\s*mailto:[^>]*>(.*?)</a\s*>", LINK_MARK + "$1</span>", LINK_MARK, "(?i)mailto:"),
+        Rule("R1", "mailto link in quotes becomes a marked span", r"(?is)<a\s[^>]*?(?<=\s)href\s*=\s*([\"'])mailto:(?:(?!\1).)*\1[^>]*>(.*?)</a\s*>", LINK_MARK + "$2</span>", LINK_MARK, "(?i)mailto:"),
         Rule("R2", "address, names of image files excepted", address_pattern(allowed), ADDRESS_MARK, ADDRESS_MARK, "@"),
-        Rule("R3", "address with at and dot as words in brackets", rf"(?i){_BEGIN}{_NAME}+{at}{_LABEL}+(?:(?:{dot}|\.){_LABEL}+)*{dot}[a-z]{{2,}}", ADDRESS_MARK, ADDRESS_MARK, r"(?i)[(\[{][ \t]*dot[ \t]*[)\]}]"),
-        Rule("R4", "passcode parameter of a URL", rf"{key}(?!{SECRET_MARK}(?!{_VALUE})){_VALUE}+", f"$1{SECRET_MARK}", SECRET_MARK, rf"(?i)[?&;]{_any(PASSCODE_PARAMS)}="),
-        Rule("R5", "labelled passcode of 4 to 12 letters and digits, one digit at least", rf"(?i)((?<![A-Za-z0-9_]){_any(PASSCODE_LABELS)}[ \t]*[:=][ \t]*)(?=[a-z]*[0-9])[a-z0-9]{{4,12}}(?![A-Za-z0-9_])", f"$1{SECRET_MARK}", SECRET_MARK, rf"(?i){_any(PASSCODE_LABELS)}[ \t]*[:=]"),
+        Rule("R3", "address with at and dot as words in brackets of one kind", SPELLED, ADDRESS_MARK, ADDRESS_MARK, r"(?i)[(\[{][ \t]*dot[ \t]*[)\]}]"),
+        Rule("R4", "passcode parameter of a URL", rf"((?<=[?&;])(?i:{_any(PASSCODE_PARAMS)})=)({_VALUE}+)", f"$1{SECRET_MARK}", SECRET_MARK, rf"(?i)[?&;]{_any(PASSCODE_PARAMS)}="),
+        Rule("R5", "labelled passcode of 4 to 12 letters and digits, one digit at least", rf"(?i)((?<![A-Za-z0-9_]){_any(PASSCODE_LABELS)}[ \t]*[:=][ \t]*)((?=[a-z]*[0-9])[a-z0-9]{{4,12}})(?![A-Za-z0-9_])", f"$1{SECRET_MARK}", SECRET_MARK, rf"(?i){_any(PASSCODE_LABELS)}[ \t]*[:=]"),
     )
 
 
+#: A word in brackets of one kind that stands for a sign, with the blanks around it.
+SPELLED = "(?i)[ \\t]*(?:" + "|".join(rf"{re.escape(a)}[ \t]*(?:at|dot)[ \t]*{re.escape(b)}" for a, b in BRACKETS) + ")[ \\t]*"
+
 RULES = rules()
 R6 = "R6"
 NAMES = [*(r.id for r in RULES), R6]
@@ -98,12 +97,67 @@ def bound(c: Column, f) -> Column:
     return F.get(F.transform(F.array(c), f), F.lit(0))
 
 
+def spelled_out(c: Column) -> Column:
+    """R3: c cut at the words in brackets and read piece by piece.
+
+    An "at" behind a name opens an address; pieces of labels go on with it as long as a "dot" follows. It is one from the first "dot" on
+    that has two letters or more behind it, and reaches as far as the last such. Whatever opens and comes to nothing stays.
+    """
+    name, letters = rf"{_NAME}+\z", "^[A-Za-z]{2,}"
+    text = "cast(null as string)"
+
+    def after(st: Column) -> Column:
+        """What the address or text so far comes to, if it ends here."""
+        return F.coalesce(st["best"], st["raw"], st["tail"])
+
+    def state(out: Column, tail: Column, raw: Column, best: Column, goes_on: Column) -> Column:
+        return F.struct(out.alias("out"), tail.alias("tail"), raw.alias("raw"), best.alias("best"), goes_on.alias("goes_on"))
+
+    def step(st: Column, t: Column) -> Column:
+        sign, piece = t["sign"], t["piece"]
+        none, labels = F.expr(text), piece.rlike(rf"^{_LABEL}+(?:\.{_LABEL}+)*\z")
+        is_at = F.lower(sign).contains("at")
+        longer = lambda x: F.concat(x, sign, piece)
+        dot = state(
+            st["out"], F.lit(""), longer(st["raw"]),
+            F.when(piece.rlike(letters), F.concat(F.lit(ADDRESS_MARK), F.regexp_replace(piece, letters, ""))).when(st["best"].isNotNull(), longer(st["best"])), labels,
+        )
+
+        def ended(x: Column) -> Column:
+            begins = state(F.concat(st["out"], F.array(F.regexp_replace(x, name, ""))), F.lit(""), longer(F.regexp_extract(x, rf"({name})", 1)), none, labels)
+            return F.when(is_at & x.rlike(name), begins).otherwise(state(F.concat(st["out"], F.array(x, sign)), piece, none, none, F.lit(False)))
+
+        return F.when(~is_at & st["goes_on"], dot).otherwise(bound(after(st), ended))
+
+    def read(x: Column) -> Column:
+        pieces = F.split(x, SPELLED, -1)
+        signs = F.regexp_extract_all(x, F.lit(f"({SPELLED})"), F.lit(1))
+        both = F.zip_with(signs, F.slice(pieces, F.lit(2), F.size(signs)), lambda a, b: F.struct(a.alias("sign"), b.alias("piece")))
+        first = state(F.array().cast("array<string>"), F.get(pieces, F.lit(0)), F.expr(text), F.expr(text), F.lit(False))
+        return F.aggregate(both, first, step, lambda st: F.concat(F.array_join(st["out"], ""), after(st)))
+
+    return bound(c, read)
+
+
 def apply_rule(c: Column, rule: Rule) -> Column:
-    return bound(c, lambda x: F.when(x.rlike(rule.sign), F.regexp_replace(x, rule.pattern, rule.replacement)).otherwise(x))
+    done = spelled_out if rule.id == "R3" else lambda x: F.regexp_replace(x, rule.pattern, rule.replacement)
+    return bound(c, lambda x: F.when(x.rlike(rule.sign), done(x)).otherwise(x))
+
+
+def passcodes(c: Column, rule: Rule) -> Column:
+    """Values that R4 or R5 takes away from c, in order, repeats too."""
+    return F.filter(F.regexp_extract_all(c, F.lit(rule.pattern), F.lit(2)), lambda v: v != SECRET_MARK)
 
 
 def count_rule(c: Column, rule: Rule) -> Column:
-    return F.when(c.rlike(rule.sign), F.regexp_count(c, F.lit(rule.pattern))).otherwise(F.when(c.isNotNull(), 0))
+    """Matches of a rule in c, those that it replaces by what is there already left out."""
+
+    def found(x: Column) -> Column:
+        if rule.id == "R3":
+            return bound(spelled_out(x), lambda y: marks(y, ADDRESS_MARK)) - marks(x, ADDRESS_MARK)
+        return F.size(passcodes(x, rule)) if rule.id == "R4" else F.regexp_count(x, F.lit(rule.pattern))
+
+    return bound(c, lambda x: F.when(x.rlike(rule.sign), found(x)).otherwise(F.when(x.isNotNull(), 0)))
 
 
 def marks(c: Column, mark: str) -> Column:
@@ -118,9 +172,7 @@ def slug_form(c: Column) -> Column:
 def secrets(c: Column) -> Column:
     """Distinct values of LEAST_SECRET characters and more that R4 removes from c, longest first."""
     rule = RULES[3]
-    found = F.regexp_extract_all(c, F.lit(f"({rule.pattern})"), F.lit(1))
-    values = F.transform(found, lambda v: F.regexp_replace(v, "^[^=]*=", ""))
-    long = F.array_distinct(F.filter(values, lambda v: F.length(v) >= LEAST_SECRET))
+    long = F.array_distinct(F.filter(passcodes(c, rule), lambda v: F.length(v) >= LEAST_SECRET))
     return F.when(c.rlike(rule.sign), F.array_sort(long, lambda a, b: F.length(b) - F.length(a))).otherwise(F.array().cast("array<string>"))
 
 
@@ -171,4 +223,4 @@ def email_redacted(c: Column) -> Column:
 
 def residuals(c: Column, allowed: tuple[str, ...] = ()) -> list[Column]:
     """For each rule, whether a redacted text still matches it."""
-    return [c.rlike(r.sign) & c.rlike(r.pattern) for r in rules(allowed)]
+    return [c.rlike(r.sign) & (count_rule(c, r) > 0 if r.id in ("R3", "R4") else c.rlike(r.pattern)) for r in rules(allowed)]

@@ -188,10 +188,14 @@ def own_references(html: Column, own: str) -> Column:
 
 
 def asset_paths(html: Column, own: str) -> Column:
-    """Decoded paths of the own host's assets that raw HTML names anywhere; punctuation at their ends isn't meant."""
-    host, dirs = own.replace(".", "\\."), "|".join(ASSET_DIRS)
-    found = F.regexp_extract_all(html, F.lit(rf"""(?<![\w.~%:/-])(?:(?i:(?:https?:)?//{host}))?(/(?:{dirs})/[^\s"'<>?#,)&\\]*)"""), F.lit(1))
-    return F.transform(found, lambda p: percent_decode_tolerant(F.regexp_replace(p, "[.;:!]+$", "")))
+    """Decoded paths of the own host's assets that raw HTML names anywhere: own references whose path lies below a folder of assets.
+
+    A comma or & ends a path, as lists of candidates and queries go on there; punctuation at its end isn't meant.
+    """
+    refs = own_references(F.translate(html, ",&", "  "), own)
+    paths = F.transform(refs, lambda u: F.rtrim(split_url(u)["path"], F.lit(".;:!")))
+    below = lambda p: F.get(F.split(p, "/"), F.lit(1)).isin(ASSET_DIRS) & (F.size(F.split(p, "/")) > 2)
+    return F.transform(F.filter(paths, below), percent_decode_tolerant)
 
 
 def glob_regex(glob: Column) -> Column:

@@ -32,6 +32,8 @@ FIXED_FILES = ["robots.txt", "sitemap.xml", "_redirects", "archive.css"]
 WIDGET_PAGES = ["search/index.html", "index.html"]
 DOCUMENTS = "pdf doc docx docm dot dotx rtf odt txt ppt pptx pps ppsx odp key xls xlsx ods csv tsv zip gz tgz tar 7z rar epub tex ipynb json xml html htm".split()
 IMAGES = "png jpg jpeg gif webp svg bmp ico avif tif tiff heic".split()
+RANKS = {e: 2 for e in IMAGES} | {e: 0 for e in DOCUMENTS}
+KIND_DEPTH = {"uploads/default": 3}
 DATA_ATTRIBUTES = ["data-pagefind-body", "data-pagefind-meta", "data-pagefind-filter"]
 FORBIDDEN_STRINGS = ["trust_level", "avatar_template", "user_title", "last_seen", "ip_address", "primary_group"]
 FORBIDDEN_ELEMENTS = ["iframe", "object", "embed", "form"]
@@ -132,9 +134,9 @@ def pages(s: Site) -> DataFrame:
     want = s.wanted.select("file").unionByName(s.names(FIXED_PAGES + FIXED_FILES)).distinct()
     good = s.wanted.select("file").unionByName(s.names(FIXED_PAGES))
     return _all(
-        _say(_not_in(want, s.files, "file"), "missing: %s", "file"),
-        _say(_not_in(s.pages.select("file"), good, "file"), "extra HTML page: %s", "file"),
-        _say(s.pages.where("html IS NULL").select("file"), "not valid UTF-8 or not parseable: %s", "file"),
+        _say(_not_in(want, s.files, "file"), "no file %s", "file"),
+        _say(_not_in(s.pages.select("file"), good, "file"), "page that nothing asks for: %s", "file"),
+        _say(s.pages.where("html IS NULL").select("file"), "page without readable text: %s", "file"),
     )
 
 
@@ -150,13 +152,13 @@ def posts(s: Site) -> DataFrame:
     numbered = got.where("number IS NOT NULL")
     absent = _not_in(want, there, "topic_id").groupBy("topic_id").agg(F.count(F.lit(1)).alias("n"))
     return _all(
-        _say(skipped, "topic %d post %d: skipped (not renderable) but has a body", "topic_id", "number"),
-        _say(stream, "topic %d: the stream lists %d posts, the source holds %d", "id", "stream_n", F.coalesce("held", F.lit(0))),
-        _say(absent, "topic %d: no page, so its %d renderable post(s) are not rendered", "topic_id", "n"),
-        _say(_not_in(want.join(there, "topic_id", "left_semi"), numbered, ["topic_id", "number"]), "topic %d: post %d in the source but not rendered", "topic_id", "number"),
-        _say(_not_in(numbered.distinct(), want, ["topic_id", "number"]), "topic %d: post %d rendered but not renderable", "topic_id", "number"),
-        _say(numbered.groupBy("topic_id", "number").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "topic %d: post %d rendered twice", "topic_id", "number"),
-        _say(got.where("number IS NULL").groupBy("topic_id").agg(F.count(F.lit(1)).alias("n")), "topic %d: %d post(s) without a number", "topic_id", "n"),
+        _say(skipped, "%d/%d isn't shown, yet its body isn't empty", "topic_id", "number"),
+        _say(stream, "%d: %d posts announced, %d in the source", "id", "stream_n", F.coalesce("held", F.lit(0))),
+        _say(absent, "%d: without its page %d posts aren't shown", "topic_id", "n"),
+        _say(_not_in(want.join(there, "topic_id", "left_semi"), numbered, ["topic_id", "number"]), "%d/%d is missing from its page", "topic_id", "number"),
+        _say(_not_in(numbered.distinct(), want, ["topic_id", "number"]), "%d/%d is on the page without being meant for it", "topic_id", "number"),
+        _say(numbered.groupBy("topic_id", "number").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "%d/%d is on the page more than once", "topic_id", "number"),
+        _say(got.where("number IS NULL").groupBy("topic_id").agg(F.count(F.lit(1)).alias("n")), "%d: %d articles that tell no post number", "topic_id", "n"),
     )
 
 
@@ -182,7 +184,7 @@ def words(s: Site) -> DataFrame:
     have = _words(rendered, H.shown_body).withColumnRenamed("n", "have")
     short = F.greatest(F.col("n") - F.coalesce("have", F.lit(0)), F.lit(0))
     lost = want.join(have, [*key, "word"], "left").groupBy(key).agg(F.sum(short).alias("lost"), F.sum("n").alias("all")).where("lost > 0")
-    return _say(lost, "topic %d post %d: %d of %d words missing", *key, "lost", "all")
+    return _say(lost, "%d/%d lost %d of its %d words", *key, "lost", "all")
 
 
 def _window(keys: list[str], order: str):
@@ -206,13 +208,13 @@ def host(s: Site) -> DataFrame:
     u = F.col("u")
     off = own.where((u["host"] != s.host) | (U.percent_decode_tolerant(u["path"]) != U.page_url(F.col("file"))))
     bad = named.join(own.select("file", "idx", "name"), ["file", "idx", "name"], "left_anti")
-    return _all(_say(bad, "%s: <%s %s> names the own host", "file", "el", "name"), _say(off, "%s: the canonical link points at another page", "file"))
+    return _all(_say(bad, "%s still points at the old host in %s@%s", "file", "el", "name"), _say(off, "%s is canonical for another address", "file"))
 
 
 def host_text(s: Site) -> DataFrame:
     """Pages whose text names the host."""
     n = F.regexp_count(F.lower(X.visible_text(F.col("html"))), F.lit(s.host.replace(".", "\\.")))
-    return _say(s.pages.select("file", n.alias("n")).where("n > 0"), "%s: %d mention(s)", "file", "n")
+    return _say(s.pages.select("file", n.alias("n")).where("n > 0"), "%s tells the old host %d times", "file", "n")
 
 
 def _references(s: Site) -> DataFrame:
@@ -227,7 +229,7 @@ def _unresolved(s: Site, refs: DataFrame) -> DataFrame:
     flat = refs.select("place", "what", F.col("r.file").alias("file"), F.col("r.fragment").alias("fragment"))
     gone = _not_in(flat, s.files, "file")
     on_page = flat.where("fragment <> '' AND fragment <> 'top'").join(s.pages.select("file"), "file", "left_semi")
-    return _all(_say(gone, "%s: %s: no such file in the site", "place", "what"), _say(_not_in(on_page, s.anchors, ["file", "fragment"]), "%s: %s: no #%s in %s", "place", "what", "fragment", "file"))
+    return _all(_say(gone, "%s, %s: nothing is served there", "place", "what"), _say(_not_in(on_page, s.anchors, ["file", "fragment"]), "%s, %s: fragment %s isn't on %s", "place", "what", "fragment", "file"))
 
 
 def links(s: Site) -> DataFrame:
@@ -240,8 +242,8 @@ def links(s: Site) -> DataFrame:
     own = locs.where(F.col("u.host") == s.host).select(F.lit("sitemap.xml").alias("place"), F.concat(F.lit("<loc> "), "loc").alias("what"), U.resolve(F.col("u"), F.lit("/")).alias("r"))
     return _all(
         _unresolved(s, _all(inner, dests, own)),
-        _say(refs.where("kind = 'malformed'"), "%s: %s %s: not a URL (http without a host)", "file", "attr", "url"),
-        _say(locs.where(F.col("u.host") != s.host), "sitemap.xml: <loc> %s is not on the own host", "loc"),
+        _say(refs.where("kind = 'malformed'"), "%s, %s %s: a web address without host", "file", "attr", "url"),
+        _say(locs.where(F.col("u.host") != s.host), "the sitemap lists a foreign address: %s", "loc"),
     ).distinct()
 
 
@@ -261,23 +263,23 @@ def asset_references(s: Site) -> DataFrame:
 
 
 def asset_rank(path: Column) -> Column:
-    """0 documents, 1 others, 2 images."""
-    e = X.extension(path)
-    return F.when(e.isin(DOCUMENTS), 0).when(e.isin(IMAGES), 2).otherwise(1)
+    """Place in the report by the file's ending: RANKS, or 1."""
+    known = F.create_map(*[F.lit(x) for ending, rank in RANKS.items() for x in (ending, rank)])
+    return F.coalesce(F.try_element_at(known, X.extension(path)), F.lit(1))
 
 
 def asset_kind(file: Column) -> Column:
-    """The folders that tell what an asset is: two, three below uploads/default."""
-    dirs = F.slice(F.split(file, "/"), F.lit(1), F.size(F.split(file, "/")) - 1)
-    n = F.when((F.get(dirs, F.lit(0)) == "uploads") & (F.get(dirs, F.lit(1)) == "default"), 3).otherwise(2)
-    return F.when(F.size(dirs) == 0, "(top level)").otherwise(F.array_join(F.slice(dirs, F.lit(1), n), "/"))
+    """The folder that tells what an asset is: as deep as KIND_DEPTH says for its top, else two."""
+    folder = F.regexp_extract(file, "^(?:(.*)/)?[^/]*$", 1)
+    depth = [F.when(F.startswith(file, F.lit(f"{top}/")), F.substring_index(folder, "/", n)) for top, n in KIND_DEPTH.items()]
+    return F.coalesce(*depth, F.when(folder == "", "(no folder)"), F.substring_index(folder, "/", 2))
 
 
 def missing_assets(s: Site) -> DataFrame:
     """(rank, path, n, where): asset paths that bodies name and the site lacks, documents first; avatars are left out on purpose."""
     refs = asset_references(s).withColumn("file", F.regexp_replace("path", "^/", ""))
     gone = _not_in(refs.where(~U.first_segment(F.col("path")).isin(U.AVATAR_DIRS)), s.files, "file")
-    use = first_k(gone.withColumn("where", F.format_string("topic %d post %d", "topic_id", "number")), "path", "where", 3)
+    use = first_k(gone.withColumn("where", F.format_string("%d/%d", "topic_id", "number")), "path", "where", 3)
     return use.select(asset_rank(F.col("path")).alias("rank"), "path", "n", F.array_join("firsts", ", ").alias("where")).orderBy("rank", "path")
 
 
@@ -288,10 +290,10 @@ def assets(s: Site) -> DataFrame:
     generated = s.pages.select("file").unionByName(s.names(FIXED_FILES)).unionByName(s.assets.select("file"))
     stray = _not_in(s.files.where("file NOT LIKE 'pagefind/%'").select("file"), generated, "file")
     return _all(
-        _say(missing_assets(s), "%s (used in %s)", "path", "where"),
-        _say(off.where("status = 'missing'"), "asset file missing from the site: %s", "file"),
-        _say(off.where("status <> 'missing'"), "asset file differs from the source: %s", "file"),
-        _say(stray, "file in the site that is neither generated nor an asset: %s", "file"),
+        _say(missing_assets(s), "asset %s isn't there; asked for by %s", "path", "where"),
+        _say(off.where("status = 'missing'"), "asset %s wasn't copied", "file"),
+        _say(off.where("status <> 'missing'"), "asset %s was changed", "file"),
+        _say(stray, "file of unknown origin: %s", "file"),
     )
 
 
@@ -341,7 +343,7 @@ def personal(s: Site) -> DataFrame:
     k = _kept(s).join(n, "address", "left").na.fill(0).where("page <> kept OR fragment <> kept OR `text file` <> 0")
     return _all(
         _say(_personal(s), "%s: %d x %s", "file", "n", "rule"),
-        _say(k, "an allowed address: %d in pages, %d in the search index, %d in other files; the report says %d", "page", "fragment", "text file", "kept"),
+        _say(k, "allowed address seen %d times by readers, %d by searchers, %d elsewhere; %d were reported", "page", "fragment", "text file", "kept"),
     )
 
 
@@ -362,12 +364,11 @@ def inventory(s: Site) -> DataFrame:
 
 def values_of(strings: DataFrame) -> DataFrame:
     """strings (origin, value) -> (id, kind, value, what, origin): addresses, passcode parameters and labelled passcodes in unredacted strings, distinct ones."""
-    r4, r5 = R.RULES[3], R.RULES[4]
-    label = F.lit(f"({r5.pattern.removeprefix('(?i)').replace('((?<!', '(?:(?<!', 1)})")
+    coded = lambda k: R.passcodes(F.col("value"), R.RULES[k])
     found = F.array(
         F.struct(F.lit("e-mail address").alias("what"), F.lit(ANYWHERE).alias("kind"), F.transform(addresses(F.col("value")), F.lower).alias("v")),
-        F.struct(F.lit("passcode parameter").alias("what"), F.lit(SLUG).alias("kind"), F.transform(F.regexp_extract_all("value", F.lit(f"({r4.pattern.replace('((?i:', '(?:(?i:', 1)})"), F.lit(1)), lambda x: F.regexp_replace(x, "^[^=]*=", "")).alias("v")),
-        F.struct(F.lit("plain passcode").alias("what"), F.lit(WORD).alias("kind"), F.transform(F.regexp_extract_all("value", F.concat(F.lit("(?i)"), label), F.lit(1)), lambda x: F.regexp_replace(x, r"^.*[:=][ \t]*", "")).alias("v")),
+        F.struct(F.lit("passcode parameter").alias("what"), F.lit(SLUG).alias("kind"), coded(3).alias("v")),
+        F.struct(F.lit("plain passcode").alias("what"), F.lit(WORD).alias("kind"), coded(4).alias("v")),
     )
     rows = strings.where(F.col("value").rlike("[@=:]")).select("origin", F.explode(found).alias("x")).select("origin", "x.what", "x.kind", F.explode("x.v").alias("value")).where("value <> ''")
     rows = rows.groupBy("what", "kind", "value").agg(F.min("origin").alias("origin"))
@@ -385,7 +386,7 @@ def verbatim(s: Site) -> DataFrame:
     v = _values(s)
     views = corpus(s).select("file", F.explode("views").alias("v"))
     hit = find_values(views, "file", "v", v).distinct().groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("file"))
-    return _say(hit.join(v.select("id", "what", "origin"), "id"), "%s from %s is in %d text(s) of the site, %s first", "what", "origin", "n", "file")
+    return _say(hit.join(v.select("id", "what", "origin"), "id"), "%s of %s can still be read in %d texts, for one in %s", "what", "origin", "n", "file")
 
 
 def attachments(s: Site) -> DataFrame:
@@ -399,7 +400,7 @@ def attachments(s: Site) -> DataFrame:
 
 def spot(s: Site) -> DataFrame:
     ids = s.rows([(i,) for i in s.spot], "id long")
-    return _say(_not_in(ids, s.topics.select("id"), "id"), "topic %d is not in the source", "id")
+    return _say(_not_in(ids, s.topics.select("id"), "id"), "no topic %d to look at", "id")
 
 
 def spot_facts(s: Site) -> DataFrame:
@@ -450,13 +451,13 @@ def search(s: Site) -> DataFrame:
     have = s.fragments.agg(F.count(F.lit(1)).alias("have"))
     count = n.select("want", F.lit(s.page_count).cast("long").alias("have"))
     return _all(
-        _say(count.where("have IS NULL"), "the index has no page count; %d expected", "want"),
-        _say(count.where("have <> want"), "page count %d, expected %d", "have", "want"),
-        _say(have.crossJoin(n).where("have <> want"), "%d fragments, expected %d", "have", "want"),
-        _say(s.fragments.where("url IS NULL"), "fragment can't be read: %s", "file"),
-        _say(_not_in(read, s.pages, "file"), "indexed URL is not a page of the site: %s", "url"),
-        _say(read.groupBy("file").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "indexed twice: %s", U.page_url(F.col("file"))),
-        _say(_not_in(want, read, "file"), "page is not indexed: %s", U.page_url(F.col("file"))),
+        _say(count.where("have IS NULL"), "the search index tells no number of pages, but there are %d", "want"),
+        _say(count.where("have <> want"), "the search index claims %d pages of %d", "have", "want"),
+        _say(have.crossJoin(n).where("have <> want"), "%d pieces in the search index for %d pages", "have", "want"),
+        _say(s.fragments.where("url IS NULL"), "unreadable piece of the search index: %s", "file"),
+        _say(_not_in(read, s.pages, "file"), "the search index leads to %s, which is no page", "url"),
+        _say(read.groupBy("file").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "the search index has %s more than once", U.page_url(F.col("file"))),
+        _say(_not_in(want, read, "file"), "the search index lacks %s", U.page_url(F.col("file"))),
     )
 
 
@@ -475,15 +476,15 @@ def redirects(s: Site) -> DataFrame:
     again = to.join(static.select(F.col("source").alias("url")), "url", "left_semi").unionByName(L.covered(full, to).select("url")).distinct()
     need = s.wanted.select(U.page_url(F.col("file")).alias("path"))
     return _all(
-        _say(none, "%s is missing", "file"),
-        _say(r.where("n_words < 2"), "line %d: not 'source destination [status]'", "line_no"),
-        _say(many, "%d rules, the limit is %d", "n", "most"),
-        _say(s.texts.where("file = '_redirects'").select(F.posexplode(F.split("text", "\n")).alias("k", "l")).where(F.octet_length("l") > L.MOST_CHARACTERS), "line %d is too long", F.col("k") + 1),
-        _say(r.groupBy("source").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "source occurs twice: %s", "source"),
-        _say(shadow, "static source would shadow an existing file or page: %s", "source"),
-        _say(dynamic, "dynamic rule %s would shadow %d existing files or pages, %s first", "source", "n", "first"),
-        _say(again, "destination is itself redirected: %s", "url"),
-        _say(_not_in(need, full, "path"), "no rule leads to the page %s", "path"),
+        _say(none, "there is no %s", "file"),
+        _say(r.where("n_words < 2"), "rule in line %d lacks a part", "line_no"),
+        _say(many, "%d rules of a kind that may have %d", "n", "most"),
+        _say(s.texts.where("file = '_redirects'").select(F.posexplode(F.split("text", "\n")).alias("k", "l")).where(F.octet_length("l") > L.MOST_CHARACTERS), "rule in line %d exceeds the length", F.col("k") + 1),
+        _say(r.groupBy("source").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "more than one rule for %s", "source"),
+        _say(shadow, "the rule for %s hides what is served there", "source"),
+        _say(dynamic, "the pattern %s hides %d served addresses, for one %s", "source", "n", "first"),
+        _say(again, "a rule leads to %s, which is redirected again", "url"),
+        _say(_not_in(need, full, "path"), "no old address leads to %s", "path"),
     )
 
 

@@ -36,23 +36,25 @@ def red02(spark, d):
     return table(spark, d, "documents").select("doc_id", F.sha2(R.email_redacted(F.col("text")), 256).alias("text_sha256"))
 
 
-@query("red01_mailto", f"""SELECT doc_id, sha256('<p><span class="email-redacted">' || source || '</span>, <a href="/x">' || lang || '</a> ' || {_SAFE}) AS h {_FROM}""")
+@query("red01_mailto", f"""SELECT doc_id, sha256('<p>' || CASE WHEN doc_id % 3 = 2 THEN '<a TITLE=x href=mailto:[email redacted]>' || source || '</A >' ELSE '<span class="email-redacted">' || source || '</span>' END || ', <a href="/x">' || lang || '</a> ' || {_SAFE}) AS h {_FROM}""")
 def red01(spark, d):
+    """RED-01; a link without quotes is left to R2."""
     q = _pick('"', "'", "")
     link = F.concat(F.lit("<p><a "), _pick("", 'class="m" ', "TITLE=x "), F.lit("href="), q, F.lit("mailto:u"), "doc_id", F.lit("@"), "source", F.lit(".example.org"), q, F.lit(">"), "source", F.lit("</A >"))
     return _docs(spark, d).select("doc_id", F.sha2(R.redact(F.concat(link, F.lit(', <a href="/x">'), "lang", F.lit("</a> "), "text")), 256).alias("h"))
 
 
-@query("red03_obfuscated", f"""SELECT doc_id, sha256('ask ' || CASE WHEN doc_id % 4 = 3 THEN 'jo' || doc_id || ' (at) example.org' ELSE '[email redacted]' END || ' now; Vienna (AT) 21.May ' || {_SAFE}) AS h {_FROM}""")
+@query("red03_obfuscated", f"""SELECT doc_id, sha256('ask ' || CASE doc_id % 5 WHEN 3 THEN 'jo' || doc_id || ' (at) example.org' WHEN 4 THEN 'jo' || doc_id || ' (at] b {{dot) org' ELSE '[email redacted]' END || ' now; Vienna (AT) 21.May ' || {_SAFE}) AS h {_FROM}""")
 def red03(spark, d):
-    address = F.concat(F.lit("jo"), "doc_id", _pick(" (at) example (dot) ", "[ AT ]mail.example {dot} ", "{at}a(dot)b (DOT)", " (at) example."), F.lit("org"))
+    address = F.concat(F.lit("jo"), "doc_id", _pick(" (at) example (dot) ", "[ AT ]mail.example {dot} ", "{at}a(dot)b (DOT)", " (at) example.", " (at] b {dot) "), F.lit("org"))
     return _docs(spark, d).select("doc_id", F.sha2(R.redact(F.concat(F.lit("ask "), address, F.lit(" now; Vienna (AT) 21.May "), "text")), 256).alias("h"))
 
 
-@query("red04_url_passcode", f"""SELECT doc_id, sha256('https://x.example/j' || ['?pwd=', '&PassCode=', ';password='][(doc_id % 3 + 1)::INT] || 'REDACTED' || ['&x=1 ', '#f ', '" ', ' '][(doc_id % 4 + 1)::INT] || {_SAFE}) AS h {_FROM} AND length({_SQL_V}) < 12""")
+@query("red04_url_passcode", f"""SELECT doc_id, sha256('https://x.example/j' || ['?pwd=', '&PassCode=', ';password='][(doc_id % 3 + 1)::INT] || 'REDACTED' || ['&x=1 ', '#f ', '" ', ' '][(doc_id % 4 + 1)::INT] || {_SAFE}) AS h {_FROM}""")
 def red04(spark, d):
+    """RED-04, twice; no whole text holds its own digest's beginning, so R6 has nothing to do."""
     t = F.concat(F.lit("https://x.example/j"), _pick("?pwd=", "&PassCode=", ";password="), _value(), _pick("&x=1 ", "#f ", '" ', " "), "text")
-    return _docs(spark, d).where(F.length(_value()) < 12).select("doc_id", F.sha2(R.redact(R.redact(t)), 256).alias("h"))
+    return _docs(spark, d).select("doc_id", F.sha2(R.redact(R.redact(t)), 256).alias("h"))
 
 
 _LABELS = "['Kenncode: ', 'kennwort=', 'PASSCODE : ', 'passwort:', 'Password = ', 'zugangscode:', 'wachtwoord: ', 'Toegangscode:\t']"
