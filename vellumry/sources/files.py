@@ -77,6 +77,13 @@ def listing_complete(spark: SparkSession, folder: str) -> DataFrame:
     return d.groupBy("category_id").agg(F.count(F.lit(1)).alias("pages"), (F.max_by("n", "page") == 0).alias("complete"), (F.count(F.lit(1)) > MOST_PAGES).alias("too_many"))
 
 
+def below(spark: SparkSession, folder: str, path: Column) -> Column:
+    """The part of full paths (as Spark gives them) below a folder, whatever folders of its name lie above or in it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    root = p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString().rstrip("/")
+    return F.when(F.startswith(path, F.lit(f"{root}/")), path.substr(F.lit(len(root) + 2), F.length(path)))
+
+
 def listing(spark: SparkSession, folder: str) -> DataFrame:
     """(path, length) of all files below a folder; contents are not read."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", "length")
@@ -229,14 +236,14 @@ def invalid_json(files: DataFrame) -> DataFrame:
 def asset_files(spark: SparkSession, folder: str) -> DataFrame:
     """(file, size, sha256) below a folder, relative, without the file manager's own, in byte order."""
     d = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    rel = F.regexp_replace("path", "^.*?" + re.escape(folder.rstrip("/").split("/")[-1]) + "/", "")
+    rel = below(spark, folder, F.col("path"))
     return d.select(rel.alias("file"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256")).where("file NOT RLIKE '(^|/)[.]DS_Store$'").orderBy("file")
 
 
 def html_pages(spark: SparkSession, folder: str) -> DataFrame:
     """(file, html, clean) of the HTML files below a folder; html null and clean false where the bytes aren't UTF-8."""
     d = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{html,htm}").load(folder)
-    rel = F.regexp_replace("path", "^.*?" + re.escape(folder.rstrip("/").split("/")[-1]) + "/", "")
+    rel = below(spark, folder, F.col("path"))
     text = F.col("content").cast("string")
     return d.select(rel.alias("file"), F.when(F.is_valid_utf8(text), text).alias("html"), F.is_valid_utf8(text).alias("clean"))
 

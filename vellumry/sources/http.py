@@ -10,6 +10,7 @@ import importlib
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from email.utils import parsedate_to_datetime
 from urllib.parse import urljoin, urlsplit
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -46,6 +47,16 @@ def urllib_transport(url: str) -> Reply:
         return Reply(e.code, e.read(), {k.lower(): v for k, v in e.headers.items()})
 
 
+def retry_after(hint: str | None, now: float) -> float | None:
+    """Seconds that a Retry-After header asks for: a number, or a date less now; None if it is neither."""
+    if hint and hint.strip().replace(".", "", 1).isdigit():
+        return float(hint)
+    try:
+        return max(0.0, parsedate_to_datetime(hint).timestamp() - now) if hint else None
+    except ValueError:
+        return None
+
+
 @dataclass
 class Client:
     """transport, and what makes time: both injectable."""
@@ -54,6 +65,7 @@ class Client:
     sleep: Callable[[float], None] = time.sleep
     now: Callable[[], float] = time.monotonic
     last: float | None = None
+    wall: Callable[[], float] = time.time
 
     def once(self, url: str) -> Reply:
         """One request, PAUSE seconds after the one before at the earliest."""
@@ -88,8 +100,7 @@ class Client:
                 return r, None
             if tries >= (TRIES_BUSY if busy else TRIES_FAILED):
                 return r, error
-            hint = r.headers.get("retry-after") if r is not None else None
-            self.sleep(backoff(tries, float(hint) if hint and hint.replace(".", "", 1).isdigit() else None))
+            self.sleep(backoff(tries, retry_after(r.headers.get("retry-after"), self.wall()) if r is not None else None))
 
 
 class HttpSource(DataSource):
