@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from vellumry.plans import links, redaction, site, tables  # noqa: F401
+from vellumry.plans import links, redaction, site, tables, tree  # noqa: F401

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +48,13 @@ def set_checkpoint_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(folder)
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A folder of this application's own, with a name of its own, where driver and executors both read and write."""
+    set_checkpoint_dir(spark)
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or LOCAL_CHECKPOINTS
+    return f"{base.rstrip('/')}/vellumry-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of the data folder, read by Spark (any store)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -97,25 +97,6 @@ def check_apart(*paths: str) -> None:
                 raise ValueError(f"{a} and {b} are not apart")
 
 
-def copy_checked(spark: SparkSession, files: list[str], source: str, target: str) -> DataFrame:
-    """(file, sha256) of files copied byte for byte; an error if a copy differs. For the files of a build (the names are a list on the driver)."""
-    jobs = spark.createDataFrame([(f,) for f in files], "file string")
-    fs, _ = _fs(spark, source)
-    hadoop = spark._jvm.org.apache.hadoop
-    for f in files:
-        a, b = hadoop.fs.Path(f"{source.rstrip('/')}/{f}"), hadoop.fs.Path(f"{target.rstrip('/')}/{f}")
-        hadoop.fs.FileUtil.copy(fs, a, b.getFileSystem(spark._jsc.hadoopConfiguration()), b, False, spark._jsc.hadoopConfiguration())
-    both = []
-    for folder, name in ((source, "a"), (target, "b")):
-        d = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-        d = d.select(F.expr(f"substring(path, instr(path, '{folder.rstrip('/').split('/')[-1]}/') + {len(folder.rstrip('/').split('/')[-1]) + 1})").alias("file"), F.sha2("content", 256).alias(name))
-        both.append(d)
-    out = jobs.join(both[0], "file").join(both[1], "file", "left")
-    if not out.where("b IS NULL OR a <> b").isEmpty():
-        raise OSError("a copy differs from its source")
-    return out.select("file", F.col("a").alias("sha256"))
-
-
 def with_time_kept(before: DataFrame | None, files: DataFrame, now: str) -> DataFrame:
     """A manifest (file, bytes, sha256, at): the time of the one before if no file changed, else now."""
     if before is not None:
