@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import codecs
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,9 +58,37 @@ def unix_lines(c: Column) -> Column:
     return F.regexp_replace(c, r"\r\n?", "\n")
 
 
+def _marked(e: UnicodeError) -> tuple[str, int]:
+    """Each byte that is no part of a character as <xx>."""
+    return "".join(f"<{b:02x}>" for b in e.object[e.start : e.end]), e.end
+
+
+codecs.register_error("vellumry_marked", _marked)
+
+
+def _repair(batch: pd.Series) -> pd.Series:
+    codecs.register_error("vellumry_marked", _marked)  # in the worker's process
+    return batch.map(lambda b: None if b is None else b.decode("utf-8", "vellumry_marked"))
+
+
+def _repair_without_nul(batch: pd.Series) -> pd.Series:
+    return _repair(batch.map(lambda b: None if b is None else b.replace(b"\0", b"")))
+
+
+def repaired(bytes_: Column, drop_nul: bool = False) -> Column:
+    """Text of bytes; every byte that belongs to no character (overlong forms, halves of pairs and what lies beyond U+10FFFF included) as <xx>, in hexadecimal.
+
+    Valid texts, which all or nearly all are, stay in the JVM; null stays null. drop_nul: NUL bytes go first, so what they part comes together.
+    """
+    text = bytes_.cast("string")
+    fix = F.pandas_udf(_repair_without_nul if drop_nul else _repair, "string")
+    good = F.replace(text, F.lit("\u0000"), F.lit("")) if drop_nul else text
+    return F.coalesce(F.when(F.is_valid_utf8(text), good), fix(F.when(~F.is_valid_utf8(text), bytes_)))
+
+
 def clean_text(bytes_: Column) -> Column:
-    """Text of bytes: invalid UTF-8 repaired, NUL dropped, LF line ends."""
-    return unix_lines(F.replace(F.make_valid_utf8(bytes_.cast("string")), F.lit("\u0000"), F.lit("")))
+    """Text of bytes: NUL dropped, invalid UTF-8 repaired, LF line ends."""
+    return unix_lines(repaired(bytes_, drop_nul=True))
 
 
 def parse_utc(c: Column) -> Column:

@@ -235,3 +235,77 @@ def names_of(tags: Column) -> Column:
     items = F.from_json(tags, "array<string>")
     one = lambda t: F.when(F.startswith(F.ltrim(t), F.lit("{")), F.get_json_object(t, "$.name")).otherwise(t)
     return F.array_compact(F.transform(items, one))
+
+
+_NODE = "file string, place string, name string, path string, kind string, leaf string"
+_KIND = {str: "string", bool: "boolean", int: "integer", float: "number", type(None): "null"}
+
+
+def _nodes_of(text: str) -> Iterator[tuple[str, str | None, str, str, str | None]]:
+    """(place, name, path, kind, leaf) of every node, members and elements in their order; objects are lists of their members here, so equal names don't hide each other."""
+    todo = [("", None, "", json.loads(text, object_pairs_hook=lambda m: ("object", m)))]
+    while todo:
+        place, name, path, x = todo.pop()
+        if isinstance(x, tuple):
+            yield place, name, path, "object", None
+            todo += reversed([(f"{place}/{k}", key, f"{path}/{key.replace('~', '~0').replace('/', '~1')}", v) for k, (key, v) in enumerate(x[1])])
+        elif isinstance(x, list):
+            yield place, name, path, "array", None
+            todo += reversed([(f"{place}/{k}", None, f"{path}/{k}", v) for k, v in enumerate(x)])
+        else:
+            yield place, name, path, _KIND[type(x)], x if isinstance(x, str) else json.dumps(x)
+
+
+def _json_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], names=[c.split()[0] for c in _NODE.split(", ")])
+
+    for b in batches:
+        rows: list[tuple] = []
+        for file, raw in zip(b.column(0).to_pylist(), b.column(1)):
+            begun = len(rows)
+            try:
+                for node in _nodes_of(raw.as_py().decode("utf-8")):
+                    rows.append((file, *node))
+            except (ValueError, AttributeError, RecursionError) as e:
+                rows[begun:] = [(file, "", None, "", "invalid", type(e).__name__)]
+            if len(rows) >= 20_000:
+                yield batch(rows)
+                rows = []
+        if rows:
+            yield batch(rows)
+
+
+def json_nodes(files: DataFrame, file: str = "file", content: str = "content") -> DataFrame:
+    """files (file, content binary) -> (file, place, name, path, kind, leaf): every node of each JSON document.
+
+    place counts members and elements from the root down (two members of one name have two places), path is the JSON pointer; kind is object, array, string,
+    integer, number, boolean, null, or invalid, with one row, for content that is null or can't be read. Strings are decoded, other leaves are JSON.
+    """
+    return files.select(F.col(file).cast("string").alias("file"), F.col(content).cast("binary").alias("content")).mapInArrow(_json_nodes, _NODE)
+
+
+def json_compare(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Nodes that differ between two sets of JSON files (file, content): (file, path, what, before, after).
+
+    what is string (a string of another value), leaf (another kind of leaf has another value), shape (a kind or name differs, or one side lacks the node) or
+    invalid (one side can't be read). Both sides are joined on file and place, so one very large file spreads over all tasks. Files are told apart by
+    their names: one that a side lacks differs in every node. Null file names are left out.
+    """
+    a, b = (json_nodes(x.where("file IS NOT NULL")) for x in (before, after))
+    j = a.alias("a").join(b.alias("b"), ["file", "place"], "full_outer")
+    other = ~F.col("a.kind").eqNullSafe(F.col("b.kind")) | ~F.col("a.name").eqNullSafe(F.col("b.name"))
+    invalid = (F.coalesce("a.kind", F.lit("")) == "invalid") | (F.coalesce("b.kind", F.lit("")) == "invalid")
+    differs = ~F.col("a.leaf").eqNullSafe(F.col("b.leaf"))
+    what = F.when(invalid, "invalid").when(other, "shape").when(differs & (F.col("a.kind") == "string"), "string").when(differs, "leaf")
+    out = j.select("file", F.coalesce("a.path", "b.path").alias("path"), what.alias("what"), F.col("a.leaf").alias("before"), F.col("b.leaf").alias("after"))
+    return out.where("what IS NOT NULL")
+
+
+def json_verdicts(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(file, verdict, n_strings) of every file of either side: same, changed (strings alone differ), or refused: a leaf that is no string, or the shape, differs, or a side is missing or invalid."""
+    d = json_compare(before, after)
+    n = d.groupBy("file").agg(F.count_if(F.col("what") == "string").alias("n_strings"), F.count_if(F.col("what") != "string").alias("_n"))
+    names = before.select("file").unionByName(after.select("file")).where("file IS NOT NULL").distinct()
+    verdict = F.when(F.col("_n") > 0, "refused").when(F.col("n_strings") > 0, "changed").otherwise("same")
+    return names.join(n, "file", "left").na.fill(0, ["n_strings", "_n"]).select("file", verdict.alias("verdict"), "n_strings")

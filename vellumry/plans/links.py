@@ -8,6 +8,7 @@ from vellumry.functions import text as X
 from vellumry.functions import urls as U
 from vellumry.operators import html as H
 from vellumry.operators import integrity as I
+from vellumry.operators import jsonedit as J
 from vellumry.plans._kit import query, table
 
 _RE = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
@@ -163,13 +164,27 @@ def escape_text(spark, d):
     return table(spark, d, "documents").select("doc_id", F.sha2(X.escape_html(t), 256).alias("h"), F.sha2(X.escape_html(t, attribute=True), 256).alias("a"))
 
 
-@query("unix_lines", "SELECT doc_id, sha256(source || chr(10) || text || chr(10) || chr(10) || lang) AS h FROM documents WHERE text NOT LIKE '%' || chr(13) || '%'")
+@query("unix_lines", "SELECT doc_id, sha256(source || chr(10) || replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)) || chr(10) || chr(10) || lang) AS h FROM documents")
 def unix_lines(spark, d):
-    """SNK-03, STR-11."""
-    t = table(spark, d, "documents").where(~F.col("text").contains("\r"))
+    """SNK-03, over all texts."""
+    t = table(spark, d, "documents")
     return t.select("doc_id", F.sha2(X.unix_lines(F.concat("source", F.lit("\r\n"), "text", F.lit("\r\r\n"), "lang")), 256).alias("h"))
 
 
+@query(
+    "utf8_repair",
+    "SELECT doc_id, sha256(CASE doc_id % 4 WHEN 0 THEN text ELSE substr(text, 1, length(text) // 2) || ['<c3>', '<e2><82>', '<f5><80><c0><af>'][(doc_id % 4)::INT] || substr(text, length(text) // 2 + 1) END) AS h FROM documents WHERE doc_id >= 0",
+)
+def utf8_repair(spark, d):
+    """STR-11: whole texts with bytes in the middle that are no characters; a NUL among them goes."""
+    half = F.floor(F.length("text") / 2).cast("int")
+    raw = lambda c: F.hex(F.encode(c, "UTF-8"))
+    bad = F.element_at(F.array(*map(F.lit, ["C3", "E20082", "F580C0AF00"])), (F.col("doc_id") % 4).cast("int"))
+    whole = F.concat(raw(F.substring("text", F.lit(1), half)), bad, raw(F.col("text").substr(half + 1, F.length("text"))))
+    t = table(spark, d, "documents").where("doc_id >= 0")
+    return t.select("doc_id", F.sha2(X.repaired(F.unhex(F.when(F.col("doc_id") % 4 == 0, raw("text")).otherwise(whole)), drop_nul=True), 256).alias("h"))
+
+
 _SHAPES = ["yyyy-MM-dd'T'HH:mm:ss.SSS'Z'", "yyyy-MM-dd HH:mm 'UTC'", "yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss'+02:00 UTC'", "yyyy-MM-dd HH:mm' -0530'", "yyyy-MM-dd HH:mm'+02:'", "dd.MM.yyyy"]
 
 
@@ -231,3 +246,34 @@ def attribute_values(spark, d):
     """HTM-16: elements of a class, every one counted."""
     a = H.attribute_relation(table(spark, d, "pages"), "page_id", "html")
     return a.where((F.col("el") == "div") & (F.col("name") == "class") & H.has_class(F.col("value"), "ad")).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _json_doc(spark, d, after: bool):
+    """A JSON document for each row; the later one differs by doc_id modulo 6: not at all, in a string, in two, in a number, by a member, by a kind."""
+    k = F.col("doc_id") % 6
+    when = lambda n, new, old: F.when(F.lit(after) & (k == n), new).otherwise(old)
+    text = F.to_json(
+        F.struct(
+            F.col("doc_id").alias("id"), when(1, F.reverse("text"), F.col("text")).alias("text"), F.struct(when(2, F.upper("lang"), F.col("lang")).alias("lang"), F.array(when(2, F.concat("source", F.lit("/")), F.col("source")), F.lit("é~/")).alias("tags")).alias("m"),
+            when(3, F.col("n_chars") + 1, F.col("n_chars")).alias("n"), F.when(~(F.lit(after) & (k == 4)), F.lit(True)).alias("flag"), when(5, F.lit("1"), F.lit(None).cast("string")).alias("five"),
+        )
+    )
+    return table(spark, d, "documents").where("doc_id >= 0").select(F.col("doc_id").cast("string").alias("file"), F.encode(text, "UTF-8").alias("content"))
+
+
+_LATER = """SELECT doc_id::VARCHAR AS file, json_object('id', doc_id, 'text', text, 'm', json_object('lang', lang, 'tags', json_array(source, 'é~/')), 'n', n_chars, 'flag', true) AS a,
+    CASE doc_id % 6 WHEN 1 THEN json_object('id', doc_id, 'text', reverse(text), 'm', json_object('lang', lang, 'tags', json_array(source, 'é~/')), 'n', n_chars, 'flag', true)
+      WHEN 2 THEN json_object('id', doc_id, 'text', text, 'm', json_object('lang', upper(lang), 'tags', json_array(source || '/', 'é~/')), 'n', n_chars, 'flag', true)
+      WHEN 3 THEN json_object('id', doc_id, 'text', text, 'm', json_object('lang', lang, 'tags', json_array(source, 'é~/')), 'n', n_chars + 1, 'flag', true)
+      WHEN 4 THEN json_object('id', doc_id, 'text', text, 'm', json_object('lang', lang, 'tags', json_array(source, 'é~/')), 'n', n_chars)
+      WHEN 5 THEN json_object('id', doc_id, 'text', text, 'm', json_object('lang', lang, 'tags', json_array(source, 'é~/')), 'n', n_chars, 'flag', true, 'five', '1') ELSE a END AS b FROM documents WHERE doc_id >= 0 AND text IS NOT NULL AND lang IS NOT NULL AND source IS NOT NULL AND n_chars IS NOT NULL"""
+_TREES = f"""docs AS ({_LATER}), x AS (SELECT file, t.fullkey AS k, t.type AS kind, t.atom AS leaf FROM docs, json_tree(docs.a) t), y AS (SELECT file, t.fullkey AS k, t.type AS kind, t.atom AS leaf FROM docs, json_tree(docs.b) t),
+  d AS (SELECT file, CASE WHEN x.kind IS DISTINCT FROM y.kind THEN 'shape' WHEN x.kind = 'VARCHAR' THEN 'string' ELSE 'leaf' END AS what FROM x FULL JOIN y USING (file, k) WHERE x.kind IS DISTINCT FROM y.kind OR x.leaf::VARCHAR IS DISTINCT FROM y.leaf::VARCHAR)"""
+
+
+@query("json_verdicts", f"WITH {_TREES} SELECT docs.file, CASE WHEN coalesce(count_if(what <> 'string'), 0) > 0 THEN 'refused' WHEN count(what) > 0 THEN 'changed' ELSE 'same' END AS verdict, coalesce(count_if(what = 'string'), 0)::BIGINT AS n_strings FROM docs LEFT JOIN d ON d.file = docs.file GROUP BY docs.file")
+def json_verdicts(spark, d):
+    """JSN-02, JSN-03: documents before and after, node by node, against DuckDB's trees of them."""
+    full = table(spark, d, "documents").where("text IS NOT NULL AND lang IS NOT NULL AND source IS NOT NULL AND n_chars IS NOT NULL").select(F.col("doc_id").cast("string").alias("file"))
+    pair = [_json_doc(spark, d, after).join(full, "file", "left_semi") for after in (False, True)]
+    return J.json_verdicts(*pair)

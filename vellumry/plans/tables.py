@@ -145,6 +145,42 @@ def next_marker_after(spark, d):
     return out.select("event_id", "view_id")
 
 
+_ONE = "SELECT p.event_id, v.event_id AS view_id FROM (SELECT * FROM events WHERE event_type = 'purchase') p ASOF LEFT JOIN (SELECT ts, {0}(event_id) AS event_id FROM events WHERE event_type = 'view' GROUP BY 1) v ON p.ts {1} v.ts"
+
+
+def _one_key(spark, d, look):
+    """Purchases and views of all users, as one key that all rows share."""
+    e = table(spark, d, "events").select("event_id", F.lit("all").alias("k"), "ts", "event_type")
+    out = look(e.where("event_type = 'purchase'"), e.where("event_type = 'view'"), ["k"], "ts", "event_id", "view_id", 4 * spark.sparkContext.defaultParallelism)
+    return out.select("event_id", "view_id")
+
+
+@query("last_marker_one_key", _ONE.format("max", ">="))
+def last_marker_one_key(spark, d):
+    """JON-22, the rows of one key spread over all partitions."""
+    return _one_key(spark, d, A.last_before_spread)
+
+
+@query("next_marker_one_key", _ONE.format("min", "<="))
+def next_marker_one_key(spark, d):
+    """JON-23, likewise."""
+    return _one_key(spark, d, A.first_after_spread)
+
+
+@query(
+    "interval_overlaps",
+    """WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, epoch(o_orderdate)::BIGINT AS lo, epoch(o_orderdate)::BIGINT + 86400 * CASE WHEN o_orderkey % 7 = 0 THEN 1000 ELSE o_orderkey % 40 END AS hi FROM orders)
+       SELECT a.k AS a, b.k AS b FROM o a JOIN o b ON a.c = b.c AND a.k < b.k AND a.lo <= b.hi AND b.lo <= a.hi""",
+)
+def interval_overlaps(spark, d):
+    """Orders of one customer whose times overlap; every seventh is open for a thousand days, the others for some."""
+    lo = F.unix_timestamp(F.date_trunc("second", "o_orderdate"))
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("a"), F.col("o_custkey").alias("c"), lo.alias("lo"))
+    o = o.withColumn("hi", F.col("lo") + 86400 * F.when(F.col("a") % 7 == 0, 1000).otherwise(F.col("a") % 40))
+    other = o.select(F.col("a").alias("b"), "c", F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    return A.overlap_join(o, other, "lo", "hi", "lo2", "hi2", 10 * 86400.0, ["c"]).where("a < b").select("a", "b")
+
+
 @query("range_lookup", "SELECT p_partkey, r AS band FROM part, (VALUES (0, 0.0, 999.99), (1, 1000.0, 1299.99), (2, 1300.0, 1e9)) t(r, lo, hi) WHERE p_retailprice BETWEEN lo AND hi")
 def range_lookup(spark, d):
     bands = spark.createDataFrame([(0, 0.0, 999.99), (1, 1000.0, 1299.99), (2, 1300.0, 1e9)], "band int, lo double, hi double")
