@@ -1,6 +1,6 @@
 """Main text of HTML pages by minimum-cut labelling.
 
-A page is scanned once into text blocks (text between block-level tags, with
+A page is cut into tags once and read into text blocks (text between block-level tags, with
 the open elements above it). A linear classifier over the block's elements,
 class words, length, ending and share of linked text gives the cost of each label; the
 costs are the capacities from the source (content) and to the sink (the rest).
@@ -10,6 +10,11 @@ flow separates content from the rest at least cost: so a heading, a word of a li
 a line of three words, which the classifier alone would take for a label of a menu, stays
 with the paragraphs around it.
 
+What HTML itself names (nav, aside, footer, form, menu, dialog, a header outside the article), and all beneath an element whose class, id
+or role names chrome, has a capacity to the sink that no length outweighs, whatever articles or bodies lie in it. If a page would have no
+content so, forms and weaker names (a whole page in a form, an article in a "legal" box) are left to the classifier; if
+still none, the costs are shifted until the best block is content. Only a page whose every text is in named chrome has none.
+
 The classifier's weights are fitted by logistic regression, and the edges' capacity by the
 number of wrong labels, on labelled pages made from a rule (layouts.py), once a process.
 
@@ -17,11 +22,11 @@ Blocks are joined in page order by one newline, white space inside a block is
 one space, character references are decoded. Scripts, styles, templates,
 controls, drawings, comments and hidden elements never become blocks.
 
-Defined results: null and empty pages, and pages without content, give "" and 0.
-Repeated rows give equal rows, an empty table no rows; other columns are ignored. Markup that never
-ends is closed by the page's end, a control, drawing or other left out element without an end tag by
-its parent's end (also where the parent's end tag is left out), a self-closed one at once. Work is linear in
-the page's size, however deep elements are nested.
+Defined results: null and empty pages, and pages without text, give "" and 0.
+Repeated rows give equal rows, an empty table no rows; other columns are ignored. A tag or comment that never
+ends takes the rest of the page, as in browsers; a control, drawing or other left out element without an end tag ends with
+its parent (also where the parent's end tag is left out), a self-closed one at once. Work is linear in
+the page's size but for the flow, however deep elements are nested and whatever is left open.
 """
 
 from __future__ import annotations
@@ -51,6 +56,8 @@ HOLDS_HTML = set("foreignobject desc title annotation-xml mi mo mn ms mtext".spl
 #: Start tags that end an open element by themselves, beside CLOSES_P for p.
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr"}, "tbody": {"tr"}, "option": {"option"}}
 LEFT_OUT = set("nav footer aside form menu dialog fieldset legend".split())
+#: Elements of these that some pages put around everything.
+WEAK_ELEMENTS = {"form", "fieldset"}
 # Words of class, id and role attributes. A name is chrome if it is one of these words, or if its first or
 # last part is one of STRONG: "post-comments" is, "side-by-side" and "legal-form" aren't.
 STRONG = set(
@@ -69,10 +76,100 @@ MOST_WORDS = 40
 #: Share of an edge's capacity that is left between blocks of differing regions (one of them an advert, say).
 ACROSS = 0.1
 
-_TAG = re.compile(r"<(?:!--|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>|[!?/][^>]*+>)", re.S)
-_ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+_REST = re.compile(r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+", re.S)
+_ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
 _PARTS = re.compile(r"[^a-z0-9]+")
-_UNQUOTED = re.compile(r"=\s*[^\s\"'>]*/$")
+
+
+class Tag:
+    """A tag of a page: from start to end of its markup, or of a raw-text element's whole markup."""
+
+    __slots__ = ("start", "end", "name", "rest", "closing", "jump")
+
+    def __init__(self, start: int, end: int, name: str, rest: str, closing: bool):
+        self.start, self.end, self.name, self.rest, self.closing = start, end, name, rest, closing
+        self.jump: int | None = None  # of left out elements with an end: the tag that goes on behind them
+
+
+def tags(page: str) -> tuple[list[Tag], int]:
+    """(tags of a page in order, comments and raw texts left out; where its last text ends). One walk from front to back."""
+    out: list[Tag] = []
+    drawings, pos, n = 0, 0, len(page)
+    while True:
+        start = page.find("<", pos)
+        if start < 0 or start + 1 == n:
+            return out, n
+        sign = page[start + 1]
+        closing = sign == "/"
+        m = _NAME.match(page, start + 1 + closing)
+        if m is None:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                end = -1 if end < 0 else end + 3
+            elif sign in "!?/":
+                end = page.find(">", start)
+                end = -1 if end < 0 else end + 1
+            else:
+                pos = start + 1
+                continue
+            if end < 0:
+                return out, start
+            out.append(Tag(start, end, "", "", False))
+            pos = end
+            continue
+        name, stop = m[0].lower(), _REST.match(page, m.end()).end()
+        if stop == n:
+            return out, start
+        rest, end = page[m.end() : stop], stop + 1
+        if name in FOREIGN:
+            drawings = max(0, drawings - 1) if closing else drawings + (not _closed(rest))
+        if not closing and name in RAW and not (drawings and _closed(rest)):
+            end = _raw_end(page, name, end)
+        out.append(Tag(start, end, name, rest, closing))
+        pos = end
+
+
+def find_ends(found: list[Tag]) -> None:
+    """Set jump of left out elements that end by their own end tag (behind it) or, drawings, by a tag that breaks out (at it)."""
+    open_: list[tuple[str, int]] = []
+    many: Counter = Counter()
+
+    def pop() -> tuple[str, int]:
+        x = open_.pop()
+        many[x[0]] -= 1
+        if drawings and drawings[-1] == len(open_):
+            drawings.pop()
+        elif holders and holders[-1] == len(open_):
+            holders.pop()
+        return x
+
+    drawings: list[int] = []  # places of open drawings, and of elements in them that hold HTML
+    holders: list[int] = []
+    for k, t in enumerate(found):
+        if not t.name or t.name in RAW and not t.closing:
+            continue
+        if t.closing:
+            while many[t.name]:
+                name, at = pop()
+                if name == t.name:
+                    if name in SKIPPED:
+                        found[at].jump = k + 1
+                    break
+            continue
+        if drawings and t.name in BREAKS_OUT and (not holders or holders[-1] < drawings[-1]):
+            to = drawings[-1]
+            while len(open_) > to:
+                name, at = pop()
+            found[at].jump = k
+        if t.name in VOID or _closed(t.rest):
+            continue
+        if t.name in FOREIGN:
+            drawings.append(len(open_))
+        elif drawings and t.name in HOLDS_HTML:
+            holders.append(len(open_))
+        open_.append((t.name, k))
+        many[t.name] += 1
 
 
 class Node:
@@ -103,16 +200,26 @@ class Block:
         self.text, self.node, self.linked, self.state, self.tag = text, node, linked, state, tag
 
 
-def _chrome_words(names: list[str]) -> set[str]:
-    """The words of class, id and role names that tell of chrome."""
-    out = set()
+def _chrome_words(tag: str, names: list[str]) -> tuple[set[str], set[str]]:
+    """(chrome that class, id and role names are, chrome that they have as first or last part).
+
+    An article's or main element's own name must be a strong word, alone or with numbers: "comment-17" is, "comment-theory" isn't.
+    """
+    whole, part = set(), set()
     for name in names:
         parts = [p for p in _PARTS.split(name) if p]
-        if name in CHROME:
-            out.add(name)
+        if tag in ("article", "main"):
+            words = {p for p in parts if not p.isdigit()}
+            whole |= words & STRONG if len(words) == 1 else set()
+        elif name in CHROME:
+            whole.add(name)
         elif parts:
-            out.update({parts[0], parts[-1]} & STRONG)
-    return out
+            part |= {parts[0], parts[-1]} & STRONG
+    return whole, part
+
+
+#: How surely an element and all beneath it is no content: not named, by a weaker name, by HTML or a strong name.
+FREE, WEAK, SURE = 0, 1, 2
 
 
 def _state(above: dict, tag: str, rest: str) -> dict:
@@ -124,25 +231,27 @@ def _state(above: dict, tag: str, rest: str) -> dict:
             name, value = m[1].lower(), (m[2] or m[3] or m[4] or "")
             if name in ("class", "id", "role"):
                 names += value.lower().split()
-            elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I)):
+            elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*+:\s*+none|visibility\s*+:\s*+hidden", value, re.I)):
                 hidden = True
-    left_out, chrome, body, header, sealed = above["left_out"], above["chrome"], above["body"], above["header"], above["sealed"]
+    level, chrome, body = above["level"], above["chrome"], above["body"]
     if tag in LEFT_OUT:
-        left_out = True
-    found = _chrome_words(names) if tag not in ("html", "body") else set()
-    words = {p for x in names for p in (x, *_PARTS.split(x))}
-    if found:
-        # body counts for nothing in chrome that is nearer, nor do body elements in an advert, notice or comment of the text
-        sealed = sealed or body and bool(found - LAYOUT)
-        chrome, body = True, False
-    elif not sealed and (tag in ("article", "main") or (words & BODY and tag not in ("html", "body", "a", "p", "span"))):
-        body = True
-    if tag == "header" and not above["body"]:
-        header = True
-    return {"left_out": left_out, "chrome": chrome, "body": body, "header": header, "hidden": hidden, "sealed": sealed}
+        level = max(level, WEAK if tag in WEAK_ELEMENTS else SURE)
+    elif tag == "header" and not body:
+        level = SURE
+    if tag not in INLINE and tag not in ("html", "body"):
+        whole, part = _chrome_words(tag, names)
+        if whole & STRONG:
+            level = SURE
+        elif whole or part - LAYOUT:
+            level = max(level, WEAK)
+        elif part:
+            chrome, body = True, False
+        elif level == FREE and (tag in ("article", "main") or {p for x in names for p in (x, *_PARTS.split(x))} & BODY):
+            chrome, body = False, True
+    return {"level": level, "chrome": chrome, "body": body, "hidden": hidden}
 
 
-_NONE = {"left_out": False, "chrome": False, "body": False, "header": False, "hidden": False, "sealed": False}
+_NONE = {"level": FREE, "chrome": False, "body": False, "hidden": False}
 
 
 @lru_cache(64)
@@ -159,64 +268,30 @@ def _raw_end(page: str, tag: str, pos: int) -> int:
 def _closed(rest: str) -> bool:
     """Whether a start tag closes itself; a slash at the end of an unquoted value doesn't."""
     rest = rest.rstrip()
-    return rest.endswith("/") and not _UNQUOTED.search(rest)
-
-
-def _skipped_end(page: str, tag: str, pos: int, above: Counter) -> int:
-    """Where a left out element ends: after its end tag, or before what ends one of the open elements above it."""
-    n = len(page)
-    inner: list[str] = []
-    implied = -1
-    closable = _end_tag(tag).search(page, pos) is not None
-    while implied < 0 or closable:
-        m = _TAG.search(page, pos)
-        if m is None:
-            break
-        pos = m.end()
-        if m[0] == "<!--":
-            stop = page.find("-->", pos)
-            pos = n if stop < 0 else stop + 3
-            continue
-        if m["name"] is None:
-            continue
-        name = m["name"].lower()
-        if m["end"]:
-            if name in inner:
-                while inner.pop() != name:
-                    pass
-            elif name == tag:
-                return pos
-            elif above[name]:
-                return implied if implied >= 0 else m.start()
-            continue
-        html_inside = tag not in FOREIGN or any(x in HOLDS_HTML for x in inner)
-        if not html_inside and name in BREAKS_OUT or name == tag and tag in ("button", "select"):
-            return implied if implied >= 0 else m.start()
-        if implied < 0 and "table" not in inner and (name in CLOSES_P and above["p"] or any(above[x] for x in SAME.get(name, ()))):
-            implied = m.start()
-        if name in VOID or _closed(m["rest"]):
-            continue
-        if name in RAW and html_inside:
-            pos = _raw_end(page, name, pos)
-        else:
-            inner.append(name)
-    return implied if implied >= 0 else n
+    if not rest.endswith("/"):
+        return False
+    last = max(rest.rfind(c) for c in " \t\n\r\f\"'") + 1
+    return "=" not in rest[last:] and not rest[:last].rstrip().endswith("=")
 
 
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in page order."""
+    found, end = tags(page)
+    find_ends(found)
     out: list[Block] = []
     root = Node(None)
     stack: list[tuple[str, dict, Node]] = []  # open elements; an inline one has the node of the block around it
-    open_: Counter = Counter()
+    places: dict[str, list[int]] = {}  # of each tag, where it stands in the stack
+    around: list[tuple[int, str, dict]] = [(-1, "", _NONE)]  # the blocks of the stack
+    walls: list[int] = [-1]  # blocks that an end tag of an inline element doesn't reach across
     parts: list[str] = []
-    linked, pos, n = 0, 0, len(page)
+    linked = 0
 
     def add(raw: str) -> None:
         nonlocal linked
-        if raw:
+        if raw and not (stack and stack[-1][1]["hidden"]):
             parts.append(raw)
-            if open_["a"]:
+            if places.get("a"):
                 linked += len(raw)
 
     def flush() -> None:
@@ -224,99 +299,90 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                state = stack[-1][1] if stack else _NONE
-                if not state["hidden"]:
-                    out.append(Block(text, stack[-1][2] if stack else root, linked, state, block_tag[-1]))
+                _, tag, state = around[-1]
+                out.append(Block(text, stack[-1][2] if stack else root, linked, state, tag))
             parts.clear()
         linked = 0
 
-    block_tag = [""]
+    def top(*names: str) -> int:
+        return max((places[x][-1] for x in names if places.get(x)), default=-1)
 
     def close(k: int) -> None:
-        for t, _, _ in stack[k:]:
-            open_[t] -= 1
-            if t not in INLINE:
-                block_tag.pop()
-        del stack[k:]
-
-    while True:
-        m = _TAG.search(page, pos)
-        if m is None:
-            add(page[pos:])
-            break
-        add(page[pos : m.start()])
-        pos = m.end()
-        if m[0] == "<!--":
-            stop = page.find("-->", pos)
-            pos = n if stop < 0 else stop + 3
-            continue
-        if m["name"] is None:
+        while len(stack) > k:
+            places[stack.pop()[0]].pop()
+            if around[-1][0] == len(stack):
+                around.pop()
+            if walls[-1] == len(stack):
+                walls.pop()
+
+    k = pos = 0
+    while k < len(found):
+        t = found[k]
+        add(page[pos : t.start])
+        pos, k = t.end, k + 1
+        tag = t.name
+        if not tag:
             continue
-        tag = m["name"].lower()
-        if not m["end"]:
-            if tag in RAW or tag in SKIPPED:
-                if tag in RAW:
-                    pos = _raw_end(page, tag, pos)
-                elif not _closed(m["rest"]):
-                    pos = _skipped_end(page, tag, pos, open_)
-                parts.append(" ")
-                continue
-            if tag == "br":
-                parts.append(" ")
-                continue
+        if t.closing:
             if tag not in INLINE:
                 flush()
-                if tag in CLOSES_P and open_["p"]:
-                    for k in range(len(stack) - 1, -1, -1):
-                        if stack[k][0] == "p":
-                            close(k)
-                            break
-                        if stack[k][0] not in INLINE:
-                            break
-                same = SAME.get(tag, ())
-                if any(open_[x] for x in same):
-                    for k in range(len(stack) - 1, -1, -1):
-                        if stack[k][0] in same:
-                            close(k)
-                            break
-                        if stack[k][0] in ("ul", "ol", "dl", "table", "tr", "div", "article", "section"):
-                            break
-            if tag in VOID or _closed(m["rest"]):
+            at = top(tag)
+            if at >= 0 and (tag not in INLINE or at > walls[-1]):
+                close(at)
+            continue
+        if tag in RAW or tag == "br":
+            add(" ")
+            continue
+        if tag in SKIPPED:
+            add(" ")
+            if _closed(t.rest):
                 continue
-            above = stack[-1][1] if stack else _NONE
-            node = stack[-1][2] if stack else root
-            if tag not in INLINE:
-                node = Node(node)
-                block_tag.append(tag)
-            stack.append((tag, _state(above, tag, m["rest"]), node))
-            open_[tag] += 1
-        else:
-            if tag not in INLINE:
-                flush()
-            if not open_[tag]:
+            if t.jump is not None:
+                k = t.jump
+                pos = found[k - 1].end if found[k - 1].closing and found[k - 1].name == tag else found[k].start
                 continue
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
-                if tag in INLINE and stack[k][0] not in INLINE:
-                    break
+            # it has no end of its own: it hides what follows until an element around it ends
+            if tag in ("button", "select") and (at := top(tag)) > walls[-1]:
+                close(at)
+            places.setdefault(tag, []).append(len(stack))
+            stack.append((tag, {**(stack[-1][1] if stack else _NONE), "hidden": True}, stack[-1][2] if stack else root))
+            continue
+        if tag not in INLINE:
+            flush()
+            if tag in CLOSES_P and (at := top("p")) >= 0 and at == walls[-1]:
+                close(at)
+            if (same := SAME.get(tag)) and (at := top(*same)) > top("ul", "ol", "dl", "table", "div", "article", "section", *([] if "tr" in same else ["tr"])):
+                close(at)
+        if tag in VOID or _closed(t.rest):
+            continue
+        above = stack[-1][1] if stack else _NONE
+        node, state = stack[-1][2] if stack else root, _state(above, tag, t.rest)
+        if tag not in INLINE:
+            node = Node(node)
+            around.append((len(stack), tag, state))
+            walls.append(len(stack))
+        places.setdefault(tag, []).append(len(stack))
+        stack.append((tag, state, node))
+    add(page[pos:end])
     flush()
     return out
 
 
 #: What the classifier reads of a block, in the order of its weights.
-FEATURES = ("bias", "left_out", "chrome", "chrome_words", "body", "outside", "page_header", "p", "heading", "li", "td", "words", "linked", "linked_words", "sentence")
+FEATURES = ("bias", "chrome", "chrome_words", "body", "outside", "p", "heading", "li", "td", "words", "linked", "linked_words", "sentence")
+#: Capacity that no cut pays for.
+SEALED = 1e6
 
 
 def features(found: list[Block]) -> np.ndarray:
-    has_body = any(b.state["body"] and not b.state["chrome"] for b in found)
+    has_body = any(b.state["body"] and b.state["level"] == FREE for b in found)
     out = np.zeros((len(found), len(FEATURES)))
     for i, b in enumerate(found):
         s, n = b.state, min(b.text.count(" ") + 1, MOST_WORDS) / MOST_WORDS
         linked = min(1.0, b.linked / len(b.text))
+        chrome = s["chrome"] or s["level"] > FREE
         out[i] = (
-            1, s["left_out"], s["chrome"], s["chrome"] * n, s["body"], has_body and not s["body"], s["header"], b.tag in ("p", "pre", "blockquote", "figcaption"),
+            1, chrome, chrome * n, s["body"], has_body and not s["body"], b.tag in ("p", "pre", "blockquote", "figcaption"),
             b.tag in ("h1", "h2", "h3", "h4"), b.tag == "li", b.tag in ("td", "th"), n, linked, linked * n, b.text[-1] in ".!?:;\"”»…",
         )
     return out
@@ -328,11 +394,22 @@ class Labeller:
     def __init__(self, weights: np.ndarray, smooth: float):
         self.weights, self.smooth = weights, smooth
 
-    def costs(self, found: list[Block]) -> list[float]:
-        return (features(found) @ self.weights).tolist()
+    def costs(self, found: list[Block]) -> np.ndarray:
+        return features(found) @ self.weights
 
     def labels(self, found: list[Block]) -> list[bool]:
-        return min_cut(self.costs(found), edges(found, self.smooth))
+        level = np.array([b.state["level"] for b in found])
+        cost, links = self.costs(found), edges(found, self.smooth)
+        for free in (FREE, WEAK):
+            kept = min_cut(np.where(level > free, -SEALED, cost).tolist(), links)
+            if any(kept) or free == FREE and not (level == WEAK).any():
+                break
+        if not any(kept) and (level < SURE).any():
+            least = FREE if (level == FREE).any() else WEAK
+            best = int(np.argmax(np.where(level > least, -np.inf, cost)))
+            kept = min_cut(np.where(level > least, -SEALED, cost - cost[best] + 1e-3).tolist(), links)
+            kept[best] = True
+        return kept
 
 
 #: Made pages that weights and capacity are fitted on, capacities tried, and how weights are kept small.
@@ -341,11 +418,13 @@ MADE, TRIED, SHRINK = 500, (0.0, 0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 6.0), 1e-3
 
 @lru_cache(1)
 def labeller() -> Labeller:
-    """Fitted on made pages: half for the weights (logistic regression, Newton's steps), half for the capacity with the fewest wrong labels (the smaller of equal ones)."""
+    """Fitted on made pages: half for the weights (logistic regression, Newton's steps, on blocks that no name decides), half for the capacity with the fewest wrong labels (the smaller of equal ones)."""
     made = [b for b in map(blocks, layouts.pages(MADE, seed=20)) if b]
     truth = [np.array([b.text[0] == layouts.CONTENT for b in found]) for found in made]
     half = len(made) // 2
     x, y = np.concatenate([features(b) for b in made[:half]]), np.concatenate(truth[:half]).astype(float)
+    free = np.array([b.state["level"] == FREE for found in made[:half] for b in found])
+    x, y = x[free], y[free]
     w = np.zeros(x.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))

@@ -8,6 +8,7 @@ article begin with CONTENT, all others with OTHER, so each block of text tells i
 from __future__ import annotations
 
 import random
+import re
 
 CONTENT, OTHER = "c", "x"
 
@@ -18,7 +19,7 @@ def _words(r: random.Random, mark: str, n: int, end: str = "") -> str:
 
 def _size(r: random.Random, article: bool = False) -> int:
     """Words of a piece: what surrounds articles is mostly short, paragraphs of articles mostly aren't."""
-    return r.choice([2, 5, 10, 18, 25, 35, 50, 70, 110] if article else [1, 2, 3, 4, 6, 8, 12, 20, 60])
+    return r.choice([2, 5, 10, 18, 25, 35, 50, 70, 110] if article else [1, 2, 3, 4, 6, 8, 12, 20, 60, 60])
 
 
 def _links(r: random.Random, mark: str, n: int, tag: str = "li") -> str:
@@ -27,7 +28,7 @@ def _links(r: random.Random, mark: str, n: int, tag: str = "li") -> str:
 
 def _chrome(r: random.Random) -> str:
     """One piece of what isn't the article."""
-    kind = r.randrange(12)
+    kind = r.randrange(16)
     w = lambda n, end=".": _words(r, OTHER, n, end)
     if kind == 0:
         return f"<nav><ul>{_links(r, OTHER, r.randint(2, 8))}</ul></nav>"
@@ -50,6 +51,15 @@ def _chrome(r: random.Random) -> str:
         tag = r.choice(["p", "p", "p", "div", "li"])
         parts = [f"<{tag}>{w(r.randint(1, 8), r.choice(['.', ':', '']))}</{tag}>" if r.random() < 0.3 else f'<{tag}><a href="/n">{w(r.randint(1, 6), "")}</a></{tag}>' for _ in range(r.randint(4, 10))]
         return f"<div class=\"b{r.randrange(99)}\">{''.join(parts)}</div>"
+    inner = "".join(f"<{x}>{w(_size(r))}</{x}>" for x in r.choices(["p", "p", "h3", "div"], k=r.randint(1, 3)))
+    if kind == 12:
+        tag = r.choice(["footer", "aside", "form", "dialog"])
+        return f"<{tag}>{inner}</{tag}>"
+    if kind == 13:  # articles and bodies beneath chrome
+        outer = r.choice(['<section id="comments">', '<div class="comments">', '<div class="sidebar">', '<section class="related">', "<aside>", "<footer>"])
+        return outer + r.choice(["<article>{}</article>", '<div class="post">{}</div>', '<div class="content">{}</div>', "<main>{}</main>"]).format(inner) + f"</{re.match('<([a-z]+)', outer)[1]}>"
+    if kind == 14:
+        return f"<header><h2>{w(2, '')}</h2>{inner}</header>" if r.random() < 0.5 else f"<form>{inner}</form>"
     return f"<footer><p>{w(_size(r))}</p></footer>"
 
 
@@ -82,10 +92,10 @@ def page(r: random.Random) -> str:
     body = [f"<h1>{_words(r, CONTENT, r.randint(1, 9))}</h1>"] if r.random() < 0.8 else []
     for _ in range(r.randint(1, 14)):
         body.append(_piece(r))
-        if r.random() < 0.1:
-            body.append(_chrome(r))
+        if r.random() < 0.1 and not (piece := _chrome(r)).startswith("<header"):
+            body.append(piece)
     start, end = r.choice(
-        [("<article>", "</article>"), ("<main>", "</main>"), ('<div class="entry-content">', "</div>"), ('<div id="story">', "</div>"), ("<div>", "</div>"), ("<main><article>", "</article></main>"), ('<div class="page"><div>', "</div></div>"), ("", "")]
+        [("<article>", "</article>"), ("<main>", "</main>"), ('<div class="entry-content">', "</div>"), ('<div id="story">', "</div>"), ("<div>", "</div>"), ("<main><article>", "</article></main>"), ('<div class="page"><div>', "</div></div>"), ("", ""), ('<div class="has-sidebar"><div class="entry-content">', "</div></div>"), ('<div class="legal">', "</div>")]
     )
     return f"<html><body>{before}{start}{''.join(body)}{end}{after}</body></html>"
 
