@@ -21,7 +21,7 @@ from vellumry.functions import text as X
 from vellumry.functions import urls as U
 from vellumry.operators import html as H
 from vellumry.operators import rules as L
-from vellumry.operators.checks import Abort, Check
+from vellumry.operators.checks import Abort, Check, run_checks
 from vellumry.operators.integrity import first_k, gap_ranges
 from vellumry.operators.secrets import ANYWHERE, SLUG, WORD, find_values
 
@@ -48,7 +48,8 @@ class Site:
     (file, size, sha256: of the source); fragments (file, url, content: of the search index, url null if it can't be read) and page_count
     (of its entry); locs (loc: of the sitemap); kept (address, kept: of the allowlist's report); report (file, rule, n: of the redaction);
     verbatim (origin, value: strings of the unredacted source, None without one) and redacted_verbatim (it is a redacted copy itself);
-    attachments (file, kind, n: addresses in documents, null if unreadable); spot (ids to compare by eye)."""
+    attachments (file, kind, n: addresses in documents, null if unreadable, complete; see operators/attachments); spot (ids to compare by eye);
+    held (tables that were persisted for the site, freed by release())."""
 
     spark: SparkSession
     host: str
@@ -68,6 +69,7 @@ class Site:
     redacted_verbatim: bool = False
     attachments: DataFrame | None = None
     spot: list[int] = field(default_factory=list)
+    held: list[DataFrame] = field(default_factory=list)
 
     @cached_property
     def renderable(self) -> DataFrame:
@@ -100,7 +102,7 @@ class Site:
         return L.parse(self.texts.where("file = '_redirects'"), "text").persist()
 
     def release(self) -> None:
-        for x in (self.attributes, self.shown, self.rules):
+        for x in self.held + [self.__dict__[k] for k in ("attributes", "shown", "rules") if k in self.__dict__]:
             x.unpersist()
 
     def rows(self, values: list[tuple], schema: str) -> DataFrame:
@@ -390,9 +392,9 @@ def verbatim(s: Site) -> DataFrame:
 
 
 def attachments(s: Site) -> DataFrame:
-    """Facts: documents by kind, with addresses, unreadable."""
-    d = s.attachments if s.attachments is not None else s.rows([], "file string, kind string, n long")
-    return _facts(pdf=d.where("kind = 'pdf'"), word=d.where("kind = 'word'"), with_addresses=d.where("n > 0"), unreadable=d.where("n IS NULL"))
+    """Facts: documents by kind, with addresses, unreadable, read in part."""
+    d = s.attachments if s.attachments is not None else s.rows([], "file string, kind string, n long, complete boolean")
+    return _facts(pdf=d.where("kind = 'pdf'"), word=d.where("kind = 'word'"), with_addresses=d.where("n > 0"), unreadable=d.where("n IS NULL"), incomplete=d.where("NOT complete"))
 
 
 # ---- 7 to 9: what to look at, and what mustn't be there
@@ -488,6 +490,14 @@ def redirects(s: Site) -> DataFrame:
     )
 
 
+def audit(s: Site) -> DataFrame:
+    """All rows of the audit; what was persisted for it is freed, however it ends."""
+    try:
+        return run_checks(s.spark, checks(s))
+    finally:
+        s.release()
+
+
 def checks(s: Site) -> list[Check]:
     """The seventeen rows of the audit."""
     nothing = lambda: s.rows([], "offender string")

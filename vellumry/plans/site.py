@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vellumry.functions.text import escape_html
 from vellumry.operators import assets as S
+from vellumry.operators import attachments as T_
 from vellumry.operators import audit as A
 from vellumry.operators import checks as C
 from vellumry.operators import hierarchy as T
@@ -228,6 +229,7 @@ def _site(spark, d) -> A.Site:
     more = F.concat(
         F.when(i % 31 == 6, f'<p title="see {HOST}">q</p>').otherwise(""), F.when(i % 41 == 8, '<a href="/t/none/0/">n</a>').otherwise(""), F.when(i % 43 == 9, '<a href="#nope">n</a>').otherwise(""),
         F.when(i % 53 == 11, F.concat(F.lit("<p>q"), i, F.lit("@mail.example</p>"))).otherwise(""), F.when(i % 61 == 13, '<p data-x="1">d</p>').otherwise(""), F.when((i % 59 == 12) & (i % 2 == 0), F.concat(F.lit("<p>secretvalue"), i, F.lit("x</p>"))).otherwise(""),
+        F.when(i % 13 == 5, F.concat(F.lit('<a href="http://ext'), i % 3, F.lit('.example/x">e</a>'))).otherwise(""), F.when(i % 13 == 6, '<aside class="onebox"><a class="inline-onebox" href="https://zoom.example/j?pwd=REDACTED">z</a></aside>').otherwise(""),
     )
     canon = F.when(i % 37 == 7, f"https://{HOST}/").otherwise(F.concat(F.lit(f"https://{HOST}/t/"), "slug", F.lit("/"), i, F.lit("/")))
     page = t.withColumnRenamed("id", "topic_id").join(parts, "topic_id", "left")
@@ -248,7 +250,7 @@ def _site(spark, d) -> A.Site:
     frags = wanted.select(F.concat(F.lit("pagefind/"), F.sha2("url", 256)).alias("file"), "url", F.lit("").alias("content"))
     verbatim = t.where("id % 59 = 12").select(F.concat(F.lit("topic/"), "id").alias("origin"), F.concat(F.lit("http://z.example/j?pwd=SecretValue"), "id", F.lit("X&a")).alias("value"))
     t, posts, pages, files, texts = t.persist(), posts.persist(), pages.persist(), files.persist(), texts.persist()
-    return A.Site(spark, HOST, t.withColumn("stream_n", F.col("n") + F.when(F.col("id") % 11 == 3, 1).otherwise(0)), posts, _categories(spark), files, pages, texts, assets, frags, page_count=t.count() + len(_CATEGORIES) + 1, verbatim=verbatim, spot=[-1])
+    return A.Site(spark, HOST, t.withColumn("stream_n", F.col("n") + F.when(F.col("id") % 11 == 3, 1).otherwise(0)), posts, _categories(spark), files, pages, texts, assets, frags, page_count=t.count() + len(_CATEGORIES) + 1, verbatim=verbatim, spot=[-1], held=[t, posts, pages, files, texts])
 
 
 _MAIL_A = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
@@ -274,7 +276,52 @@ _MAIL_A = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 )
 def audit_site(spark, d):
     """CHK-1 to CHK-11: seventeen rows over a site with faults."""
-    return C.run_checks(spark, A.checks(_site(spark, d))).select("id", "status", "n_failures")
+    return A.audit(_site(spark, d)).select("id", "status", "n_failures")
+
+
+def _pdf(text) -> F.Column:
+    """A PDF that shows a text, as bytes; characters beyond Latin-1 as question marks."""
+    for c in ("\\", "(", ")"):
+        text = F.replace(text, F.lit(c), F.lit("\\" + c))
+    return F.encode(F.concat(F.lit("%PDF-1.4\n1 0 obj\n<< /Length 0 >>\nstream\nBT ("), F.regexp_replace(text, r"[^\x00-\xff]", "?"), F.lit(") Tj ET\nendstream\nendobj\n")), "ISO-8859-1")
+
+
+@query(
+    "attachment_scan",
+    f"""SELECT 'a/' || doc_id || '.pdf' AS file, 'pdf' AS kind, CASE WHEN doc_id % 10 = 7 THEN 0 ELSE len(list_filter(regexp_extract_all(text, '{_MAIL_A}'), lambda x: lower(regexp_extract(x, '[^.]*$')) NOT IN ({', '.join(f"'{e}'" for e in A.NOT_ADDRESSES)}))) END::BIGINT AS n, doc_id % 10 <> 7 AS complete
+       FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL""",
+)
+def attachment_scan(spark, d):
+    """SRC-17, CHK-6d: every whole text as a PDF file, every tenth with a broken stream, and as many files of other kinds."""
+    docs = table(spark, d, "documents").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    broken = F.encode(F.lit("%PDF-1.4\n1 0 obj\n<< /Filter /FlateDecode >>\nstream\nnot deflated\nendstream\nendobj\n"), "UTF-8")
+    name = lambda e: F.concat(F.lit("a/"), "doc_id", F.lit(e)).alias("file")
+    files = docs.select(name(".pdf"), F.when(F.col("doc_id") % 10 == 7, broken).otherwise(_pdf(F.col("text"))).alias("content"))
+    return T_.scan(files.unionByName(docs.select(name(".txt"), F.encode("text", "UTF-8").alias("content"))))
+
+
+@query(
+    "audit_facts",
+    f"""WITH {_P}, {_T}, h AS (SELECT id, id % 17 <> 1 AS page, id % 13 = 6 AS box, id % 13 = 5 AS link FROM t), n AS (SELECT count_if(page AND box) AS b, count_if(page AND link) AS l FROM h),
+  ext AS (SELECT 'ext' || (id % 3) || '.example' AS host, count(*) AS n FROM h WHERE page AND link GROUP BY 1 UNION ALL SELECT 'zoom.example', b FROM n WHERE b > 0)
+  SELECT '1' AS id, 'pages=' || (SELECT count_if(page) + count_if(id % 29 = 3) + 7 FROM h) || ', wanted=' || (SELECT count(*) + 4 FROM h) AS facts
+  UNION ALL SELECT '4b', (SELECT coalesce(string_agg(host || '=' || n, ', ' ORDER BY host), '') FROM ext)
+  UNION ALL SELECT '5', 'uploads/default/o=' || (SELECT count(*) FROM t)
+  UNION ALL SELECT '6b', 'mentions=0, redacted_marks=0, redacted_spans=0, reported_redactions=' || (SELECT sum(id % 5) FROM t) || ', rlkey_links=0, view_only_links=0, zoom_links=' || b || ', zoom_links_redacted=' || b FROM n
+  UNION ALL SELECT '6d', 'incomplete=' || count_if(id % 9 = 0) || ', pdf=' || count_if(id % 3 = 0) || ', unreadable=0, with_addresses=' || count_if(id % 6 = 0 AND id % 9 <> 0) || ', word=0' FROM t
+  UNION ALL SELECT '7', (SELECT coalesce(string_agg('topic ' || id || ' images=-1', ', ' ORDER BY 'topic ' || id), '') FROM p WHERE id IN (10, 57) AND number = 2 AND type = 1)
+  UNION ALL SELECT '8', 'external_images=0, external_links=' || (b + l) || ', inline_oneboxes=' || b || ', oneboxes=' || b || ', polls=0, videos=0' FROM n""",
+)
+def audit_facts(spark, d):
+    """CHK-1, 4b, 5, 6b, 6d, 7, 8, AGG-14 to 16: what the audit tells besides faults, with attachments, a report and topics to look at."""
+    s = _site(spark, d)
+    t = s.topics.select("id")
+    s.report = t.select(F.concat(F.lit("topic/"), "id").alias("file"), F.lit("R2").alias("rule"), (F.col("id") % 5).alias("n"))
+    text = F.when(F.col("id") % 6 == 0, F.concat(F.lit("ask u"), "id", F.lit("@mail.example"))).otherwise("nobody (here)")
+    broken = F.encode(F.lit("%PDF-1.4\n1 0 obj\n<< /Filter /FlateDecode >>\nstream\nx\nendstream\nendobj\n"), "UTF-8")
+    s.attachments = T_.scan(t.select(F.concat("id", F.lit(".bin")).alias("file"), F.when(F.col("id") % 9 == 0, broken).when(F.col("id") % 3 == 0, _pdf(text)).otherwise(F.encode(F.lit("x"), "UTF-8")).alias("content")))
+    s.spot = [10, 57]
+    return A.audit(s).where(F.col("id").isin("1", "4b", "5", "6b", "6d", "7", "8")).select("id", "facts")
 
 
 @query("audit_table", """SELECT '1' AS id, 'FAIL' AS status, count(*)::BIGINT AS n_failures, (SELECT string_agg(k, ', ' ORDER BY k) FROM (SELECT o_orderkey::VARCHAR AS k FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) ORDER BY k LIMIT 10)) AS failures FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)

@@ -64,8 +64,14 @@ def mapped(raw: bytes, m: tuple) -> str:
 
 def text_of(raw: bytes | None) -> str | None:
     """The text that a PDF shows, runs joined, lines where positions change; null for other content."""
+    return read(raw)[0]
+
+
+def read(raw: bytes | None) -> tuple[str | None, bool]:
+    """(text, complete): the text as text_of gives it, and whether every stream was read, whole; beyond the limits above, or broken, one isn't."""
     if raw is None or b"%PDF-" not in raw[:1024]:
-        return None
+        return None, False
+    complete = True
     starts = [(m.start(), m.end(), int(m[1])) for m in _OBJECT.finditer(raw)]
     objects: dict[int, bytes] = {}
     streams: dict[int, bytes] = {}
@@ -74,13 +80,18 @@ def text_of(raw: bytes | None) -> str | None:
         body = raw[at:end]
         cut = re.search(rb"\bstream\r?\n", body)
         objects[number] = body[: cut.start()] if cut else body
-        if cut and len(streams) < MOST_STREAMS:
+        if cut:
             data = body[cut.end() : body.rfind(b"endstream")]
-            if len(data) <= MOST_RAW:
-                try:
-                    streams[number] = zlib.decompressobj().decompress(data, MOST_INFLATED) if b"FlateDecode" in objects[number] else data[:MOST_INFLATED]
-                except zlib.error:
-                    pass
+            if len(streams) >= MOST_STREAMS or len(data) > MOST_RAW:
+                complete = False
+                continue
+            try:
+                whole = zlib.decompressobj()
+                packed = b"FlateDecode" in objects[number]
+                streams[number] = whole.decompress(data, MOST_INFLATED) if packed else data[:MOST_INFLATED]
+                complete &= not whole.unconsumed_tail and whole.eof if packed else len(data) <= MOST_INFLATED
+            except zlib.error:
+                complete = False
     maps = {n: cmap(s) for n, s in streams.items() if b"beginbf" in s}
     fonts: dict[bytes, set[int]] = {}
     for o in objects.values():
@@ -103,7 +114,7 @@ def text_of(raw: bytes | None) -> str | None:
                 shown = b"".join(_bytes(x) for x in _STRING.finditer(m[2] or m[3]))
                 out.append(mapped(shown, font) if font else shown.decode("latin-1"))
         out.append("\n")
-    return re.sub(r"\n{2,}", "\n", "".join(out)).strip("\n")
+    return re.sub(r"\n{2,}", "\n", "".join(out)).strip("\n"), complete
 
 
 def pdf_text(content: Column) -> Column:
