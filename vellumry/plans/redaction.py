@@ -171,16 +171,25 @@ def secret_value_scan(spark, d):
 # ---- JSON files, one for each document: {"id": n, "tags": ["lang"], "text": "..."} in a file's own spelling
 
 
+#: What a literal needs escaped, backslashes first; and what a changed literal escapes besides.
+_CONTROL = {8: "\\b", 9: "\\t", 10: "\\n", 12: "\\f", 13: "\\r"}
+_NEEDED = [("\\", "\\\\"), ('"', '\\"'), *[(chr(k), _CONTROL.get(k, f"\\u{k:04x}")) for k in range(1, 32)]]
+_BESIDES = [(c, f"\\u{ord(c):04x}") for c in "<>&  "]
+
+
 def _files(spark, d):
     esc = F.col("text")
-    for a, b in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+    for a, b in _NEEDED:
         esc = F.replace(esc, F.lit(a), F.lit(b))
+    esc = F.when(F.col("text").rlike(r'[\x01-\x1f"\\]'), esc).otherwise(F.col("text"))
     body = F.concat(F.lit('{ "id" : '), "doc_id", F.lit(',\t"tags":["'), "lang", F.lit('", "\\u00e9\\/"],"text":"'), esc, F.lit(' x?pwd=a<1"}\n'))
-    return _docs(spark, d).where(~F.col("text").rlike(r"[\x00-\x08\x0b\x0c\x0e-\x1f<>&  ]")).select(F.col("doc_id").cast("string").alias("file"), F.encode(body, "UTF-8").alias("content"))
+    return _docs(spark, d).select(F.col("doc_id").cast("string").alias("file"), F.encode(body, "UTF-8").alias("content"))
 
 
-_PLAIN = f"{_FROM} AND NOT regexp_matches(text, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f<>&\\x{{2028}}\\x{{2029}}]')"
-_ESC = "replace(replace(replace(replace(replace({}, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n'), chr(13), '\\r'), chr(9), '\\t')"
+_PLAIN = f"{_FROM} AND lang IS NOT NULL"
+_ESC = "{}"
+for _a, _b in [*_NEEDED, *_BESIDES]:
+    _ESC = f"replace({_ESC}, chr({ord(_a)}), '{_b}')"
 
 
 @query("json_redacted_files", f"""SELECT doc_id::VARCHAR AS file, sha256('{{ "id" : ' || doc_id || ',' || chr(9) || '"tags":["' || lang || '", "\\u00e9\\/"],"text":"' || {_ESC.format(_SAFE)} || ' x?pwd=REDACTED\\u003c1"}}' || chr(10)) AS h {_PLAIN}""")
