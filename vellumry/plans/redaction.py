@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vellumry.functions import redact as R
 from vellumry.functions.text import scrub
 from vellumry.operators import jsonedit as J
-from vellumry.operators.secrets import ANYWHERE, find_values
+from vellumry.operators.secrets import ANYWHERE, find_many_values, find_values
 from vellumry.plans._kit import query, table
 
 _MAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
@@ -154,20 +154,30 @@ def scrubbed(spark, d):
     return _docs(spark, d).select("doc_id", F.sha2(scrub(F.concat("text", F.lit(" ?pwd="), _value(), F.lit("&x"))), 256).alias("h"))
 
 
-@query(
-    "secret_value_scan",
-    r"""WITH w AS (SELECT item_id, string_split(lower(text), ' ') AS w FROM benchmark WHERE text IS NOT NULL), s AS (SELECT item_id, array_to_string(w[i:i+5], ' ') AS v FROM (SELECT item_id, w, unnest(range(1, len(w) - 4)) AS i FROM w))
-        SELECT s.item_id, count(DISTINCT d.doc_id)::BIGINT AS n_docs FROM s JOIN documents d ON contains(lower(d.text), s.v) GROUP BY s.item_id""",
-)
-def secret_value_scan(spark, d):
-    """JON-21: every run of six words of every listed item against every whole text, in one pass over the texts."""
+_SIX_WORDS = r"""WITH w AS (SELECT item_id, string_split(lower(text), ' ') AS w FROM benchmark WHERE text IS NOT NULL), s AS (SELECT item_id, array_to_string(w[i:i+5], ' ') AS v FROM (SELECT item_id, w, unnest(range(1, len(w) - 4)) AS i FROM w))
+        SELECT s.item_id, count(DISTINCT d.doc_id)::BIGINT AS n_docs FROM s JOIN documents d ON contains(lower(d.text), s.v) GROUP BY s.item_id"""
+
+
+def _six_words(spark, d, find):
     w = table(spark, d, "benchmark").where("text IS NOT NULL").select("item_id", F.split(F.lower("text"), " ").alias("w")).where("size(w) >= 6")
     runs = w.select("item_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - 5), lambda i: F.array_join(F.slice("w", i, F.lit(6)), " "))).alias("value"))
     values = runs.select(F.col("item_id").cast("string").alias("id"), F.lit(ANYWHERE).alias("kind"), "value").distinct()
-    hit = find_values(table(spark, d, "documents").where("doc_id IS NOT NULL"), "doc_id", "text", values).distinct()
+    hit = find(table(spark, d, "documents").where("doc_id IS NOT NULL"), "doc_id", "text", values).distinct()
     return hit.groupBy(F.col("id").cast("long").alias("item_id")).agg(F.count(F.lit(1)).alias("n_docs"))
 
 
+@query("secret_value_scan", _SIX_WORDS)
+def secret_value_scan(spark, d):
+    """JON-21: every run of six words of every listed item against every whole text, in one pass over the texts."""
+    return _six_words(spark, d, find_values)
+
+
+@query("secret_values_joined", _SIX_WORDS)
+def secret_values_joined(spark, d):
+    """JON-21, RED-11: the same by joins on rare pieces of the values."""
+    return _six_words(spark, d, find_many_values)
+
+
 # ---- JSON files, one for each document: {"id": n, "tags": ["lang"], "text": "..."} in a file's own spelling
 
 
