@@ -14,7 +14,8 @@ A text of Latin-1 characters is lower-cased and cut into words at once, by the s
 pattern with its classes written out. Of other texts, a run without white space is the
 unit that is looked up, as no word crosses white space. Words and runs are encoded once for
 each worker (their tables are bounded and start afresh when full). Special tokens in a text
-are recognised as the library does.
+are recognised as the library does. Letters, numbers and small letters are the library's, whose Unicode data are of another
+version than Python's: what differs is listed below and tested for every code point.
 
 Null texts count as empty; an empty text has no ids and decodes to "". Ids that the vocabulary
 doesn't have decode to nothing. Repeated rows give equal rows, very long texts are encoded whole, an
@@ -50,6 +51,29 @@ _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _SEPARATORS = "\x1c\x1d\x1e\x1f"
 _SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
+# Code points that newer Unicode data call letters or numbers and the library doesn't, and capitals that it
+# lower-cases and Python may not yet (first, last, distance to the small letter).
+NOT_LETTERS = [
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F), (0x209D, 0x209F), (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2),
+    (0xA7F1, 0xA7F1), (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7), (0x10ED9, 0x10EEE), (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DF1, 0x11DF1), (0x16EA0, 0x16EB8),
+    (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF3), (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20), (0x18D80, 0x18DF2), (0x18E00, 0x19191), (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168),
+    (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24), (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE), (0x1E6E0, 0x1E6E2), (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4),
+    (0x1E6FE, 0x1E6FF), (0x2B73A, 0x2B73F), (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F),
+]
+NOT_NUMBERS = [(0x11DE0, 0x11DE9), (0x1246F, 0x1246F), (0x12475, 0x1247F), (0x12550, 0x12686), (0x16FF4, 0x16FF6)]
+CAPITALS = [
+    (0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1), (0xA7D4, 0xA7D4, 1), (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, 0x19B - 0xA7DC),
+    (0x10D50, 0x10D65, 0x20), (0x16EA0, 0x16EB8, 0x1B),
+]
+_SMALL = {c: c + d for a, b, d in CAPITALS for c in range(a, b + 1)} | {ord("Σ"): ord("σ")}
+
+
+def _pinned(pattern: str) -> str:
+    """The pattern with letters and numbers as the library knows them, in sets of the regex module's version 1."""
+    for name, out in ((r"\p{L}", NOT_LETTERS), (r"\p{N}", NOT_NUMBERS)):
+        pattern = pattern.replace(name, "[" + name + "--[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in out) + "]]")
+    return pattern
+
 
 def _byte_letters() -> list[str]:
     """The printable letter that byte-level vocabularies use for each byte."""
@@ -126,7 +150,7 @@ class Encoder:
             raise ValueError("a special token with white space would be cut")
         self._special_re = re.compile("(" + "|".join(map(re.escape, sorted(self._special, key=len, reverse=True))) + ")") if self._special else None
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self._words = regex.compile(pattern)
+        self._words = regex.compile(_pinned(pattern), regex.V1)
         self._latin_words = _written_out(pattern)
         self._runs = _Table(self._run, tables[0])
         self._known = _Table(self._word_ids, tables[1])
@@ -207,7 +231,7 @@ class Encoder:
             if part in self._special:
                 out.append(self._special[part])
                 continue
-            part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
+            part = unicodedata.normalize("NFC", part).translate(_SMALL).lower()
             out.extend(map(self._known.__getitem__, self._words.findall(part)))
         return b"".join(out)
 
