@@ -1,3 +1,3 @@
 """Imports every module that registers queries."""
 
-from vellumry.plans import links, redaction, search, site, tables, tree  # noqa: F401
+from vellumry.plans import links, redaction, search, sessions, site, tables, tree  # noqa: F401
