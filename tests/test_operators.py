@@ -1,6 +1,7 @@
 """Relational operators, sources, sinks and the stream on small tables."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -91,6 +92,18 @@ def test_rules_beyond_the_limit(spark):
     assert rows(found) == [("too many", "dynamic"), ("too many", "static")]
 
 
+def test_rules_without_a_literal_start(spark):
+    """Each rule against each URL by a plain matcher; sources that end, or go on, with their literal text are met by it."""
+    sources = ["/*/old/page", "/:a/archive/*", "/*", "/:a/:b", "/*.html", "/x*/y:n/z", "/:lang/3*", "*", "/a*a", "/*/b/*/c", "/plain", "/::x/q", "/*old/"]
+    paths = ["/", "/x/old/page", "/old/page", "/x/archive/", "/x/archive/1/2", "/a/b", "/en/31/x", "/k.html", "/x1/y2/z", "/x/y/z", "/aa", "/a", "/b/b/c", "/q/b/r/c", "/:k/q", "", "/x/old/old/", "old/"]
+    one = lambda s: re.sub(r":[A-Za-z_]\w*|\*|.", lambda m: ".*" if m[0] == "*" else "[^/]+" if len(m[0]) > 1 else re.escape(m[0]), s)
+    want = sorted((u, s) for s in sources if "*" in s or ":" in s for u in paths if re.fullmatch(one(s), u))
+    rule = spark.createDataFrame([(s,) for s in [*sources, None, sources[0]]], "source string")
+    urls = spark.createDataFrame([(u,) for u in [*paths, None]], "url string")
+    assert rows(rules.covered(rule, urls)) == want and len(want) > 25
+    assert rules.covered(rule.limit(0), urls).count() == rules.covered(rule, urls.limit(0)).count() == 0
+
+
 def test_checks_isolate_faults(spark):
     ok = checks.Check("1", "fine", lambda: spark.createDataFrame([], "offender string"))
     bad = checks.Check("2", "broken", lambda: spark.table("no_such_table"))

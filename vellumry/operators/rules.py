@@ -160,12 +160,13 @@ def served_urls(files: DataFrame) -> DataFrame:
     return files.where("file IS NOT NULL").select(F.explode(forms).alias("x")).select("x.*").where("url IS NOT NULL").distinct()
 
 
-def under_prefix(urls: DataFrame, url: str, prefixes: DataFrame) -> DataFrame:
+def under_prefix(urls: DataFrame, url: str, prefixes: DataFrame, sizes: list[int] | None = None) -> DataFrame:
     """urls with a column prefix: every prefix (of the table prefixes) that the URL begins with, one row each.
 
-    A theta join as an equi-join: a URL has one row for each length that a prefix has.
+    A theta join as an equi-join: a URL has one row for each length that a prefix has. `sizes`: these lengths, where they are known.
     """
-    sizes = sorted(r.n for r in prefixes.select(F.length("prefix").alias("n")).distinct().collect())
+    if sizes is None:
+        sizes = sorted(r.n for r in prefixes.select(F.length("prefix").alias("n")).distinct().collect())
     if not sizes:
         return urls.withColumn("prefix", F.lit(None).cast("string")).limit(0)
     heads = F.array(*[F.when(F.length(url) >= n, F.substring(url, 1, n)) for n in sizes])
@@ -175,13 +176,29 @@ def under_prefix(urls: DataFrame, url: str, prefixes: DataFrame) -> DataFrame:
 def covered(rules: DataFrame, urls: DataFrame) -> DataFrame:
     """urls (url) that a dynamic rule matches: (url, source).
 
-    A source's text before its first wildcard narrows the URLs to be tried (an equi-join
-    on prefixes); the whole pattern decides. However many rules there are, each is tried.
+    The longest literal text of a source narrows the URLs to be tried: what it starts with, what it ends with, or the
+    literal start of one of its segments, each by an equi-join. The whole pattern decides. However many rules there are, each is
+    tried; one that names nothing but slashes and wildcards is tried on every URL, as it matches most.
     """
+    text = F.split("source", r":[A-Za-z_]\w*|\*")
+    inner = F.flatten(F.transform(text, lambda p: F.slice(F.split(p, "/"), F.lit(2), F.size(F.split(p, "/")))))
+    way = lambda name, key: F.struct(F.length(key).alias("n"), F.lit(name).alias("way"), key.alias("key"))
+    ways = [way("start", F.get(text, F.lit(0))), way("end", F.reverse(F.element_at(text, -1))), way("segment", F.coalesce(F.array_max(F.transform(inner, lambda x: F.struct(F.length(x).alias("n"), x.alias("s"))))["s"], F.lit("")))]
     dynamic = rules.where(is_dynamic(F.col("source"))).select("source").distinct()
-    dynamic = dynamic.select("source", F.regexp_extract("source", "^[^:*]*", 0).alias("prefix"), glob_regex(F.col("source")).alias("_re"))
-    met = under_prefix(urls.select("url").distinct(), "url", dynamic).join(dynamic, "prefix").where("url RLIKE _re")
-    return urls.join(met.select("url", "source"), "url").select("url", "source")
+    dynamic = dynamic.select("source", glob_regex(F.col("source")).alias("_re"), F.greatest(*ways).alias("_w"))
+    dynamic = dynamic.select("source", "_re", F.col("_w.way").alias("way"), F.col("_w.key").alias("prefix"))
+    sizes: dict[str, list[int]] = {}
+    for r in dynamic.select("way", F.length("prefix").alias("n")).distinct().collect():
+        sizes.setdefault(r.way, []).append(r.n)
+    one = urls.select("url").where("url IS NOT NULL").distinct()
+    seen = {"start": F.col("url"), "end": F.reverse("url"), "segment": F.explode(F.array_distinct(F.split("url", "/")))}
+    met = [
+        under_prefix(one.withColumn("_seen", seen[w]), "_seen", mine := dynamic.where(F.col("way") == w), sorted(n)).join(mine, "prefix").where("url RLIKE _re").select("url", "source")
+        for w, n in sorted(sizes.items())
+    ]
+    if not met:
+        return one.withColumn("source", F.lit(None).cast("string")).limit(0)
+    return urls.join(reduce(DataFrame.unionByName, met).distinct(), "url").select("url", "source")
 
 
 def _flag(df: DataFrame, problem: str, what: Column | str) -> DataFrame:

@@ -260,10 +260,11 @@ def leftover_in_order(spark, d):
     return out.select("conv_id", (F.col("pos") + 1).alias("pos"), "turn")
 
 
-@query("font_objects", "SELECT p_brand, min(p_size)::INT AS size FROM part GROUP BY p_brand HAVING count(DISTINCT p_size) = 1")
+@query("font_objects", "SELECT o_custkey, min(o_orderstatus) AS status FROM orders GROUP BY o_custkey HAVING count(DISTINCT o_orderstatus) = 1")
 def font_objects(spark, d):
     """AGG-16: names that stand for one object only."""
-    return table(spark, d, "part").groupBy("p_brand").agg(F.countDistinct("p_size").alias("n"), F.min("p_size").alias("size")).where("n = 1").select("p_brand", "size")
+    few = table(spark, d, "orders").groupBy("o_custkey").agg(F.countDistinct("o_orderstatus").alias("n"), F.min("o_orderstatus").alias("status"))
+    return few.where("n = 1").select("o_custkey", "status")
 
 
 @query("set_intersection", "SELECT lang, count(*)::BIGINT AS n FROM (SELECT lang, text FROM documents WHERE doc_id % 2 = 0 INTERSECT SELECT lang, text FROM documents WHERE doc_id % 2 = 1) GROUP BY lang")
