@@ -90,6 +90,22 @@ def test_common_word_on_many_partitions(spark, tmp_path):
     assert len(of) == 4 and sum(of) == 2000 and max(of) < 800
 
 
+@pytest.mark.parametrize("name, bound", [("SMALL", 0), ("PUSHED", 1)])
+def test_many_words_asked(spark, index, monkeypatch, name, bound):
+    """Beyond each bound the join is another one, the result the same."""
+    path, docs = index
+    monkeypatch.setattr(X, name, bound)
+    asked = spark.createDataFrame(ASKED, "query_id long, text string")
+    want = [(q, *x) for q, t in dict(ASKED).items() if q is not None for x in _best(docs, t, 3)]
+    assert sorted(map(tuple, X.search(spark, path, asked, 3).collect())) == sorted(want)
+
+
+def test_words_are_pushed_into_the_scan(spark, index):
+    path, _ = index
+    plan = X.search(spark, path, spark.createDataFrame([(1, "rare h")], "query_id long, text string"))._jdf.queryExecution().toString()
+    assert "In(word, [h,rare])" in plan and "BroadcastHashJoin" in plan
+
+
 def test_empty_tables(spark, tmp_path, index):
     path, docs = index
     none = spark.createDataFrame([], "doc_id long, text string")

@@ -19,6 +19,8 @@ repeated rows change nothing. Columns other than the two named aren't read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +33,11 @@ K1, B = 1.2, 0.75
 #: Scores are sums of whole millionths, so that they don't depend on the order of summing.
 UNIT = 1_000_000
 
+#: Up to this many different words asked are pushed into the scan, so only their row groups are read.
+PUSHED = 500
+#: Up to this many rows of (query, word) are broadcast, so the index isn't shuffled; beyond, Spark chooses the join.
+SMALL = 500_000
+
 _DELTA = {"parquet.writer.version": "PARQUET_2_0", "parquet.enable.dictionary#doc_ids.list.element": "false", "parquet.enable.dictionary#places.list.element.list.element": "false"}
 
 
@@ -65,8 +72,7 @@ def search(spark: SparkSession, path: str, queries: DataFrame, k: int = 10, id_c
     are sure to hold, a document in each. Queries without id or words find nothing; rows of one id are one query.
     """
     facts = _facts(spark, path)
-    asked = _weighted(spark, path, queries, facts, id_col, text_col)
-    blocks = spark.read.parquet(f"{path}/blocks")
+    asked, blocks = _narrowed(spark, path, _weighted(spark, path, queries, facts, id_col, text_col))
     left = blocks_to_open(asked, blocks, k)
     hits = asked.join(blocks.select("word", "block", "doc_ids", "counts", "sizes"), "word").join(left, ["query_id", "block"])
     each = hits.select("query_id", "idf", F.explode(F.arrays_zip("doc_ids", "counts", "sizes")).alias("e"))
@@ -98,8 +104,7 @@ def phrases(spark: SparkSession, path: str, queries: DataFrame, id_col: str = "q
     q = queries.select(F.col(id_col).alias("query_id"), F.col(text_col).alias("t")).where("query_id IS NOT NULL").groupBy("query_id").agg(F.max("t").alias("t"))
     at = q.select("query_id", F.posexplode(tokens(F.col("t"))).alias("i", "word"))
     need = at.groupBy("query_id").agg(F.count(F.lit(1)).alias("length"), F.countDistinct("word").alias("different"))
-    words = at.groupBy("query_id", "word").agg(F.collect_list("i").alias("at"))
-    blocks = spark.read.parquet(f"{path}/blocks")
+    words, blocks = _narrowed(spark, path, at.groupBy("query_id", "word").agg(F.collect_list("i").alias("at")))
     full = words.join(blocks.select("word", "block"), "word").groupBy("query_id", "block").agg(F.count(F.lit(1)).alias("c"))
     full = full.join(need, "query_id").where("c = different").select("query_id", "block", "length", "different")
     hits = words.join(blocks.select("word", "block", "doc_ids", "places"), "word").join(full, ["query_id", "block"])
@@ -129,6 +134,20 @@ def _millionths(c: Column) -> Column:
     return F.floor(c * F.lit(UNIT) + F.lit(0.5)).cast("long")
 
 
+def _narrowed(spark: SparkSession, path: str, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The words asked, broadcast where they are counted to be few, and the blocks, read for these words alone where they are very few."""
+    blocks = spark.read.parquet(f"{path}/blocks")
+    n = asked.count()
+    if n > SMALL:
+        return asked, blocks
+    words = sorted(r.word for r in asked.select("word").distinct().limit(PUSHED + 1).collect())
+    if len(words) <= PUSHED:
+        # Lists of at most ten values reach Parquet's statistics value by value, longer ones by their least and greatest alone.
+        lists = [F.col("word").isin(words[i : i + 10]) for i in range(0, len(words), 10)]
+        blocks = blocks.where(reduce(Column.__or__, lists, F.lit(False)))
+    return F.broadcast(asked), blocks
+
+
 def _weighted(spark: SparkSession, path: str, queries: DataFrame, facts, id_col: str, text_col: str) -> DataFrame:
     """The different words of each query with their rarity: query_id, word, idf."""
     q = queries.select(F.col(id_col).alias("query_id"), F.explode(tokens(F.col(text_col))).alias("word")).where("query_id IS NOT NULL").distinct()
