@@ -37,10 +37,10 @@ def fulltext_top10(spark, d):
 
 @query(
     "fulltext_phrases",
-    rf"""WITH d AS (SELECT doc_id, w, array_to_string(w, ' ') AS t FROM (SELECT doc_id, {_WORDS} AS w FROM documents)),
-         q AS (SELECT item_id AS query_id, ({_WORDS})[1:3] AS p FROM benchmark WHERE len({_WORDS}) > 0)
-         SELECT * FROM (SELECT query_id, doc_id, len(list_filter(range(1, len(w) + 1), lambda i: w[i:i + len(p) - 1] = p))::BIGINT AS n
-                        FROM q JOIN d ON contains(t, array_to_string(p, ' '))) WHERE n > 0""",
+    rf"""WITH d AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM (SELECT doc_id, {_WORDS} AS w FROM documents)),
+         t AS (SELECT doc_id, a, lead(a) OVER o AS b, lead(a, 2) OVER o AS c FROM d WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+         q AS (SELECT item_id AS query_id, w[1] AS a, w[2] AS b, w[3] AS c FROM (SELECT item_id, {_WORDS} AS w FROM benchmark))
+         SELECT query_id, doc_id, count(*)::BIGINT AS n FROM q JOIN t ON q.a = t.a AND (q.b IS NULL OR q.b = t.b) AND (q.c IS NULL OR q.c = t.c) GROUP BY query_id, doc_id""",
 )
 def fulltext_phrases(spark, d):
     """Documents with the first three words of each text side by side."""
