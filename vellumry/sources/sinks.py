@@ -124,10 +124,11 @@ def fingerprint(files: DataFrame, path: Column, digest: Column) -> DataFrame:
 
 #: Addresses that a sitemap may hold.
 SITEMAP_URLS = 50_000
+SITEMAP_FOOT = "</urlset>"
 
 
-def sitemap_lines(urls: DataFrame, column: str) -> DataFrame:
-    """(part, ord, line): sitemaps of the distinct URLs in byte order, SITEMAP_URLS each, as lines to be written in the order of ord."""
+def sitemap_lines(urls: DataFrame, column: str, split: bool = True) -> DataFrame:
+    """(part, ord, line): sitemaps of the distinct URLs in byte order, SITEMAP_URLS each, as lines to be written in the order of ord; without split one of all URLs (part 0)."""
     u = urls.select(F.col(column).alias("u")).where("u IS NOT NULL").distinct()
     cuts = u.repartitionByRange("u").select("u", F.spark_partition_id().alias("p"))
     from pyspark.sql import Window
@@ -135,10 +136,13 @@ def sitemap_lines(urls: DataFrame, column: str) -> DataFrame:
     n = cuts.withColumn("k", F.row_number().over(Window.partitionBy("p").orderBy("u")))
     before = n.groupBy("p").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     n = n.join(F.broadcast(before), "p").withColumn("k", F.col("k") + F.col("before") - 1)
-    body = n.select(F.floor(F.col("k") / SITEMAP_URLS).alias("part"), (F.col("k") % SITEMAP_URLS + 1).alias("ord"), F.concat(F.lit("<url><loc>"), sitemap_loc(F.col("u")), F.lit("</loc></url>")).alias("line"))
+    part, ord_ = (F.floor(F.col("k") / SITEMAP_URLS), F.col("k") % SITEMAP_URLS) if split else (F.lit(0).cast("long"), F.col("k"))
+    body = n.select(part.alias("part"), (ord_ + 1).alias("ord"), F.concat(F.lit("<url><loc>"), sitemap_loc(F.col("u")), F.lit("</loc></url>")).alias("line"))
     parts = body.select("part").distinct()
     head = parts.select("part", F.lit(0).cast("long").alias("ord"), F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">').alias("line"))
-    foot = parts.select("part", F.lit(SITEMAP_URLS + 1).cast("long").alias("ord"), F.lit("</urlset>").alias("line"))
+    foot = parts.select("part", F.lit(SITEMAP_URLS + 1).cast("long").alias("ord"), F.lit(SITEMAP_FOOT).alias("line"))
+    if not split:
+        foot = body.groupBy("part").agg((F.greatest(F.max("ord"), F.lit(SITEMAP_URLS)) + 1).alias("ord")).select("part", "ord", F.lit(SITEMAP_FOOT).alias("line"))
     return head.unionByName(body).unionByName(foot)
 
 

@@ -229,16 +229,17 @@ def copy_checked(spark: SparkSession, files: DataFrame, source: str, target: str
     return spread.mapInArrow(copy, "file string, bytes long, sha256 string")
 
 
-def site_files(pages: DataFrame, host: str, texts: dict[str, str] | None = None) -> DataFrame:
+def site_files(pages: DataFrame, host: str, texts: dict[str, str] | None = None, split: bool = True) -> DataFrame:
     """pages (file, kind, html) and what a site has besides: (file, content) of pages, sitemaps, robots.txt and further texts (name -> text).
 
-    The sitemap lists all pages but those of what isn't found; beyond SITEMAP_URLS addresses there are several, and sitemap.xml lists them.
+    The sitemap lists all pages but those of what isn't found; beyond SITEMAP_URLS addresses there are several, and sitemap.xml lists them,
+    or, without split, one sitemap.xml holds all of them (a row of some 60 bytes an address).
     """
     spark = pages.sparkSession
     encoded = lambda c: F.encode(c, "UTF-8")
     own = pages.select("file", encoded(F.col("html")).alias("content"))
     urls = pages.where("kind <> 'not_found'").select(F.concat(F.lit(f"https://{host}"), page_url(F.col("file"))).alias("u"))
-    lines = sitemap_lines(urls, "u").groupBy("part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "line"))), lambda x: x["line"]), "\n").alias("t"))  # SITEMAP_URLS lines at most
+    lines = sitemap_lines(urls, "u", split).groupBy("part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "line"))), lambda x: x["line"]), "\n").alias("t"))  # with split SITEMAP_URLS lines at most
     several = lines.agg(F.count(F.lit(1)).alias("parts"))
     maps = lines.crossJoin(F.broadcast(several)).select(  # one row
         F.when(F.col("parts") == 1, "sitemap.xml").otherwise(F.concat(F.lit("sitemap-"), (F.col("part") + 1).cast("string"), F.lit(".xml"))).alias("file"), encoded(F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?>\n'), "t", F.lit("\n"))).alias("content")
