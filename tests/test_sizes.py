@@ -36,3 +36,13 @@ def test_one_sitemap_ends_behind_its_last_address(spark, monkeypatch):
     got = sorted(map(tuple, sinks.sitemap_lines(urls, "u", split=False).collect()))
     assert [r[:2] for r in got] == [(0, k) for k in range(5)] and got[-1][2] == "</urlset>" and got[3][2] == "<url><loc>c</loc></url>"
     assert sinks.sitemap_lines(urls.limit(0), "u", split=False).isEmpty()
+
+
+def test_mailto_links_of_documents_without_text_or_id(spark, tmp_path):
+    rows = [(1, "mail a@b.org", "en", "src0"), (2, None, "en", "src0"), (None, "x", "de", "src1"), (5, "y", "fr", "src2")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(registry.oracle_sql()["red01_mailto"]).fetchall()
+    got = registry.queries()["red01_mailto"](spark, str(tmp_path)).select("doc_id", "h").collect()
+    assert len(got) == 4 and sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))

@@ -36,12 +36,13 @@ def red02(spark, d):
     return table(spark, d, "documents").select("doc_id", F.sha2(R.email_redacted(F.col("text")), 256).alias("text_sha256"))
 
 
-@query("red01_mailto", f"""SELECT doc_id, sha256('<p>' || CASE WHEN doc_id % 3 = 2 THEN '<a TITLE=x href=mailto:[email redacted]>' || source || '</A >' ELSE '<span class="email-redacted">' || source || '</span>' END || ', <a href="/x">' || lang || '</a> ' || {_SAFE}) AS h {_FROM}""")
+@query("red01_mailto", f"""SELECT doc_id, sha256('<p>' || CASE WHEN doc_id % 3 = 2 THEN '<a TITLE=x href=mailto:[email redacted]>' || source || '</A >' ELSE '<span class="email-redacted">' || source || '</span>' END || ', <a href="/x">' || lang || '</a> ' || {_SAFE}) AS h FROM documents""")
 def red01(spark, d):
-    """RED-01; a link without quotes is left to R2."""
+    """RED-01, a row for every document, null where a part is null; a link without quotes is left to R2."""
     q = _pick('"', "'", "")
     link = F.concat(F.lit("<p><a "), _pick("", 'class="m" ', "TITLE=x "), F.lit("href="), q, F.lit("mailto:u"), "doc_id", F.lit("@"), "source", F.lit(".example.org"), q, F.lit(">"), "source", F.lit("</A >"))
-    return _docs(spark, d).select("doc_id", F.sha2(R.redact(F.concat(link, F.lit(', <a href="/x">'), "lang", F.lit("</a> "), "text")), 256).alias("h"))
+    docs = table(spark, d, "documents").withColumns({"id": F.col("doc_id"), "doc_id": F.coalesce("doc_id", F.lit(0))})
+    return docs.select(F.col("id").alias("doc_id"), F.sha2(R.redact(F.concat(link, F.lit(', <a href="/x">'), "lang", F.lit("</a> "), "text")), 256).alias("h"))
 
 
 @query("red03_obfuscated", f"""SELECT doc_id, sha256('ask ' || CASE doc_id % 5 WHEN 3 THEN 'jo' || doc_id || ' (at) example.org' WHEN 4 THEN 'jo' || doc_id || ' (at] b {{dot) org' ELSE '[email redacted]' END || ' now; Vienna (AT) 21.May ' || {_SAFE}) AS h {_FROM}""")
