@@ -46,3 +46,17 @@ def test_mailto_links_of_documents_without_text_or_id(spark, tmp_path):
     want = con.execute(registry.oracle_sql()["red01_mailto"]).fetchall()
     got = registry.queries()["red01_mailto"](spark, str(tmp_path)).select("doc_id", "h").collect()
     assert len(got) == 4 and sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
+def test_files_redacted_in_one_pass(spark):
+    """A file is one row from reading to writing: equal names, and none, don't matter, and no content is shuffled."""
+    from vellumry.operators import jsonedit as J
+
+    raw = ['{"a@b.org":"me a@b.org"}', '["x","you c@d.org \\\\u00e9<\\u2028"]', "[1", '["\\u0000 a@b.org"]', '[""]']
+    files = spark.createDataFrame([("f", x.encode()) for x in raw[:2]] + [(None, x.encode()) for x in raw] + [("n", None)], "file string, content binary")
+    done, report = J.redact_files(files)
+    new = ['{"a@b.org":"me [email redacted]"}', '["x","you [email redacted] \\\\u00e9\\u003c\\u2028"]', *raw[2:]]
+    want = [("f", x) for x in new[:2]] + [(None, x) for x in new] + [("n", None)]
+    assert sorted(map(repr, [(r.file, r.content and bytes(r.content).decode()) for r in done.collect()])) == sorted(map(repr, want))
+    assert "Exchange" not in done._jdf.queryExecution().executedPlan().toString()
+    assert {(r.file, r.rule, r.n) for r in report.collect()} == {("f", "R2", 2), (None, "R2", 2)}

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 
 from vellumry.functions import redact as R
 
-_STRING = re.compile(rb'"(?:[^"\\]|\\.)*"', re.S)
+_STRING = re.compile(rb'"[^"\\]*(?:\\.[^"\\]*)*"', re.S)
 _SURROGATE = re.compile(r"\\u([dD][89abAB][0-9a-fA-F]{2})(\\u[dD][c-fC-F][0-9a-fA-F]{2})?|\\u([dD][c-fC-F][0-9a-fA-F]{2})")
 # What a changed literal escapes by letter, and what it writes as \uxxxx besides control characters.
 _LETTERS = {"\\": "\\\\", '"': '\\"', "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
 _CODES = "<>&  "
+_ESCAPED = re.compile(rf'[\x00-\x1f"\\{_CODES}]')
 
 
 def strict(text: str) -> object:
@@ -52,18 +53,19 @@ def tokens(raw: bytes) -> list[tuple[int, int, bool]]:
 
 def decode(literal: str) -> str:
     """The value of a literal; NUL escapes and surrogates without their other half are refused, as they can't be read safely."""
-    if re.search(r"(?<!\\)(?:\\\\)*\\u0000", literal):
-        raise ValueError("a NUL escape")
-    bare = literal.replace("\\\\", "")
-    for m in _SURROGATE.finditer(bare):
-        if m[3] or (m[1] and not m[2]):
-            raise ValueError("half a surrogate pair")
+    if "\\u" in literal:
+        if re.search(r"(?<!\\)(?:\\\\)*\\u0000", literal):
+            raise ValueError("a NUL escape")
+        bare = literal.replace("\\\\", "")
+        for m in _SURROGATE.finditer(bare):
+            if m[3] or (m[1] and not m[2]):
+                raise ValueError("half a surrogate pair")
     return json.loads(literal, strict=False)
 
 
 def encode(value: str) -> str:
     """The literal of a changed value: quotes, backslashes, control characters, < > & and the two line separators escaped, all else as it is."""
-    return '"' + "".join(_LETTERS.get(c) or (f"\\u{ord(c):04x}" if c < " " or c in _CODES else c) for c in value) + '"'
+    return '"' + _ESCAPED.sub(lambda m: _LETTERS.get(m[0]) or f"\\u{ord(m[0]):04x}", value) + '"'
 
 
 def splice(raw: bytes, edits: list[tuple[int, int, bytes]]) -> bytes:
@@ -122,6 +124,21 @@ def leaf_changes(a: object, b: object) -> list[tuple[str, str]] | None:
 _LITERAL = "file string, ord int, start long, stop long, is_key boolean, value string, error string"
 
 
+def _read(raw: bytes | None) -> list[tuple[int, int, bool, str]]:
+    """(start, end, is a key, value) of every string literal of a file; a ValueError if it isn't JSON that can be edited safely."""
+    if raw is None:
+        raise ValueError("no content")
+    text = raw.decode("utf-8")
+    if "\0" in text:
+        raise ValueError("a NUL")
+    doc = strict(text)
+    found = [(s, e, k, decode(raw[s:e].decode())) for s, e, k in tokens(raw)]
+    values, keys = strings(doc)
+    if len(found) != len(values) + len(keys) or [v for *_, k, v in found if not k] != values:
+        raise ValueError("literals and document disagree")
+    return found
+
+
 def _literals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.string()]
     for b in batches:
@@ -129,17 +146,7 @@ def _literals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for file, raw in zip(b.column(0).to_pylist(), b.column(1)):
             raw = raw.as_py()
             try:
-                if raw is None:
-                    raise ValueError("no content")
-                text = raw.decode("utf-8")
-                if "\0" in text:
-                    raise ValueError("a NUL")
-                doc = strict(text)
-                found = [(s, e, k, decode(raw[s:e].decode())) for s, e, k in tokens(raw)]
-                values, keys = strings(doc)
-                if len(found) != len(values) + len(keys) or [v for *_, k, v in found if not k] != values:
-                    raise ValueError("literals and document disagree")
-                rows += [(file, n, s, e, k, v, None) for n, (s, e, k, v) in enumerate(found)] or [(file, None, None, None, None, None, None)]
+                rows += [(file, n, s, e, k, v, None) for n, (s, e, k, v) in enumerate(_read(raw))] or [(file, None, None, None, None, None, None)]
             except ValueError as e:
                 rows.append((file, None, None, None, None, None, type(e).__name__ + ": " + str(e)[:80]))
         cols = zip(*rows) if rows else [()] * 7
@@ -165,6 +172,32 @@ def with_edits(files: DataFrame, edits: DataFrame) -> DataFrame:
     return files.select("file", F.col("content").cast("binary").alias("content")).join(e, "file", "left").mapInArrow(_splice, "file string, content binary")
 
 
+_FOUND = "file string, content binary, found array<struct<start: long, stop: long, value: string>>"
+
+
+def _with_values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("value", pa.string())]))
+    for b in batches:
+        out = []
+        for raw in b.column(1):
+            try:
+                out.append([{"start": s, "stop": e, "value": v} for s, e, k, v in _read(raw.as_py()) if not k])
+            except ValueError:
+                out.append(None)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, kind)], names=["file", "content", "found"])
+
+
+def with_values(files: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    """files (file, content) with each string value that change makes another one put in place; keys, and files that literals() has an error for, stay.
+
+    A file is one row all along, so nothing is shuffled and names needn't differ.
+    """
+    found = files.select(F.col("file").cast("string").alias("file"), F.col("content").cast("binary").alias("content")).mapInArrow(_with_values, _FOUND)
+    new = F.transform("found", lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), x["value"].alias("value"), change(x["value"]).alias("new")))
+    edits = F.transform(F.filter(new, lambda x: x["new"] != x["value"]), lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), x["new"].alias("new")))
+    return found.select("file", "content", edits.alias("edits")).mapInArrow(_splice, "file string, content binary")
+
+
 def redacted_literals(files: DataFrame, allowed: tuple[str, ...] = ()) -> DataFrame:
     """The string values of files with redacted, n_R1..n_R6 and src_R1..src_R5; keys, and files with an error, are left alone."""
     v = literals(files).where("error IS NULL AND NOT is_key").select("file", "start", "stop", "value")
@@ -174,11 +207,10 @@ def redacted_literals(files: DataFrame, allowed: tuple[str, ...] = ()) -> DataFr
 def redact_files(files: DataFrame, allowed: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """(files (file, content) redacted, report (file, rule, n, in_source) of rules that did or found something)."""
     v = redacted_literals(files, allowed)
-    edits = v.where("redacted <> value").select("file", "start", "stop", F.col("redacted").alias("new"))
     sums = v.groupBy("file").agg(*[F.sum(f"n_{r}").cast("long").alias(f"n_{r}") for r in R.NAMES], *[F.sum(f"src_{r.id}").cast("long").alias(f"src_{r.id}") for r in R.RULES])
     rule = lambda r: F.struct(F.lit(r).alias("rule"), F.col(f"n_{r}").alias("n"), F.col(f"src_{r}" if r != R.R6 else "n_R6").alias("in_source"))
     report = sums.select("file", F.explode(F.array(*map(rule, R.NAMES))).alias("x")).select("file", "x.*").where("n > 0 OR in_source > 0")
-    return with_edits(files, edits), report
+    return with_values(files, lambda v: R.redact(v, allowed)), report
 
 
 # ---- checks of a redacted tree
