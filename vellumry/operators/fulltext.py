@@ -19,12 +19,17 @@ repeated rows change nothing. Columns other than the two named aren't read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vellumry.functions.text import tokens
+from vellumry.sources.sinks import _fs
 
 #: Ids that one block spans.
 WIDTH = 1024
@@ -38,6 +43,11 @@ PUSHED = 500
 #: Up to this many rows of (query, word) are broadcast, so the index isn't shuffled; beyond, Spark chooses the join.
 SMALL = 500_000
 
+#: Documents whose words are sorted at once.
+SLICE = 512
+_POSTING = "doc long, size long, word string, places array<int>"
+_NAMES = [c.split()[0] for c in _POSTING.split(", ")]
+
 _DELTA = {"parquet.writer.version": "PARQUET_2_0", "parquet.enable.dictionary#doc_ids.list.element": "false", "parquet.enable.dictionary#places.list.element.list.element": "false"}
 
 
@@ -45,14 +55,18 @@ def build(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     """Write the index of all documents. One shuffle, by ranges of (word, block); no word is gathered in one task."""
     spark = docs.sparkSession
     d = docs.select(F.col(id_col).cast("long").alias("doc"), tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("w")).where("doc IS NOT NULL")
-    sizes = d.groupBy("doc").agg(F.max(F.size("w")).cast("long").alias("size"))
+    # The texts are cut once; what follows reads (document, word) rows. A row without word stands for the document itself.
+    d.mapInArrow(_postings, _POSTING).write.mode("overwrite").parquet(f"{path}/rows")
+    rows = spark.read.schema(_POSTING).parquet(f"{path}/rows")
+    sizes = rows.where("word IS NULL").groupBy("doc").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("n"))
     sizes.agg(F.count(F.lit(1)).alias("docs"), F.coalesce(F.sum("size"), F.lit(0)).alias("words")).write.mode("overwrite").parquet(f"{path}/facts")
     mean = _mean(_facts(spark, path))
 
-    places = d.select("doc", F.floor(F.col("doc") / F.lit(width)).alias("block"), F.size("w").cast("long").alias("size"), F.posexplode("w").alias("place", "word"))
-    # Partitions by (word, block) serve both groupings below and the sort.
-    spread = places.repartitionByRange(F.col("word"), F.col("block"))
-    posting = spread.groupBy("word", "block", "doc").agg(F.sort_array(F.collect_set("place")).alias("places"), F.max("size").alias("size"))
+    places = rows.where("word IS NOT NULL").select("word", F.floor(F.col("doc") / F.lit(width)).alias("block"), "doc", "size", "places")
+    # Partitions by (word, block) serve the groupings below and the sort.
+    posting = places.repartitionByRange(F.col("word"), F.col("block"))
+    if not sizes.where("n > 1").isEmpty():
+        posting = posting.groupBy("word", "block", "doc").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"), F.max("size").alias("size"))
     entry = F.struct("doc", F.size("places").cast("long").alias("count"), "size", "places")
     weight = _weight(F.size("places"), F.col("size"), mean)
     block = posting.groupBy("word", "block").agg(F.sort_array(F.collect_list(entry)).alias("e"), F.max(weight).alias("peak"))
@@ -62,6 +76,26 @@ def build(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
         w = w.option(k, v)
     w.parquet(f"{path}/blocks")
     spark.read.parquet(f"{path}/blocks").groupBy("word").agg(F.sum("n").alias("df")).write.mode("overwrite").parquet(f"{path}/words")
+    fs, at = _fs(spark, f"{path}/rows")
+    fs.delete(at, True)
+
+
+def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, w) -> a row for each document and word with its places, ascending, and one without word for each document."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            b = batch.slice(at, SLICE)
+            docs, sizes = b.column("doc"), np.asarray(pc.list_value_length(b.column("w")), np.int64)
+            words = b.column("w").flatten().dictionary_encode()
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            key = row * max(1, len(words.dictionary)) + np.asarray(words.indices, np.int64)
+            order = np.argsort(key, kind="stable")
+            first = np.flatnonzero(np.diff(key[order], prepend=-1))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), pa.array(place[order], pa.int32()))
+            of, which = row[order[first]], words.indices.take(pa.array(order[first]))
+            yield pa.RecordBatch.from_arrays([docs.take(pa.array(of)), pa.array(sizes[of]), words.dictionary.take(which), lists], names=_NAMES)
+            yield pa.RecordBatch.from_arrays([docs, pa.array(sizes), pa.nulls(len(docs), pa.string()), pa.nulls(len(docs), lists.type)], names=_NAMES)
 
 
 def search(spark: SparkSession, path: str, queries: DataFrame, k: int = 10, id_col: str = "query_id", text_col: str = "text") -> DataFrame:
