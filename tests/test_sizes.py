@@ -76,3 +76,62 @@ def test_a_crawl_reads_its_journal_as_often_however_many_batches(spark, tmp_path
         assert rows.count() == 4 and len(read) == 2
         sums = json.loads(crawl.Store(store).get(f"runs/r/sums/{4 // batch - 1}.json"))
         assert sums == crawl._sums(whole(spark, store, "r")) and sums["fetched"] == 4
+
+
+def counting(spark):
+    """An identity of texts that counts the rows it is asked for."""
+    from pyspark.sql import functions as F
+
+    met = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def same(x):
+        met.add(1)
+        return x
+
+    return same, met
+
+
+def test_an_audit_finds_its_offenders_once(spark):
+    from vellumry.operators import checks
+
+    same, met = counting(spark)
+    found = lambda: spark.range(60, numPartitions=3).selectExpr("if(id < 4, null, concat('f', id % 20)) AS x").select(same("x").alias("offender"))
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    row = checks.run_checks(spark, [checks.Check("1", "x", found)]).first()
+    assert (row.status, row.n_failures, row.failures) == ("FAIL", 60, ", ".join(["f0", "f1", *(f"f{k}" for k in range(10, 18))]))
+    assert met.value == 60 and spark.sparkContext._jsc.getPersistentRDDs().size() == held
+
+
+def test_an_audit_reads_what_is_published_once_for_personal_data(spark):
+    from test_operators import clean_site
+
+    from vellumry.operators import audit, checks
+
+    same, met = counting(spark)
+    site = clean_site(spark)
+    texts = [("_redirects", "a@b.org A@b.org mailto:x"), ("robots.txt", "?pwd=1"), ("sitemap.xml", "a@own.org a@own.org"), ("archive.css", None)]
+    site.texts = spark.createDataFrame(texts, "file string, text string").withColumn("text", same("text"))
+    site.kept = spark.createDataFrame([("A@OWN.org", 0)], "address string, kept long")
+    row = checks.run_checks(spark, [c for c in audit.checks(site) if c.id == "6a"]).first()
+    want = ["_redirects: 1 x mailto link", "_redirects: 2 x e-mail address", "allowed address seen 0 times by readers, 0 by searchers, 2 elsewhere; 0 were reported", "robots.txt: 1 x passcode parameter"]
+    assert row.n_failures == 4 and row.failures == ", ".join(want)
+    assert row.facts == "fragment=3, page=5, text file=4" and met.value == len(texts)
+    site.release()
+
+
+def test_lost_words_without_a_shuffle_of_words(spark):
+    from test_operators import clean_site
+
+    from vellumry.operators import audit
+
+    site = clean_site(spark)
+    bodies = [("<p>a a B &amp; c</p>", "<p>a b</p>"), ("<p>x y</p>", "<p>y <time>z</time>x</p>"), (None, "<p>new</p>"), ("<p>q</p>", None), ("<p>s s</p>", "<p>s s</p>")]
+    site.posts = spark.createDataFrame([(7, k, 1, False, b) for k, (b, _) in enumerate(bodies, 1)] + [(7, 9, 1, False, "<p>nowhere</p>")], "topic_id long, number long, type int, hidden boolean, cooked string")
+    shown = "".join(f'<article class="post" id="post-{k}">' + (f'<div class="post-body">{b}</div>' if b else "") + "</article>" for k, (_, b) in enumerate(bodies, 1))
+    site.pages = spark.createDataFrame([("t/x/7/index.html", shown)], "file string, html string")
+    lost = audit.words(site)
+    assert sorted(r.offender for r in lost.collect()) == ["7/1 lost 2 of its 4 words", "7/4 lost 1 of its 1 words"]
+    plan = lost._jdf.queryExecution().sparkPlan().toString() + lost._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Exchange" in x and "word" in x]
+    site.release()

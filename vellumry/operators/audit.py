@@ -1,7 +1,7 @@
 """The audit of a built site against its source: seventeen checks over a Site.
 
 Everything is derived anew from the source tables and the site's files, not from what the build says.
-What several checks read (parsed pages and rules) is persisted once, spilling to disk; release() frees it.
+What several checks read (parsed pages and rules, personal data found) is persisted once, spilling to disk; release() frees it.
 Every check is a DataFrame of offenders, so it runs distributed and is complete whatever the site's size.
 
 Null ids, slugs and texts are treated as absent; repeated source rows of one id count once where the
@@ -81,7 +81,7 @@ class Site:
         """(file, topic_id, category_id) of pages that topics and categories have."""
         t = self.topics.select(F.concat(F.lit("t/"), "slug", F.lit("/"), "id", F.lit("/index.html")).alias("file"), F.col("id").alias("topic_id"), F.lit(None).cast("long").alias("category_id"))
         c = self.categories.select(F.concat(F.lit("c/"), "path", F.lit("/"), "id", F.lit("/index.html")).alias("file"), F.lit(None).cast("long").alias("topic_id"), F.col("id").alias("category_id"))
-        return t.unionByName(c).where("file IS NOT NULL").dropDuplicates(["file"])
+        return t.unionByName(c).where("file IS NOT NULL").dropDuplicates(["file"]).persist()
 
     @cached_property
     def attributes(self) -> DataFrame:
@@ -99,10 +99,21 @@ class Site:
 
     @cached_property
     def rules(self) -> DataFrame:
-        return L.parse(self.texts.where("file = '_redirects'"), "text").persist()
+        """Rules of the file; read in one task, as it is one text, and then dealt out."""
+        return L.parse(self.texts.where("file = '_redirects'"), "text").repartition("source").persist()
+
+    @cached_property
+    def sightings(self) -> DataFrame:
+        """(file, kind, view, rule, address, n): personal data in every view of what is published; a row for each address, and for each other rule."""
+        return _sightings(self).persist()
+
+    @cached_property
+    def values(self) -> DataFrame:
+        """Values to search for, of the unredacted source."""
+        return values_of(self.verbatim if self.verbatim is not None else self.rows([], "origin string, value string")).persist()
 
     def release(self) -> None:
-        for x in self.held + [self.__dict__[k] for k in ("attributes", "shown", "rules") if k in self.__dict__]:
+        for x in self.held + [self.__dict__[k] for k in ("wanted", "attributes", "shown", "rules", "sightings", "values") if k in self.__dict__]:
             x.unpersist()
 
     def rows(self, values: list[tuple], schema: str) -> DataFrame:
@@ -173,19 +184,18 @@ def post_facts(s: Site) -> DataFrame:
     )
 
 
-def _words(bodies: DataFrame, f) -> DataFrame:
-    t = bodies.select("topic_id", "number", X.visible_text(H.mapped(F.col("body"), f)).alias("t"))
-    return t.select("topic_id", "number", F.explode(X.tokens(F.col("t"))).alias("word")).groupBy("topic_id", "number", "word").agg(F.count(F.lit(1)).alias("n"))
-
-
 def words(s: Site) -> DataFrame:
-    """Words of a source body that its page lacks, as multisets."""
+    """Words of a source body that its page lacks, as multisets. A post's two bodies meet by one join; equal ones lose nothing, words of
+    others are counted where the join left them, by its keys, so that no word is shuffled."""
     key = ["topic_id", "number"]
     rendered = s.shown.where("number IS NOT NULL").withColumn("_k", F.row_number().over(_window(key, "ord"))).where("_k = 1").select(*key, "body")
-    want = _words(s.renderable.dropDuplicates(key).join(rendered.select(*key), key, "left_semi").select(*key, F.col("cooked").alias("body")), H.raw_body)
-    have = _words(rendered, H.shown_body).withColumnRenamed("n", "have")
-    short = F.greatest(F.col("n") - F.coalesce("have", F.lit(0)), F.lit(0))
-    lost = want.join(have, [*key, "word"], "left").groupBy(key).agg(F.sum(short).alias("lost"), F.sum("n").alias("all")).where("lost > 0")
+    want = s.renderable.dropDuplicates(key).select(*key, H.mapped(F.col("cooked"), H.raw_body).alias("raw"))
+    have = rendered.select(*key, H.mapped(F.col("body"), H.shown_body).alias("page"))
+    marked = lambda c, n, m: F.transform(X.tokens(X.visible_text(F.col(c))), lambda w: F.struct(w.alias("word"), F.lit(n).alias("n"), F.lit(m).alias("have")))
+    differing = want.join(have, key).where("raw <> page").select(*key, F.explode(F.concat(marked("raw", 1, 0), marked("page", 0, 1))).alias("x"))
+    per = differing.groupBy(*key, F.col("x.word").alias("word")).agg(F.sum("x.n").alias("n"), F.sum("x.have").alias("have"))
+    short = F.greatest(F.col("n") - F.col("have"), F.lit(0))
+    lost = per.groupBy(key).agg(F.sum(short).alias("lost"), F.sum("n").alias("all")).where("lost > 0")
     return _say(lost, "%d/%d lost %d of its %d words", *key, "lost", "all")
 
 
@@ -302,6 +312,12 @@ def assets(s: Site) -> DataFrame:
 # ---- 6: personal data
 
 
+def _kinds(s: Site) -> DataFrame:
+    """(fact, n): texts of the corpus by kind."""
+    kinds = {"page": s.pages, "text file": _not_in(s.texts, s.pages, "file"), "fragment": s.fragments.where("url IS NOT NULL")}
+    return _facts(**kinds).where("n > 0")
+
+
 def corpus(s: Site) -> DataFrame:
     """(file, kind, views array): everything published, pages as source, attribute values and text that readers see."""
     values = s.attributes.where("value IS NOT NULL").groupBy("file").agg(F.array_join(F.collect_list("value"), "\n").alias("values"))
@@ -321,26 +337,29 @@ def _kept(s: Site) -> DataFrame:
     return (s.kept if s.kept is not None else s.rows([], "address string, kept long")).select(F.lower("address").alias("address"), "kept")
 
 
-def _personal(s: Site) -> DataFrame:
-    """(file, kind, rule, n): the most that any view of a text holds."""
-    views = corpus(s).select("file", "kind", F.posexplode("views").alias("view", "v"))
-    found = views.where("v LIKE '%@%'").select("file", "kind", "view", F.explode(addresses(F.col("v"))).alias("address"))
-    mail = found.withColumn("address", F.lower("address")).join(_kept(s), "address", "left_anti").select("file", "kind", "view", F.lit("e-mail address").alias("rule"), F.lit(1).alias("n"))
-    r4, r5 = R.RULES[3], R.RULES[4]
+def _sightings(s: Site) -> DataFrame:
+    """Every view is read once, for all rules. (An inner explode would make Spark build all views once more, to ask first whether there are any.)"""
+    views = corpus(s).select("file", "kind", F.posexplode_outer("views").alias("view", "v"))
+    row = lambda rule, address, n: F.struct(F.lit(rule).alias("rule"), address.cast("string").alias("address"), n.cast("int").alias("n"))
+    mail = F.when(F.col("v").contains("@"), F.transform(addresses(F.col("v")), lambda a: row("e-mail address", F.lower(a), F.lit(1))))
     others = F.array(
-        F.struct(F.lit("mailto link").alias("rule"), F.regexp_count("v", F.lit("(?i)mailto:")).alias("n")),
-        F.struct(F.lit("passcode parameter").alias("rule"), R.count_rule(F.col("v"), r4).alias("n")),
-        F.struct(F.lit("plain passcode").alias("rule"), R.count_rule(F.col("v"), r5).alias("n")),
+        row("mailto link", F.lit(None), F.regexp_count("v", F.lit("(?i)mailto:"))),
+        row("passcode parameter", F.lit(None), R.count_rule(F.col("v"), R.RULES[3])),
+        row("plain passcode", F.lit(None), R.count_rule(F.col("v"), R.RULES[4])),
     )
-    rest = views.select("file", "kind", "view", F.explode(others).alias("x")).select("file", "kind", "view", "x.rule", "x.n").where("n > 0")
-    per = mail.unionByName(rest).groupBy("file", "kind", "rule", "view").agg(F.sum("n").alias("n"))
+    all_ = F.concat(F.coalesce(mail, F.array().cast("array<struct<rule:string,address:string,n:int>>")), F.filter(others, lambda x: x["n"] > 0))
+    return views.select("file", "kind", "view", F.explode(all_).alias("x")).select("file", "kind", "view", "x.rule", "x.address", "x.n")
+
+
+def _personal(s: Site) -> DataFrame:
+    """(file, kind, rule, n): the most that any view of a text holds."""
+    per = s.sightings.join(_kept(s), "address", "left_anti").groupBy("file", "kind", "rule", "view").agg(F.sum("n").alias("n"))
     return per.groupBy("file", "kind", "rule").agg(F.max("n").alias("n"))
 
 
 def personal(s: Site) -> DataFrame:
     """Addresses and passcodes anywhere; allowed addresses must be in pages, and in the search index, just as often as was reported, and nowhere else."""
-    seen = corpus(s).select("kind", F.when(F.col("kind") == "page", F.get("views", F.lit(2))).otherwise(F.get("views", F.lit(0))).alias("v"))
-    found = seen.select("kind", F.explode(addresses(F.col("v"))).alias("address")).select("kind", F.lower("address").alias("address"))
+    found = s.sightings.where(F.col("address").isNotNull() & (F.col("view") == F.when(F.col("kind") == "page", 2).otherwise(0)))
     n = found.groupBy("address").pivot("kind", ["page", "fragment", "text file"]).agg(F.count(F.lit(1)))
     k = _kept(s).join(n, "address", "left").na.fill(0).where("page <> kept OR fragment <> kept OR `text file` <> 0")
     return _all(
@@ -380,13 +399,13 @@ def values_of(strings: DataFrame) -> DataFrame:
 def _values(s: Site) -> DataFrame:
     if s.redacted_verbatim:
         raise Abort("the unredacted source is a redacted copy itself")
-    return values_of(s.verbatim if s.verbatim is not None else s.rows([], "origin string, value string"))
+    return s.values
 
 
 def verbatim(s: Site) -> DataFrame:
     """Unredacted values that the site still holds, in any view; the values themselves are never named."""
     v = _values(s)
-    views = corpus(s).select("file", F.explode("views").alias("v"))
+    views = corpus(s).select("file", F.explode_outer("views").alias("v"))
     hit = find_values(views, "file", "v", v).distinct().groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("file"))
     return _say(hit.join(v.select("id", "what", "origin"), "id"), "%s of %s can still be read in %d texts, for one in %s", "what", "origin", "n", "file")
 
@@ -510,7 +529,7 @@ def checks(s: Site) -> list[Check]:
         Check("4", "Internal links", lambda: links(s), facts=lambda: _facts(urls=_references(s), rules=s.rules)),
         Check("4b", "External URLs", nothing, info=True, facts=lambda: external(s)),
         Check("5", "Assets", lambda: assets(s), facts=lambda: s.assets.groupBy(asset_kind(F.col("file")).alias("fact")).agg(F.count(F.lit(1)).alias("n"))),
-        Check("6a", "Personal data", lambda: personal(s), facts=lambda: corpus(s).groupBy(F.col("kind").alias("fact")).agg(F.count(F.lit(1)).alias("n"))),
+        Check("6a", "Personal data", lambda: personal(s), facts=lambda: _kinds(s)),
         Check("6b", "Redaction inventory", nothing, info=True, facts=lambda: inventory(s)),
         # nothing to search for is no pass
         Check("6c", "Unredacted values", lambda: verbatim(s), info=s.verbatim is None or _values(s).isEmpty(), facts=lambda: _facts(values=_values(s))),
