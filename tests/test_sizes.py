@@ -135,3 +135,11 @@ def test_lost_words_without_a_shuffle_of_words(spark):
     plan = lost._jdf.queryExecution().sparkPlan().toString() + lost._jdf.queryExecution().executedPlan().toString()
     assert not [x for x in plan.splitlines() if "Exchange" in x and "word" in x]
     site.release()
+
+
+def test_audit_facts_runs_the_checks_that_it_tells_of(spark, monkeypatch):
+    from vellumry.operators import checks
+
+    run, result = [], checks.result
+    monkeypatch.setattr(checks, "result", lambda c, *held: run.append(c.id) or result(c, *held))
+    assert same_as_sql(spark, "audit_facts") and run == ["1", "4b", "5", "6b", "6d", "7", "8"]

@@ -509,10 +509,10 @@ def redirects(s: Site) -> DataFrame:
     )
 
 
-def audit(s: Site) -> DataFrame:
-    """All rows of the audit; what was persisted for it is freed, however it ends."""
+def audit(s: Site, ids: list[str] | None = None) -> DataFrame:
+    """All rows of the audit, or those of some checks, each of them whole; what was persisted for it is freed, however it ends."""
     try:
-        return run_checks(s.spark, checks(s))
+        return run_checks(s.spark, [c for c in checks(s) if ids is None or c.id in ids])
     finally:
         s.release()
 
